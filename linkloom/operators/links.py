@@ -27,7 +27,8 @@ def canonical_pages(pages: DataFrame, url_col: str = "url") -> DataFrame:
             .withColumnRenamed("c_host", "host")
             .withColumnRenamed("c_host_reversed", "host_reversed")
             .withColumnRenamed("c_path", "path")
-            .drop("c_path_escaped", "c_reject_reason"))
+            .withColumnRenamed("c_path_escaped", "path_escaped")
+            .drop("c_reject_reason"))
 
 
 def extract_raw_links(pages: DataFrame, extract: str = "regex") -> DataFrame:

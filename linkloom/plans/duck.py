@@ -193,7 +193,8 @@ def canonical_pages(src: str, url_col: str = "url") -> str:
     s = normalize(src, url_col, "c_")
     return (f"SELECT * EXCLUDE (c_url, c_scheme, c_host, c_host_reversed, c_path, c_path_escaped, "
             f"c_reject_reason), c_url AS source, c_scheme AS scheme, c_host AS host, "
-            f"c_host_reversed AS host_reversed, c_path AS path FROM ({s}) WHERE c_reject_reason IS NULL")
+            f"c_host_reversed AS host_reversed, c_path AS path, c_path_escaped AS path_escaped "
+            f"FROM ({s}) WHERE c_reject_reason IS NULL")
 
 
 def resolved_links(pages_src: str) -> str:

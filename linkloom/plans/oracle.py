@@ -55,3 +55,128 @@ ORACLE["backlink_counts"] = (
 ORACLE["backlinks_of"] = (
     f"SELECT target, source FROM ({Q.page_links(graph_pages_sql())}) "
     f"WHERE target IN (SELECT source FROM ({Q.canonical_pages(graph_pages_sql())}))")
+
+
+# --- robots and responses ----------------------------------------------------
+
+def responses_sql() -> str:
+    return ("SELECT page_id, url, CAST(CASE WHEN page_id % 10 = 7 THEN 404 WHEN page_id % 10 = 8 "
+            "THEN 204 WHEN page_id % 10 = 9 THEN 429 ELSE 200 END AS INTEGER) AS status, "
+            "CASE WHEN page_id % 6 = 5 THEN 'application/pdf' ELSE 'text/html; charset=utf-8' END "
+            "AS content_type, CASE WHEN page_id % 8 = 3 THEN 'noindex, nofollow' WHEN page_id % 8 = 4 "
+            "THEN NULL ELSE '' END AS x_robots_tag, html FROM pages")
+
+
+def robots_responses_sql() -> str:
+    from ..sources.derived import ROBOTS_FIXTURE as R
+    label = "split_part(host, '.', 1)"
+
+    def pick(i, cast=False):
+        parts = " ".join(f"WHEN {label} = {Q.lit(k)} THEN {Q.lit(str(R[k][i]))}"
+                         for k in ("blog", "www", "m"))
+        e = f"CASE {parts} ELSE {Q.lit(str(R['other'][i]))} END"
+        return f"CAST({e} AS INTEGER)" if cast else e
+
+    return (f"SELECT host, {pick(0, True)} AS status, {pick(1)} AS content_type, {pick(2)} AS body "
+            f"FROM (SELECT DISTINCT host FROM ({Q.canonical_pages('SELECT url FROM pages')}))")
+
+
+def robots_text_sql() -> str:
+    from ..operators.robots import FALLBACK
+    return (f"SELECT h.host, {Q.reverse_host('h.host')} AS host_reversed, "
+            f"CASE WHEN r.status = 200 AND contains(lower(coalesce(r.content_type, '')), 'text/plain') "
+            f"THEN coalesce(r.body, '') ELSE {Q.lit(FALLBACK)} END AS robot "
+            f"FROM (SELECT DISTINCT host FROM ({Q.canonical_pages('SELECT url FROM pages')})) h "
+            f"LEFT JOIN ({robots_responses_sql()}) r ON h.host = r.host")
+
+
+def robots_rules_sql(agent: str | None = None) -> str:
+    from ..operators import robots as R
+    agent = agent or R.AGENT
+    strip = lambda c: f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+    lines = (f"SELECT host, unnest(range(0, len(l))) AS line_no, unnest(l) AS line FROM "
+             f"(SELECT host, regexp_split_to_array(robot, '\\r\\n|\\r|\\n') AS l FROM ({robots_text_sql()}))")
+    body = strip("regexp_replace(line, '#.*$', '')")
+    kv = (f"SELECT host, line_no, lower({strip(f'CASE WHEN contains(b, {Q.lit(':')}) THEN ' + Q.ext('b', '^([^:]*):') + ' ELSE ' + Q.ext('b', r'^(\S+)[ \t]+\S+$') + ' END')}) AS key, "
+          f"{strip(f'CASE WHEN contains(b, {Q.lit(':')}) THEN ' + Q.ext('b', '^[^:]*:(.*)$') + ' ELSE ' + Q.ext('b', r'^\S+[ \t]+(\S+)$') + ' END')} AS value "
+          f"FROM (SELECT host, line_no, {body} AS b FROM ({lines}))")
+    ua = ", ".join(Q.lit(k) for k in R.USER_AGENT_KEYS)
+    al = ", ".join(Q.lit(k) for k in R.ALLOW_KEYS)
+    dl = ", ".join(Q.lit(k) for k in R.DISALLOW_KEYS)
+    kinds = (f"SELECT *, kind = 'agent' AND regexp_matches(value, '^\\*(\\s|$)') AS is_global, "
+             f"kind = 'agent' AND lower({Q.ext('value', '^([A-Za-z_-]*)')}) = {Q.lit(agent.lower())} AS is_specific "
+             f"FROM (SELECT *, CASE WHEN key IN ({ua}) THEN 'agent' WHEN key IN ({al}) THEN 'allow' "
+             f"WHEN key IN ({dl}) THEN 'disallow' END AS kind FROM ({kv})) WHERE kind IS NOT NULL")
+    starts = (f"SELECT *, CAST(kind = 'agent' AND coalesce(lag(kind) OVER (PARTITION BY host ORDER BY line_no) "
+              f"<> 'agent', true) AS INTEGER) AS starts FROM ({kinds})")
+    grp = (f"SELECT *, sum(starts) OVER (PARTITION BY host ORDER BY line_no ROWS BETWEEN UNBOUNDED "
+           f"PRECEDING AND CURRENT ROW) AS group_no FROM ({starts})")
+    g = (f"SELECT *, max(CAST(is_specific AS INTEGER)) OVER (PARTITION BY host, group_no) AS g_spec, "
+         f"max(CAST(is_global AS INTEGER)) OVER (PARTITION BY host, group_no) AS g_glob FROM ({grp})")
+    esc = ("CASE WHEN regexp_matches(value, '[^\\x00-\\x7f]') THEN array_to_string(list_transform("
+           "string_split(value, ''), lambda ch: CASE WHEN ascii(ch) < 128 THEN ch ELSE url_encode(ch) END), '') "
+           "ELSE value END")
+    rules = (f"SELECT host, line_no, group_no, CASE WHEN g_spec = 1 THEN 'specific' ELSE 'global' END AS scope, "
+             f"kind = 'allow' AS allow, {esc} AS pattern FROM ({g}) WHERE kind <> 'agent' AND group_no > 0 "
+             f"AND (g_spec = 1 OR g_glob = 1)")
+    index = (f"SELECT host, line_no, group_no, scope, allow, "
+             f"{Q.ext('pattern', r'^(.*/)index\.htm[^/]*$')} || '$' AS pattern FROM r0 "
+             f"WHERE allow AND regexp_matches(pattern, '/index\\.htm[^/]*$')")
+    e = "replace(replace(replace(replace(pattern, '\\', '\\\\'), '%', '\\%'), '_', '\\_'), '*', '%')"
+    final = (f"SELECT host, line_no, group_no, scope, allow, pattern, "
+             f"CASE WHEN ends_with(pattern, '$') THEN substr({e}, 1, length({e}) - 1) ELSE {e} || '%' END "
+             f"AS like_pattern, NOT contains(pattern, '*') AND NOT ends_with(pattern, '$') AS literal, "
+             f"length(pattern) AS priority FROM (SELECT * FROM r0 UNION ALL {index})")
+    seen = (f"SELECT DISTINCT host, NULL::BIGINT, NULL::BIGINT, 'seen', NULL::BOOLEAN, NULL::VARCHAR, "
+            f"NULL::VARCHAR, NULL::BOOLEAN, NULL::BIGINT FROM ({g}) WHERE is_specific")
+    return f"WITH r0 AS ({rules}) {final} UNION ALL {seen}"
+
+
+def robots_allowed_sql() -> str:
+    rules = robots_rules_sql()
+    pages = Q.canonical_pages("SELECT page_id, url FROM pages")
+    m = ("CASE WHEN r.literal THEN starts_with(p.match_path, r.pattern) "
+         "ELSE p.match_path LIKE r.like_pattern ESCAPE '\\' END")
+
+    def best(scope, allow):
+        return (f"coalesce(max(CASE WHEN r.scope = '{scope}' AND r.allow = {allow} AND {m} "
+                f"THEN r.priority END), 0)")
+
+    agg = (f"SELECT p.page_id, p.source, p.host, {best('specific', 'true')} AS sa, "
+           f"{best('specific', 'false')} AS sd, {best('global', 'true')} AS ga, "
+           f"{best('global', 'false')} AS gd, bool_or(r.scope = 'seen') AS ever "
+           f"FROM (SELECT *, CASE WHEN path_escaped = '' THEN '/' ELSE path_escaped END AS match_path "
+           f"FROM ({pages})) p LEFT JOIN ({rules}) r ON p.host = r.host GROUP BY p.page_id, p.source, p.host")
+    return (f"SELECT page_id, source, host, CASE WHEN sa > 0 OR sd > 0 THEN NOT (sd > sa) "
+            f"WHEN coalesce(ever, false) THEN true WHEN ga > 0 OR gd > 0 THEN NOT (gd > ga) ELSE true END "
+            f"AS allowed FROM ({agg})")
+
+
+def crawl_reason_sql() -> str:
+    return ("CASE WHEN status IS NULL OR status < 200 OR status > 299 OR status = 204 THEN 'status' "
+            "WHEN NOT contains(coalesce(content_type, ''), 'html') THEN 'content_type' "
+            "WHEN contains(coalesce(x_robots_tag, ''), 'nofollow') OR contains(coalesce(x_robots_tag, ''), "
+            "'noindex') THEN 'robots_header' END")
+
+
+ORACLE["robots_text"] = robots_text_sql()
+ORACLE["robots_rules"] = robots_rules_sql()
+ORACLE["robots_allowed"] = robots_allowed_sql()
+ORACLE["crawlable_pages"] = (
+    f"SELECT page_id, url, status, content_type, x_robots_tag FROM ({responses_sql()}) "
+    f"WHERE ({crawl_reason_sql()}) IS NULL")
+
+
+def page_reasons_sql() -> str:
+    return (f"SELECT r.page_id, coalesce(CASE WHEN NOT coalesce(a.allowed, true) THEN 'robots' "
+            f"ELSE {crawl_reason_sql()} END, 'kept') AS reason, r.url, r.html "
+            f"FROM ({responses_sql()}) r LEFT JOIN ({robots_allowed_sql()}) a ON r.page_id = a.page_id")
+
+
+_KEPT = "SELECT page_id, url, html FROM pr WHERE reason = 'kept'"
+ORACLE["drop_reasons"] = (
+    f"WITH pr AS ({page_reasons_sql()}) "
+    f"SELECT 'page' AS stage, reason, count(*) AS n FROM pr GROUP BY reason UNION ALL "
+    f"SELECT 'link' AS stage, regexp_extract(reject_reason, '^([^:]*)', 1) AS reason, count(*) AS n "
+    f"FROM ({Q.resolved_links(_KEPT)}) "
+    f"WHERE reject_reason IS NOT NULL GROUP BY 2")

@@ -94,3 +94,58 @@ def backlinks_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = L.page_links(gp)
     known = L.canonical_pages(gp.select("url")).select(F.col("source").alias("target"))
     return L.backlinks_of(links, known)
+
+
+# --- A/B: robots and responses ---------------------------------------------
+
+def _robots_texts(spark, sf_dir):
+    from ..operators.robots import robots_text
+    hosts = L.canonical_pages(read_pages(spark, sf_dir).select("url")).select("host")
+    return robots_text(hosts, D.robots_responses(spark, sf_dir))
+
+
+@query
+def robots_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _robots_texts(spark, sf_dir)
+
+
+@query
+def robots_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.robots import robots_rules as rules
+    return rules(_robots_texts(spark, sf_dir))
+
+
+def _allowed(spark, sf_dir):
+    from ..operators.robots import fold_rules, robots_allowed, robots_rules as rules
+    pages = L.canonical_pages(read_pages(spark, sf_dir).select("page_id", "url"))
+    return robots_allowed(pages, fold_rules(rules(_robots_texts(spark, sf_dir))))
+
+
+@query
+def robots_allowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _allowed(spark, sf_dir).select("page_id", "source", "host", "allowed")
+
+
+@query
+def crawlable_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.responses import crawlable_pages as crawlable
+    return crawlable(D.responses(spark, sf_dir)).select(
+        "page_id", "url", "status", "content_type", "x_robots_tag")
+
+
+@query
+def drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages lost per stage (robots, status, type, robots header) and the
+    refused links of the kept pages, by reason."""
+    from ..operators.responses import page_drop_reasons
+    resp = D.responses(spark, sf_dir)
+    per_page = page_drop_reasons(resp, _allowed(spark, sf_dir))
+    pages = per_page.groupBy("reason").agg(F.count(F.lit(1)).alias("n")) \
+        .select(F.lit("page").alias("stage"), "reason", "n")
+    kept = resp.join(per_page.where(F.col("reason") == "kept").select("page_id"), "page_id", "left_semi")
+    rej = (L.resolve_links(kept.select("page_id", "url", "html"))
+           .where(F.col("reject_reason").isNotNull())
+           .groupBy(F.regexp_extract("reject_reason", r"^([^:]*)", 1).alias("reason"))
+           .agg(F.count(F.lit(1)).alias("n"))
+           .select(F.lit("link").alias("stage"), "reason", "n"))
+    return pages.unionByName(rej)
