@@ -114,3 +114,15 @@ def backlinks_of(links: DataFrame, targets: DataFrame) -> DataFrame:
     ``targets`` is expected small (a request batch); Spark broadcasts it
     when its statistics say it is below the broadcast threshold."""
     return links.join(targets.select("target").distinct(), "target", "left_semi")
+
+
+def link_keys(pages: DataFrame, extract: str = "regex") -> DataFrame:
+    """Accepted links with the frontier key of their target:
+    ``(page_id, pos, source, target, scheme, host_reversed, path)``."""
+    raw = extract_raw_links(pages, extract)
+    src = canonical_pages(raw, "url").select("page_id", "source", "pos", "href")
+    res = resolve_urls(src, "source", "href", "t_")
+    return res.where(F.col("t_reject_reason").isNull()).select(
+        "page_id", "pos", "source", F.col("t_url").alias("target"),
+        F.col("t_scheme").alias("scheme"), F.col("t_host_reversed").alias("host_reversed"),
+        F.col("t_path").alias("path"))

@@ -234,3 +234,11 @@ def url_variants(pages: str = "pages") -> str:
     ]
     structs = ", ".join(f"{{'kind': {lit(k)}, 'input': {e}}}" for k, e in kinds)
     return f"SELECT page_id, unnest([{structs}], recursive := true) FROM {pages}"
+
+
+def link_keys(pages_src: str) -> str:
+    raw = raw_links(pages_src)
+    src = f"SELECT page_id, source, pos, href FROM ({canonical_pages(raw)})"
+    r = resolve(src, "source", "href", "t_")
+    return (f"SELECT page_id, pos, source, t_url AS target, t_scheme AS scheme, "
+            f"t_host_reversed AS host_reversed, t_path AS path FROM ({r}) WHERE t_reject_reason IS NULL")

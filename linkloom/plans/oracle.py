@@ -180,3 +180,109 @@ ORACLE["drop_reasons"] = (
     f"SELECT 'link' AS stage, regexp_extract(reject_reason, '^([^:]*)', 1) AS reason, count(*) AS n "
     f"FROM ({Q.resolved_links(_KEPT)}) "
     f"WHERE reject_reason IS NOT NULL GROUP BY 2")
+
+
+# --- frontier ----------------------------------------------------------------
+
+AS_OF = "TIMESTAMP '2024-03-01 00:00:00'"
+SAMPLE_SEED = "round-1"
+
+
+def seed_lines_sql() -> str:
+    twin = ("CASE WHEN starts_with(url, 'https://') THEN regexp_replace(url, '^https://', 'http://') "
+            "ELSE regexp_replace(url, '^http://', 'https://') END")
+    rows = (f"SELECT CAST(page_id AS DOUBLE) AS k, url FROM pages UNION ALL "
+            f"SELECT page_id + 0.25, url FROM pages WHERE page_id % 10 = 2 UNION ALL "
+            f"SELECT page_id + 0.5, {twin} FROM pages WHERE page_id % 10 = 1")
+    return (f"SELECT CAST(floor(k / 3) AS BIGINT) AS line_no, array_to_string(list_transform("
+            f"list_sort(list({{'k': k, 'url': url}})), lambda s: s.url), ' ' || chr(9) || ' ') AS value "
+            f"FROM ({rows}) GROUP BY 1")
+
+
+def seeds_sql() -> str:
+    toks = (f"SELECT line_no, unnest(range(0, len(t))) AS pos, unnest(t) AS input FROM "
+            f"(SELECT line_no, regexp_split_to_array(trim(value), '\\s+') AS t FROM ({seed_lines_sql()}))")
+    return Q.normalize(f"SELECT * FROM ({toks}) WHERE input <> ''", "input")
+
+
+def first_pages_sql(src: str, order: str) -> str:
+    return (f"SELECT md5(host_reversed || chr(10) || path) AS id, scheme, host_reversed, path, "
+            f"CAST(NULL AS TIMESTAMP) AS latest_visit FROM (SELECT *, row_number() OVER "
+            f"(PARTITION BY host_reversed, path ORDER BY {order}, scheme) AS rn FROM ({src})) WHERE rn = 1")
+
+
+def seed_frontier_sql() -> str:
+    return first_pages_sql(f"SELECT line_no, pos, scheme, host_reversed, path FROM ({seeds_sql()})",
+                           "line_no, pos")
+
+
+def insert_pages_sql() -> str:
+    new = first_pages_sql(Q.link_keys(PAGES), "page_id, pos")
+    return (f"WITH sf AS MATERIALIZED ({seed_frontier_sql()}) "
+            f"SELECT n.* FROM ({new}) n ANTI JOIN sf e "
+            f"ON e.host_reversed = n.host_reversed AND e.path = n.path")
+
+
+def crawl_frontier_sql() -> str:
+    new = first_pages_sql(Q.link_keys(PAGES), "page_id, pos")
+    return (f"WITH sf AS MATERIALIZED ({seed_frontier_sql()}) SELECT * FROM sf UNION ALL "
+            f"SELECT n.* FROM ({new}) n ANTI JOIN sf e "
+            f"ON e.host_reversed = n.host_reversed AND e.path = n.path")
+
+
+def visited_frontier_sql() -> str:
+    h = "(length(path) * 7 + length(host_reversed))"
+    return (f"SELECT id, scheme, host_reversed, path, CASE WHEN {h} % 3 = 0 THEN NULL ELSE "
+            f"{AS_OF} - to_days(CAST({h} % 60 AS INTEGER)) END AS latest_visit "
+            f"FROM ({crawl_frontier_sql()})")
+
+
+def page_url_sql(scheme="scheme", hr="host_reversed", path="path") -> str:
+    return f"{scheme} || '://' || {Q.reverse_host(hr)} || {Q.escape_path(path)}"
+
+
+def frontier_next_sql(f: str = "cf") -> str:
+    host = (f"SELECT host_reversed FROM {f} WHERE latest_visit IS NULL "
+            f"ORDER BY md5(id || {Q.lit(SAMPLE_SEED)}) LIMIT 1")
+    return (f"SELECT id, scheme, host_reversed, path, {page_url_sql()} AS url FROM {f} "
+            f"WHERE latest_visit IS NULL AND host_reversed = ({host}) ORDER BY path LIMIT 128")
+
+
+ORACLE["seed_frontier"] = seed_frontier_sql()
+ORACLE["insert_pages"] = insert_pages_sql()
+ORACLE["insert_links"] = (
+    f"SELECT DISTINCT l.source, l.target FROM ({Q.page_links(f'{PAGES} UNION ALL {graph_pages_sql()}')}) l "
+    f"ANTI JOIN ({graph_edges_sql()}) g ON g.source = l.source AND g.target = l.target")
+ORACLE["frontier_next"] = f"WITH cf AS MATERIALIZED ({crawl_frontier_sql()}) {frontier_next_sql()}"
+ORACLE["mark_visited"] = (
+    f"WITH cf AS MATERIALIZED ({crawl_frontier_sql()}), nb AS ({frontier_next_sql()}) "
+    f"SELECT id, scheme, host_reversed, path, CASE WHEN id IN (SELECT id FROM nb) "
+    f"THEN {AS_OF} ELSE latest_visit END AS latest_visit FROM cf")
+ORACLE["frontier_all_hosts"] = (
+    f"SELECT id, scheme, host_reversed, path, rank, {page_url_sql()} AS url FROM (SELECT *, row_number() "
+    f"OVER (PARTITION BY host_reversed ORDER BY path) AS rank FROM ({crawl_frontier_sql()}) "
+    f"WHERE latest_visit IS NULL) WHERE rank <= 128")
+ORACLE["refresh_due"] = (
+    f"SELECT * FROM ({visited_frontier_sql()}) WHERE latest_visit IS NULL OR "
+    f"latest_visit < {AS_OF} - INTERVAL 30 DAY")
+_REF = (f"SELECT host_reversed, path, count(DISTINCT regexp_extract(source, "
+        f"'^[^:]+://(?:[^@/]*@)?([^/]*)', 1)) AS weight FROM ({Q.canonical_pages(Q.page_links(PAGES), 'target')}) "
+        f"GROUP BY host_reversed, path")
+ORACLE["frontier_ranked"] = (
+    f"SELECT id, scheme, host_reversed, path, weight, rank FROM (SELECT f.id, f.scheme, f.host_reversed, "
+    f"f.path, coalesce(w.weight, 0) AS weight, row_number() OVER (PARTITION BY f.host_reversed ORDER BY "
+    f"coalesce(w.weight, 0) DESC, f.path) AS rank FROM ({crawl_frontier_sql()}) f LEFT JOIN ({_REF}) w "
+    f"ON f.host_reversed = w.host_reversed AND f.path = w.path WHERE f.latest_visit IS NULL) "
+    f"WHERE rank <= 128")
+_HS = ("array_to_string(list_reverse(string_split(regexp_extract({c}, '^[^:]+://(?:[^@/]*@)?([^/]*)', 1), "
+       "'.')), '.')")
+ORACLE["host_stats"] = (
+    f"WITH p AS (SELECT host_reversed, count(*) AS pages, count(latest_visit) AS visited "
+    f"FROM ({visited_frontier_sql()}) GROUP BY 1), l AS ({Q.page_links(PAGES)}), "
+    f"o AS (SELECT {_HS.format(c='source')} AS host_reversed, count(*) AS links_out FROM l GROUP BY 1), "
+    f"i AS (SELECT {_HS.format(c='target')} AS host_reversed, count(*) AS links_in FROM l GROUP BY 1) "
+    f"SELECT coalesce(p.host_reversed, o.host_reversed, i.host_reversed) AS host_reversed, "
+    f"coalesce(pages, 0) AS pages, coalesce(visited, 0) AS visited, "
+    f"coalesce(pages, 0) - coalesce(visited, 0) AS unvisited, coalesce(links_out, 0) AS links_out, "
+    f"coalesce(links_in, 0) AS links_in FROM p FULL JOIN o ON p.host_reversed = o.host_reversed "
+    f"FULL JOIN i ON coalesce(p.host_reversed, o.host_reversed) = i.host_reversed")

@@ -149,3 +149,90 @@ def drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
            .agg(F.count(F.lit(1)).alias("n"))
            .select(F.lit("link").alias("stage"), "reason", "n"))
     return pages.unionByName(rej)
+
+
+# --- D/H: frontier -------------------------------------------------------------
+
+AS_OF = "2024-03-01 00:00:00"
+SAMPLE_SEED = "round-1"
+
+
+def _seed_frontier(spark, sf_dir):
+    from ..operators import frontier as FR
+    seeds = FR.parse_seeds(D.seed_lines(spark, sf_dir))
+    return FR.seed_frontier(FR.empty_frontier(spark), seeds)
+
+
+def _crawl_frontier(spark, sf_dir):
+    """Seeds plus every link target of the archive."""
+    from ..operators import frontier as FR
+    sf = _seed_frontier(spark, sf_dir)
+    keys = L.link_keys(read_pages(spark, sf_dir))
+    return sf.unionByName(FR.insert_pages(sf, keys, ["page_id", "pos"]))
+
+
+def _visited_frontier(spark, sf_dir):
+    """Crawl frontier with visit times derived from the key lengths."""
+    f = _crawl_frontier(spark, sf_dir)
+    h = F.length("path") * 7 + F.length("host_reversed")
+    lv = (F.when(h % 3 == 0, F.lit(None).cast("timestamp_ntz"))
+          .otherwise(F.lit(AS_OF).cast("timestamp_ntz") - F.make_dt_interval(h % 60)))
+    return f.select("id", "scheme", "host_reversed", "path", lv.alias("latest_visit"))
+
+
+@query
+def seed_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _seed_frontier(spark, sf_dir)
+
+
+@query
+def insert_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import frontier as FR
+    sf = _seed_frontier(spark, sf_dir)
+    return FR.insert_pages(sf, L.link_keys(read_pages(spark, sf_dir)), ["page_id", "pos"])
+
+
+@query
+def insert_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of the archive and of G1 pages, inserted into a table that
+    already holds the G1 edges: only the archive's links are new."""
+    pages = read_pages(spark, sf_dir).unionByName(D.graph_pages(spark, sf_dir))
+    existing = D.graph_edges(spark, sf_dir).select("source", "target")
+    return L.insert_links(existing, L.page_links(pages))
+
+
+@query
+def frontier_next(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import frontier as FR
+    return FR.frontier_next(_crawl_frontier(spark, sf_dir), SAMPLE_SEED)
+
+
+@query
+def mark_visited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import frontier as FR
+    f = _crawl_frontier(spark, sf_dir)
+    return FR.mark_visited(f, FR.frontier_next(f, SAMPLE_SEED), AS_OF)
+
+
+@query
+def frontier_all_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import frontier as FR
+    return FR.frontier_all_hosts(_crawl_frontier(spark, sf_dir))
+
+
+@query
+def refresh_due(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import frontier as FR
+    return FR.refresh_due(_visited_frontier(spark, sf_dir), AS_OF)
+
+
+@query
+def frontier_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import frontier as FR
+    return FR.frontier_ranked(_crawl_frontier(spark, sf_dir), L.page_links(read_pages(spark, sf_dir)))
+
+
+@query
+def host_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import frontier as FR
+    return FR.host_stats(_visited_frontier(spark, sf_dir), L.page_links(read_pages(spark, sf_dir)))
