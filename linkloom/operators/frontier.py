@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.urls import normalize_urls, page_url
+from ..functions.urls import escape_path, normalize_urls, page_url
 from ..schemas import FRONTIER
 
 # --- fixed values -----------------------------------------------------------
@@ -129,6 +129,20 @@ def mark_visited(frontier: DataFrame, batch: DataFrame, as_of) -> DataFrame:
                     .alias("latest_visit"))
 
 
+def mark_visited_many(frontier: DataFrame, batch: DataFrame, as_of) -> DataFrame:
+    """``mark_visited`` for a batch of any size (one batch per host per
+    round): a key equi-join, left to AQE to broadcast when small."""
+    b = batch.select("host_reversed", "path", F.lit(True).alias("_in"))
+    stamp = F.lit(as_of).cast("timestamp_ntz")
+    return (frontier.join(b, ["host_reversed", "path"], "left")
+            .select("id", "scheme", "host_reversed", "path",
+                    F.when(F.col("_in"), stamp).otherwise(F.col("latest_visit")).alias("latest_visit")))
+
+
+def escaped_path_of(path: str) -> Column:
+    return escape_path(F.col(path))
+
+
 def frontier_all_hosts(frontier: DataFrame, per_host: int = BATCH_SIZE) -> DataFrame:
     """Up to ``per_host`` unvisited pages of every host in one job."""
     w = Window.partitionBy("host_reversed").orderBy("path")

@@ -286,3 +286,21 @@ ORACLE["host_stats"] = (
     f"coalesce(pages, 0) - coalesce(visited, 0) AS unvisited, coalesce(links_out, 0) AS links_out, "
     f"coalesce(links_in, 0) AS links_in FROM p FULL JOIN o ON p.host_reversed = o.host_reversed "
     f"FULL JOIN i ON coalesce(p.host_reversed, o.host_reversed) = i.host_reversed")
+
+
+# --- crawl over G1 -------------------------------------------------------------
+
+def _reach_sql() -> str:
+    e = graph_edges_sql()
+    return (f"WITH RECURSIVE e AS MATERIALIZED ({e}), seed AS (SELECT source AS node FROM e "
+            f"ORDER BY s_node LIMIT 1), r(node) AS (SELECT node FROM seed UNION "
+            f"SELECT e.target FROM r JOIN e ON e.source = r.node)")
+
+
+ORACLE["crawl_rounds"] = f"{_reach_sql()} SELECT DISTINCT source, target FROM e WHERE source IN (SELECT node FROM r)"
+ORACLE["crawl_depth"] = (
+    f"WITH RECURSIVE e AS MATERIALIZED ({graph_edges_sql()}), seed AS (SELECT source AS node FROM e "
+    f"ORDER BY s_node LIMIT 1), n AS (SELECT count(*) AS c FROM (SELECT source FROM e UNION SELECT target FROM e)), "
+    f"r(node, depth) AS (SELECT node, 0 FROM seed UNION SELECT e.target, r.depth + 1 FROM r "
+    f"JOIN e ON e.source = r.node WHERE r.depth < (SELECT c FROM n)) "
+    f"SELECT node, CAST(min(depth) AS INTEGER) AS depth FROM r GROUP BY node")

@@ -236,3 +236,33 @@ def frontier_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 def host_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators import frontier as FR
     return FR.host_stats(_visited_frontier(spark, sf_dir), L.page_links(read_pages(spark, sf_dir)))
+
+
+# --- D5/D6: crawl over the link graph G1 --------------------------------------
+
+def _graph_seed(spark, sf_dir):
+    """The G1 source node with the smallest number."""
+    e = D.graph_edges(spark, sf_dir)
+    return e.orderBy("s_node").limit(1).select(F.col("source").alias("node"))
+
+
+@query
+def crawl_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .crawl import crawl_depth as depth
+    e = D.graph_edges(spark, sf_dir).select("source", "target")
+    return depth(e, _graph_seed(spark, sf_dir))
+
+
+@query
+def crawl_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crawl the G1 pages from the first node until the frontier is empty;
+    returns the discovered edge table."""
+    from .crawl import crawl_rounds as rounds
+    gp = D.graph_pages(spark, sf_dir)
+    resp = gp.select("page_id", "url", F.lit(200).alias("status"),
+                     F.lit("text/html; charset=utf-8").alias("content_type"),
+                     F.lit("").alias("x_robots_tag"), "html")
+    seeds = _graph_seed(spark, sf_dir).select(F.lit(0).cast("long").alias("line_no"),
+                                              F.col("node").alias("value"))
+    _, links, _ = rounds(seeds, resp)
+    return links
