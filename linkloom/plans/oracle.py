@@ -304,3 +304,74 @@ ORACLE["crawl_depth"] = (
     f"r(node, depth) AS (SELECT node, 0 FROM seed UNION SELECT e.target, r.depth + 1 FROM r "
     f"JOIN e ON e.source = r.node WHERE r.depth < (SELECT c FROM n)) "
     f"SELECT node, CAST(min(depth) AS INTEGER) AS depth FROM r GROUP BY node")
+
+
+# --- pacing and metrics ----------------------------------------------------------
+
+REQUEST_LOG = ("SELECT event_id, ts, 'u' || CAST(user_id AS VARCHAR) || '.example.com' AS host, "
+               "CASE WHEN event_type = 'click' THEN 'HEAD' ELSE 'GET' END AS method, "
+               "CAST(CASE WHEN event_type = 'error' THEN 429 WHEN event_type = 'signup' THEN 301 ELSE 200 END "
+               "AS INTEGER) AS code, value / 100 AS duration_s, CASE WHEN event_type = 'error' THEN 'ERROR' "
+               "WHEN event_type = 'signup' THEN 'WARN' ELSE 'INFO' END AS level FROM events")
+
+_D_US = 3_600_000_000
+ORACLE["politeness_schedule"] = (
+    f"SELECT event_id, ts, method, host, make_timestamp(m + i * {_D_US}) AS slot_ts, "
+    f"(m + i * {_D_US} - epoch_us(ts)) / 1e6 AS wait_s, m + i * {_D_US} - epoch_us(ts) > 0 AS delayed "
+    f"FROM (SELECT *, max(epoch_us(ts) - i * {_D_US}) OVER (PARTITION BY method, host ORDER BY ts, event_id "
+    f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS m FROM (SELECT *, row_number() OVER "
+    f"(PARTITION BY method, host ORDER BY ts, event_id) - 1 AS i FROM ({REQUEST_LOG})))")
+ORACLE["adaptive_rate"] = (
+    f"SELECT event_id, ts, host, method, halvings, 5.0 * pow(2.0, halvings) AS interval_s FROM "
+    f"(SELECT *, coalesce(sum(CASE WHEN code = 429 THEN 1 ELSE 0 END) OVER (PARTITION BY host ORDER BY ts, "
+    f"event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS halvings FROM ({REQUEST_LOG}))")
+ORACLE["crawl_counters"] = (
+    f"SELECT (SELECT count(*) FROM ({REQUEST_LOG})) AS processed, "
+    f"(SELECT count(*) FILTER (WHERE level = 'ERROR') FROM ({REQUEST_LOG})) AS errors, "
+    f"(SELECT count(*) FILTER (WHERE level = 'WARN') FROM ({REQUEST_LOG})) AS warnings, "
+    f"(SELECT count(*) FILTER (WHERE latest_visit IS NULL) FROM ({visited_frontier_sql()})) AS queue_size, "
+    f"(SELECT count(*) FROM ({Q.page_links(PAGES)})) AS links, "
+    f"(SELECT count(*) FILTER (WHERE allowed) FROM ({robots_allowed_sql()})) AS robots_allowed, "
+    f"(SELECT count(*) FILTER (WHERE NOT allowed) FROM ({robots_allowed_sql()})) AS robots_disallowed")
+ORACLE["log_levels"] = (f"SELECT level, count(*) AS n FROM ({REQUEST_LOG}) WHERE level IN ('ERROR', 'WARN') "
+                        f"GROUP BY level")
+ORACLE["requests_by_code"] = f"SELECT code, method, count(*) AS n FROM ({REQUEST_LOG}) GROUP BY code, method"
+
+
+def histogram_sql(label: str, value: str, buckets: list[float]) -> str:
+    bounds = "[" + ", ".join(repr(b) for b in buckets) + "]::DOUBLE[]"
+    names = [repr(b) for b in buckets] + ["+Inf"]
+    grid_names = "[" + ", ".join(Q.lit(n) for n in names) + "]"
+    return (f"WITH l AS ({REQUEST_LOG}), per AS (SELECT {label} AS label, len(list_filter({bounds}, "
+            f"lambda b: b < {value})) AS b, count(*) AS n FROM l GROUP BY 1, 2), "
+            f"tot AS (SELECT {label} AS label, sum({value}) AS sum, count(*) AS count FROM l GROUP BY 1), "
+            f"grid AS (SELECT label, sum, count, unnest(range(0, {len(names)})) AS b, unnest({grid_names}) AS le "
+            f"FROM tot) SELECT g.label, g.le, sum(coalesce(p.n, 0)) OVER (PARTITION BY g.label ORDER BY g.b "
+            f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_count, g.sum, g.count "
+            f"FROM grid g LEFT JOIN per p ON g.label = p.label AND g.b = p.b")
+
+
+def _buckets():
+    from ..operators.metrics import DEFAULT_BUCKETS, TLS_BUCKETS
+    return DEFAULT_BUCKETS, TLS_BUCKETS
+
+
+ORACLE["duration_histogram"] = histogram_sql("method", "duration_s", _buckets()[0])
+ORACLE["labelled_histogram"] = histogram_sql("level", "duration_s", _buckets()[1])
+ORACLE["in_flight"] = (
+    f"WITH ev AS (SELECT epoch_us(ts) AS t, 1 AS d, event_id AS id FROM ({REQUEST_LOG}) UNION ALL "
+    f"SELECT epoch_us(ts) + CAST(floor(duration_s * 1000000) AS BIGINT), -1, event_id FROM ({REQUEST_LOG})) "
+    f"SELECT date_trunc('hour', make_timestamp(t)) AS bucket, max(f) AS peak_in_flight FROM "
+    f"(SELECT t, sum(d) OVER (ORDER BY t, d, id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS f "
+    f"FROM ev) GROUP BY 1")
+ORACLE["throughput"] = (
+    f"WITH l AS ({REQUEST_LOG}), per AS (SELECT date_trunc('day', ts) AS bucket, count(*) AS requests, "
+    f"(epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS seconds FROM l GROUP BY 1 UNION ALL "
+    f"SELECT NULL, count(*), (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 FROM l) "
+    f"SELECT bucket, requests, seconds, CASE WHEN seconds > 0 THEN requests / seconds END AS rate FROM per")
+ORACLE["progress_report"] = (
+    f"SELECT bucket, n AS requests, sum(n) OVER w AS processed, sum(e) OVER w AS errors, "
+    f"sum(wn) OVER w AS warnings FROM (SELECT date_trunc('day', ts) AS bucket, count(*) AS n, "
+    f"count(*) FILTER (WHERE level = 'ERROR') AS e, count(*) FILTER (WHERE level = 'WARN') AS wn "
+    f"FROM ({REQUEST_LOG}) GROUP BY 1) WINDOW w AS (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING "
+    f"AND CURRENT ROW)")

@@ -266,3 +266,69 @@ def crawl_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               F.col("node").alias("value"))
     _, links, _ = rounds(seeds, resp)
     return links
+
+
+# --- D7/D8, E2-E8, F1: pacing and metrics over the request log ---------------
+
+PACING_INTERVAL_S = 3600.0
+
+
+@query
+def politeness_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.pacing import politeness_schedule as sched
+    return sched(D.request_log(spark, sf_dir), PACING_INTERVAL_S)
+
+
+@query
+def adaptive_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.pacing import adaptive_rate as rate
+    return rate(D.request_log(spark, sf_dir))
+
+
+@query
+def crawl_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.metrics import crawl_counters as counters
+    return counters(spark, D.request_log(spark, sf_dir), _visited_frontier(spark, sf_dir),
+                    L.page_links(read_pages(spark, sf_dir)), _allowed(spark, sf_dir))
+
+
+@query
+def log_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.metrics import log_levels as levels
+    return levels(D.request_log(spark, sf_dir))
+
+
+@query
+def requests_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.metrics import requests_by_code as by_code
+    return by_code(D.request_log(spark, sf_dir))
+
+
+@query
+def duration_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.metrics import histogram
+    return histogram(D.request_log(spark, sf_dir), "method", "duration_s")
+
+
+@query
+def labelled_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.metrics import TLS_BUCKETS, histogram
+    return histogram(D.request_log(spark, sf_dir), "level", "duration_s", TLS_BUCKETS)
+
+
+@query
+def in_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.metrics import in_flight as flight
+    return flight(D.request_log(spark, sf_dir))
+
+
+@query
+def throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.metrics import throughput as tp
+    return tp(D.request_log(spark, sf_dir))
+
+
+@query
+def progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.metrics import progress_report as progress
+    return progress(D.request_log(spark, sf_dir))
