@@ -31,7 +31,7 @@ ORACLE["url_rejects"] = (
     "SELECT regexp_extract(reject_reason, '^([^:]*)', 1) AS reason, count(*) AS n "
     f"FROM ({Q.normalize(Q.url_variants(), 'input')}) WHERE reject_reason IS NOT NULL GROUP BY 1")
 
-ORACLE["reverse_hostname_q"] = (
+ORACLE["reverse_hostname"] = (
     f"SELECT host, {Q.reverse_host('host')} AS host_reversed, "
     f"{Q.reverse_host(Q.reverse_host('host'))} AS round_trip "
     f"FROM (SELECT DISTINCT host FROM ({Q.canonical_pages('SELECT url FROM pages')}))")
@@ -375,3 +375,23 @@ ORACLE["progress_report"] = (
     f"count(*) FILTER (WHERE level = 'ERROR') AS e, count(*) FILTER (WHERE level = 'WARN') AS wn "
     f"FROM ({REQUEST_LOG}) GROUP BY 1) WINDOW w AS (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING "
     f"AND CURRENT ROW)")
+
+
+# --- streaming and remaining ---------------------------------------------------------
+
+ORACLE["stream_ingest"] = Q.page_links(PAGES)
+ORACLE["archive_fetch"] = (
+    f"WITH cf AS MATERIALIZED ({crawl_frontier_sql()}), a AS ("
+    f"SELECT scheme AS a_scheme, host_reversed, path, page_id, status, content_type, x_robots_tag "
+    f"FROM ({Q.canonical_pages(responses_sql())})) "
+    f"SELECT id, scheme, host_reversed, path, page_id, status, content_type, x_robots_tag, "
+    f"page_id IS NOT NULL AS fetched FROM (SELECT cf.id, cf.scheme, cf.host_reversed, cf.path, a.page_id, "
+    f"a.status, a.content_type, a.x_robots_tag, row_number() OVER (PARTITION BY cf.id ORDER BY "
+    f"(a.a_scheme <> cf.scheme) ASC NULLS LAST, a.page_id ASC NULLS LAST) AS rn FROM cf LEFT JOIN a "
+    f"ON cf.host_reversed = a.host_reversed AND cf.path = a.path) WHERE rn = 1")
+ORACLE["replace_links"] = (
+    f"WITH old AS ({Q.page_links(PAGES)}), p AS (SELECT page_id, source FROM "
+    f"({Q.canonical_pages('SELECT page_id, url FROM pages')})), g AS (SELECT s_node AS page_id, target "
+    f"FROM ({graph_edges_sql()})), rr AS (SELECT p.source, g.target FROM p LEFT JOIN g USING (page_id)) "
+    f"SELECT source, target FROM old WHERE source NOT IN (SELECT source FROM rr) UNION ALL "
+    f"SELECT DISTINCT source, target FROM rr WHERE target IS NOT NULL")

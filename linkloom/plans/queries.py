@@ -17,9 +17,11 @@ from ..sources.tables import read_pages
 REGISTRY: dict = {}
 
 
-def query(fn):
-    REGISTRY[fn.__name__] = fn
-    return fn
+def query(fn=None, *, name: str | None = None):
+    def reg(f):
+        REGISTRY[name or f.__name__] = f
+        return f
+    return reg(fn) if fn is not None else reg
 
 
 # --- B: URL and page jobs ----------------------------------------------------
@@ -39,7 +41,7 @@ def url_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy(kind).agg(F.count(F.lit(1)).alias("n")))
 
 
-@query
+@query(name="reverse_hostname")
 def reverse_hostname_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     hosts = (L.canonical_pages(read_pages(spark, sf_dir).select("url"))
              .select("host").distinct())
@@ -332,3 +334,57 @@ def throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
 def progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.metrics import progress_report as progress
     return progress(D.request_log(spark, sf_dir))
+
+
+# --- I: streaming ingest ------------------------------------------------------
+
+def _stream_run(spark, sf_dir, runs: int = 1):
+    """Re-write ``pages`` as several files under the shared checkpoint
+    folder, stream them one file per trigger, and return the table folder."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    from ..streaming.ingest import start_ingest
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/stream-{uuid.uuid4().hex[:10]}"
+    src, table = f"{base}/source", f"{base}/tables"
+    read_pages(spark, sf_dir).repartition(4, "page_id").write.parquet(src)
+    for r in range(runs):
+        q = start_ingest(spark, src, table, f"{base}/checkpoint-{r}")
+        q.awaitTermination()
+    return table
+
+
+@query
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edge table built by the stream (compared with the batch result);
+    the input is streamed twice with separate checkpoints, the second run
+    must add nothing."""
+    from ..streaming.ingest import read_links
+    return read_links(spark, _stream_run(spark, sf_dir, runs=2))
+
+
+@query
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per micro-batch counters observed by the stream."""
+    from ..streaming.ingest import read_metrics
+    return read_metrics(spark, _stream_run(spark, sf_dir, runs=1))
+
+
+# --- remaining table operators ---------------------------------------------------
+
+@query
+def archive_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every crawl-frontier page looked up in the archive of responses."""
+    from ..operators.responses import archive_fetch as fetch
+    return fetch(_crawl_frontier(spark, sf_dir), D.responses(spark, sf_dir))
+
+
+@query
+def replace_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Link refresh: the archive's pages are read again and now show the
+    links of the G1 graph pages with the same node number; their old
+    links go, the new ones come in."""
+    old = L.page_links(read_pages(spark, sf_dir))
+    pages = L.canonical_pages(read_pages(spark, sf_dir).select("page_id", "url")).select("page_id", "source")
+    g = D.graph_edges(spark, sf_dir).select(F.col("s_node").alias("page_id"), F.col("target").alias("g_target"))
+    re_read = pages.join(g, "page_id", "left").select("source", F.col("g_target").alias("target"))
+    return L.replace_links(old, re_read)
