@@ -178,12 +178,13 @@ def _parse_steps(df: DataFrame, col: str, p: str) -> DataFrame:
 
 
 def _finish(df: DataFrame, p: str, out: str, scheme: Column, userinfo: Column,
-            has_user: Column, host: Column, port: Column, escaped: Column,
+            has_user, host: Column, port: Column, escaped: Column,
             perr: Column, opaque: Column) -> DataFrame:
     """Apply the canonical rules to resolved parts and emit output columns."""
     df = stage(df, **{
-        f"{p}f_scheme": F.lower(scheme), f"{p}f_user": F.when(has_user, F.concat(userinfo, F.lit("@")))
-        .otherwise(F.lit("")),
+        f"{p}f_scheme": F.lower(scheme),
+        f"{p}f_user": F.when(has_user, F.concat(userinfo, F.lit("@"))).otherwise(F.lit(""))
+        if has_user is not True else userinfo,
         f"{p}f_host": host, f"{p}f_port": port, f"{p}f_esc": escaped, f"{p}f_perr": perr,
         f"{p}f_opaque": opaque,
     })
@@ -247,15 +248,31 @@ def resolve_urls(df: DataFrame, base: str, ref: str, out: str = "") -> DataFrame
     """Resolve reference ``ref`` against the canonical URL in ``base`` and
     canonicalize the result (B7 + B8).  Same output columns as
     :func:`normalize_urls`; an unparsable reference gets a reject reason.
+    When the base is already split (canonical pages), prefer
+    :func:`resolve_against`, which parses only the reference.
     """
-    p = "_ru_"
     b = "_rb_"
     df = _parse_steps(df, base, b)
+    bc = lambda n: F.col(f"{b}{n}")
+    df = stage(df, **{f"{b}esc": escaped_form(bc("path_raw")),
+                      f"{b}user": F.when(bc("has_user"), F.concat(bc("userinfo"), F.lit("@")))
+                      .otherwise(F.lit(""))})
+    df = resolve_against(df, ref, bc("scheme_raw"), bc("host"), bc("port"), bc("user"), bc("esc"),
+                         out, base_err=bc("perr"))
+    return _drop_prefixed(df, b)
+
+
+def resolve_against(df: DataFrame, ref: str, scheme: Column, host: Column, port: Column,
+                    user_prefix: Column, path_escaped: Column, out: str = "",
+                    base_err: Column | None = None) -> DataFrame:
+    """Resolve ``ref`` against a base given by its parts (scheme, host,
+    port, ``user@`` prefix, escaped path) and canonicalize (B7 + B8)."""
+    p = "_ru_"
+    df = stage(df, **{f"{p}b_scheme": scheme, f"{p}b_host": host, f"{p}b_port": port,
+                      f"{p}b_user": user_prefix, f"{p}esc_base": path_escaped})
     df = _parse_steps(df, ref, p)
     c = lambda n: F.col(f"{p}{n}")
-    bc = lambda n: F.col(f"{b}{n}")
-    df = stage(df, **{f"{p}esc_ref": escaped_form(c("path_raw")),
-                      f"{p}esc_base": escaped_form(bc("path_raw"))})
+    df = stage(df, **{f"{p}esc_ref": escaped_form(c("path_raw"))})
     er, eb = c("esc_ref"), c("esc_base")
     own_auth = c("has_scheme") | c("has_auth")
     full = (F.when(own_auth, er)
@@ -264,12 +281,13 @@ def resolve_urls(df: DataFrame, base: str, ref: str, out: str = "") -> DataFrame
             .otherwise(F.concat(F.regexp_extract(eb, r"^(.*/)", 1), er)))
     df = stage(df, **{f"{p}full": full})
     df = stage(df, **{f"{p}resolved": remove_dot_segments(c("full"))})
-    pick = lambda r: F.when(own_auth, c(r)).otherwise(bc(r))
-    scheme = F.when(c("has_scheme"), c("scheme_raw")).otherwise(bc("scheme_raw"))
-    df = _finish(df, p, out, scheme, pick("userinfo"), pick("has_user"),
-                 pick("host"), pick("port"), c("resolved"),
-                 F.coalesce(c("perr"), bc("perr")), c("opaque"))
-    return _drop_prefixed(_drop_prefixed(df, p), b)
+    ref_user = F.when(c("has_user"), F.concat(c("userinfo"), F.lit("@"))).otherwise(F.lit(""))
+    scheme_r = F.when(c("has_scheme"), c("scheme_raw")).otherwise(c("b_scheme"))
+    perr = c("perr") if base_err is None else F.coalesce(c("perr"), base_err)
+    df = _finish(df, p, out, scheme_r, F.when(own_auth, ref_user).otherwise(c("b_user")),
+                 True, F.when(own_auth, c("host")).otherwise(c("b_host")),
+                 F.when(own_auth, c("port")).otherwise(c("b_port")), c("resolved"), perr, c("opaque"))
+    return _drop_prefixed(df, p)
 
 
 def page_url(scheme: Column, host_reversed: Column, path: Column) -> Column:

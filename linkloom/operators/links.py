@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.html import href_value, raw_anchor_values
-from ..functions.urls import normalize_urls, resolve_urls
+from ..functions.urls import normalize_urls, resolve_against
 
 
 def canonical_pages(pages: DataFrame, url_col: str = "url") -> DataFrame:
@@ -31,6 +31,35 @@ def canonical_pages(pages: DataFrame, url_col: str = "url") -> DataFrame:
             .drop("c_reject_reason"))
 
 
+def _user_prefix(url_col: str) -> F.Column:
+    return F.regexp_extract(F.col(url_col), r"^[^:]+://([^@/]*@)?", 1)
+
+
+def page_hrefs(pages: DataFrame, extract: str = "regex") -> DataFrame:
+    """Canonical pages (one URL parse per page) with their raw hrefs:
+    ``(page_id, source, scheme, host, path_escaped, user_prefix, pos, href)``."""
+    canon = canonical_pages(pages.select("page_id", "url", "html"), "url").select(
+        "page_id", "url", "source", "scheme", "host", "path_escaped", "html",
+        _user_prefix("source").alias("user_prefix"))
+    raw = extract_raw_links(canon.select("page_id", "url", "html"), extract)
+    return canon.drop("html").join(raw.drop("url"), "page_id") if extract == "parser" else \
+        _explode_hrefs(canon)
+
+
+def _explode_hrefs(canon: DataFrame) -> DataFrame:
+    arr = canon.select("page_id", "source", "scheme", "host", "path_escaped", "user_prefix",
+                       raw_anchor_values(F.col("html")).alias("hrefs"))
+    return (arr.select("page_id", "source", "scheme", "host", "path_escaped", "user_prefix",
+                       F.posexplode("hrefs").alias("pos0", "raw"))
+            .select("page_id", "source", "scheme", "host", "path_escaped", "user_prefix",
+                    (F.col("pos0") + 1).alias("pos"), href_value(F.col("raw")).alias("href")))
+
+
+def _resolve(h: DataFrame) -> DataFrame:
+    return resolve_against(h, "href", F.col("scheme"), F.col("host"), F.lit(""),
+                           F.col("user_prefix"), F.col("path_escaped"), "t_")
+
+
 def extract_raw_links(pages: DataFrame, extract: str = "regex") -> DataFrame:
     """``(page_id, url, pos, href)`` for every ``<a href>`` of every page,
     ``pos`` 1-based in document order, value entity-decoded (B6).
@@ -51,9 +80,7 @@ def resolve_links(pages: DataFrame, extract: str = "regex") -> DataFrame:
     """Every raw href resolved against its page's canonical URL (B7/B8):
     ``(page_id, source, pos, href, target, reject_reason)``; ``target`` is
     null for a refused link."""
-    raw = extract_raw_links(pages, extract)
-    src = canonical_pages(raw, "url").select("page_id", "source", "pos", "href")
-    res = resolve_urls(src, "source", "href", "t_")
+    res = _resolve(page_hrefs(pages, extract))
     return res.select("page_id", "source", "pos", "href",
                       F.col("t_url").alias("target"),
                       F.col("t_reject_reason").alias("reject_reason"))
@@ -119,9 +146,7 @@ def backlinks_of(links: DataFrame, targets: DataFrame) -> DataFrame:
 def link_keys(pages: DataFrame, extract: str = "regex") -> DataFrame:
     """Accepted links with the frontier key of their target:
     ``(page_id, pos, source, target, scheme, host_reversed, path)``."""
-    raw = extract_raw_links(pages, extract)
-    src = canonical_pages(raw, "url").select("page_id", "source", "pos", "href")
-    res = resolve_urls(src, "source", "href", "t_")
+    res = _resolve(page_hrefs(pages, extract))
     return res.where(F.col("t_reject_reason").isNull()).select(
         "page_id", "pos", "source", F.col("t_url").alias("target"),
         F.col("t_scheme").alias("scheme"), F.col("t_host_reversed").alias("host_reversed"),

@@ -28,9 +28,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread an under-split scan over the cluster's cores.
+
+    Large inputs arrive in many splits and pass through untouched; a file
+    with a single row group is read by one task, which would leave the
+    per-page regex work on one core.  Hashing on a key (not round-robin)
+    keeps the assignment deterministic when a task is retried.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key)
+
+
 def read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archived fetched pages ``(page_id, url, html)`` (A3 source)."""
-    return read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return spread(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"), "page_id")
 
 
 def write_frontier(frontier: DataFrame, path: str, partitions: int | None = None) -> None:
