@@ -58,13 +58,15 @@ def parse_seeds(lines: DataFrame, urls: list[str] | None = None) -> DataFrame:
     w_order = [*order, "line_no", "pos"]
     toks = toks.select(F.struct(*w_order).alias("arrival"), "input")
     n = normalize_urls(toks, "input")
-    checked = n.select(
-        "arrival", "input",
-        F.when(F.col("reject_reason").isNotNull(),
-               F.raise_error(F.concat(F.lit("invalid seed "), F.col("input"), F.lit(": "),
-                                      F.col("reject_reason")))).alias("_fail"),
-        "scheme", "host_reversed", "path", "url")
-    return checked.drop("_fail")
+    # the check sits inside the key column, which every consumer reads, so
+    # column pruning cannot drop it
+    fail = F.raise_error(F.concat(F.lit("invalid seed "), F.col("input"), F.lit(": "),
+                                  F.col("reject_reason")))
+    return n.select(
+        "arrival", "input", "scheme",
+        F.when(F.col("reject_reason").isNotNull(), fail).otherwise(F.col("host_reversed"))
+        .alias("host_reversed"),
+        "path", "url")
 
 
 def insert_pages(existing: DataFrame, new: DataFrame, order: list[str]) -> DataFrame:
