@@ -28,7 +28,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+_SPLITS: dict = {}
+
+
+def _splits(df: DataFrame, path: str) -> int:
+    """Number of scan partitions of a table (memoized per session/path)."""
+    k = (df.sparkSession.sparkContext.applicationId, path)
+    if k not in _SPLITS:
+        _SPLITS[k] = df.rdd.getNumPartitions()
+    return _SPLITS[k]
+
+
+def spread(df: DataFrame, key: str, path: str | None = None) -> DataFrame:
     """Hash-spread an under-split scan over the cluster's cores.
 
     Large inputs arrive in many splits and pass through untouched; a file
@@ -37,14 +48,16 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     keeps the assignment deterministic when a task is retried.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    have = _splits(df, path) if path else df.rdd.getNumPartitions()
+    if have >= want:
         return df
     return df.repartition(want, key)
 
 
 def read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archived fetched pages ``(page_id, url, html)`` (A3 source)."""
-    return spread(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"), "page_id")
+    return spread(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"), "page_id",
+                  table_path(sf_dir, "pages"))
 
 
 def write_frontier(frontier: DataFrame, path: str, partitions: int | None = None) -> None:
