@@ -100,10 +100,12 @@ def backlinks_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- A/B: robots and responses ---------------------------------------------
 
-def _robots_texts(spark, sf_dir):
+def _robots_texts(spark, sf_dir, pages=None):
     from ..operators.robots import robots_text
-    hosts = L.canonical_pages(read_pages(spark, sf_dir).select("url")).select("host")
-    return robots_text(hosts, D.robots_responses(spark, sf_dir))
+    if pages is None:
+        pages = L.canonical_pages(read_pages(spark, sf_dir).select("url"))
+    hosts = pages.select("host").distinct()
+    return robots_text(hosts, D.robots_responses(spark, sf_dir, hosts))
 
 
 @query
@@ -120,7 +122,7 @@ def robots_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _allowed(spark, sf_dir):
     from ..operators.robots import fold_rules, robots_allowed, robots_rules as rules
     pages = L.canonical_pages(read_pages(spark, sf_dir).select("page_id", "url"))
-    return robots_allowed(pages, fold_rules(rules(_robots_texts(spark, sf_dir))))
+    return robots_allowed(pages, fold_rules(rules(_robots_texts(spark, sf_dir, pages))))
 
 
 @query

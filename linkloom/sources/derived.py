@@ -41,11 +41,14 @@ ROBOTS_FIXTURE = {
 }
 
 
-def robots_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One robots response per distinct host of ``pages``."""
-    hosts = (normalize_urls(read_pages(spark, sf_dir).select("url"), "url", "n_")
-             .where(F.col("n_reject_reason").isNull())
-             .select(F.col("n_host").alias("host")).distinct())
+def robots_responses(spark: SparkSession, sf_dir: str, hosts: DataFrame | None = None) -> DataFrame:
+    """One robots response per distinct host of ``pages`` (or of ``hosts``
+    when the caller already has them)."""
+    if hosts is None:
+        hosts = (normalize_urls(read_pages(spark, sf_dir).select("url"), "url", "n_")
+                 .where(F.col("n_reject_reason").isNull())
+                 .select(F.col("n_host").alias("host")))
+    hosts = hosts.select("host").distinct()
     label = F.split(F.col("host"), r"\.").getItem(0)
 
     def pick(i):
