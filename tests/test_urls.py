@@ -13,7 +13,7 @@ REVERSE_CASES = [
 ]
 
 NORMALIZE_OK = [
-    ("lovergne.dev", "http://lovergne.dev"),
+    ("example.dev", "http://example.dev"),
     ("http://test.com/", "http://test.com"),
     ("http://test.com:80", "http://test.com"),
     ("https://test.com:443", "https://test.com"),
@@ -58,8 +58,8 @@ def test_normalize_rejects_exact_message(spark):
 
 
 def test_seed_without_scheme_gets_host(spark):
-    r = _norm(spark, ["lovergne.dev"])[0]
-    assert (r.host, r.host_reversed, r.path) == ("lovergne.dev", "dev.lovergne", "")
+    r = _norm(spark, ["example.dev"])[0]
+    assert (r.host, r.host_reversed, r.path) == ("example.dev", "dev.example", "")
 
 
 def test_normalize_extra(spark):
