@@ -9,8 +9,13 @@ Exactly-once by construction: each micro-batch writes into its own folder
 what is new reads the table *without* that folder.  A batch replayed after
 a failure therefore rewrites the same rows, and a second run over the same
 input (new checkpoint, new ``run_id``) adds nothing.  De-duplication is by
-key against the table, never with unbounded streaming state.  Per-batch
-counters are collected with ``observe`` and appended to a metrics table.
+key against the table, never with unbounded streaming state.
+
+Inside a batch folder rows are partitioned by ``bucket`` = hash of the
+host (of the link source, of the page), so the anti-join reads only the
+buckets the micro-batch touches; crawl batches are host-clustered, so
+that is a small share of the table.  Per-batch counters are collected
+with ``observe`` and appended to a metrics table.
 """
 
 from __future__ import annotations
@@ -27,13 +32,25 @@ from ..operators.responses import crawlable_reason
 from ..schemas import PAGES, RESPONSES
 
 
-def _existing(spark: SparkSession, path: str, cols: list[str], run_id: str, batch_id: int):
-    """Rows of a ``run_id=/batch_id=`` partitioned table, minus the folder
-    the current batch is about to (re)write."""
+BUCKETS = 256
+
+
+def host_bucket(host_col, buckets: int = BUCKETS):
+    return F.pmod(F.xxhash64(host_col), F.lit(buckets)).cast("int")
+
+
+def _existing(spark: SparkSession, path: str, cols: list[str], run_id: str, batch_id: int,
+              buckets: list[int]):
+    """Rows of a ``run_id=/batch_id=/bucket=`` partitioned table in the given
+    buckets, minus the folder the current batch is about to (re)write.
+    The bucket list is bounded by the bucket count; the filter prunes
+    partitions at planning time."""
     if not _has_data(path):
         return None
     t = spark.read.parquet(path)
-    return t.where(~((F.col("run_id") == run_id) & (F.col("batch_id") == batch_id))).select(*cols)
+    return (t.where(F.col("bucket").isin(buckets))
+            .where(~((F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)))
+            .select("bucket", *cols))
 
 
 def _has_data(path: str) -> bool:
@@ -45,7 +62,8 @@ def _has_data(path: str) -> bool:
 
 
 def _write(df: DataFrame, path: str, run_id: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/run_id={run_id}/batch_id={batch_id}")
+    (df.write.mode("overwrite").partitionBy("bucket")
+     .parquet(f"{path}/run_id={run_id}/batch_id={batch_id}"))
 
 
 def ingest_batch(batch: DataFrame, batch_id: int, table_dir: str, run_id: str) -> None:
@@ -54,21 +72,27 @@ def ingest_batch(batch: DataFrame, batch_id: int, table_dir: str, run_id: str) -
     if "status" in batch.columns:
         batch = batch.where(crawlable_reason().isNull())
     keys = L.link_keys(batch.select("page_id", "url", "html"))
-    keys = keys.persist()
+    keys = keys.select("*", host_bucket(L.host_of("source")).alias("src_bucket"),
+                       host_bucket(F.col("host_reversed")).alias("page_bucket")).persist()
     try:
         links_dir, pages_dir = f"{table_dir}/links", f"{table_dir}/frontier"
-        old_links = _existing(spark, links_dir, ["source", "target"], run_id, batch_id)
+        # bounded: at most BUCKETS small integers
+        src_b = [r[0] for r in keys.select("src_bucket").distinct().collect()]
+        page_b = [r[0] for r in keys.select("page_bucket").distinct().collect()]
+        old_links = _existing(spark, links_dir, ["source", "target"], run_id, batch_id, src_b)
         if old_links is None:
-            old_links = spark.createDataFrame([], "source string, target string")
-        new_links = L.insert_links(old_links, keys.select("source", "target"))
+            old_links = spark.createDataFrame([], "bucket int, source string, target string")
+        new_links = (keys.select(F.col("src_bucket").alias("bucket"), "source", "target").distinct()
+                     .join(old_links, ["bucket", "source", "target"], "left_anti"))
         obs = Observation(f"ingest_{run_id}_{batch_id}")
         new_links = new_links.observe(obs, F.count(F.lit(1)).alias("links_added"))
         _write(new_links, links_dir, run_id, batch_id)
-        old_pages = _existing(spark, pages_dir, ["host_reversed", "path"], run_id, batch_id)
+        old_pages = _existing(spark, pages_dir, ["host_reversed", "path"], run_id, batch_id, page_b)
         if old_pages is None:
-            old_pages = spark.createDataFrame([], "host_reversed string, path string")
-        new_pages = FR.insert_pages(old_pages, keys, ["page_id", "pos"])
-        _write(new_pages, pages_dir, run_id, batch_id)
+            old_pages = spark.createDataFrame([], "bucket int, host_reversed string, path string")
+        new_pages = FR.insert_pages(old_pages.drop("bucket"), keys, ["page_id", "pos"])
+        _write(new_pages.select("*", host_bucket(F.col("host_reversed")).alias("bucket")),
+               pages_dir, run_id, batch_id)
         added = obs.get.get("links_added", 0)
         metrics = spark.createDataFrame(
             [(run_id, batch_id, int(added))], "run_id string, batch_id long, links_added long")
