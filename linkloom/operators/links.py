@@ -21,14 +21,11 @@ def canonical_pages(pages: DataFrame, url_col: str = "url") -> DataFrame:
     """Attach the canonical page URL (``source``) and the frontier key
     ``(scheme, host_reversed, path)``; pages whose URL is refused drop."""
     df = normalize_urls(pages, url_col, "c_")
-    return (df.where(F.col("c_reject_reason").isNull())
-            .withColumnRenamed("c_url", "source")
-            .withColumnRenamed("c_scheme", "scheme")
-            .withColumnRenamed("c_host", "host")
-            .withColumnRenamed("c_host_reversed", "host_reversed")
-            .withColumnRenamed("c_path", "path")
-            .withColumnRenamed("c_path_escaped", "path_escaped")
-            .drop("c_reject_reason"))
+    keep = [c for c in pages.columns]
+    return df.where(F.col("c_reject_reason").isNull()).select(
+        *keep, F.col("c_url").alias("source"), F.col("c_scheme").alias("scheme"),
+        F.col("c_host").alias("host"), F.col("c_host_reversed").alias("host_reversed"),
+        F.col("c_path").alias("path"), F.col("c_path_escaped").alias("path_escaped"))
 
 
 def _user_prefix(url_col: str) -> F.Column:

@@ -297,7 +297,15 @@ def _reach_sql() -> str:
             f"SELECT e.target FROM r JOIN e ON e.source = r.node)")
 
 
-ORACLE["crawl_rounds"] = f"{_reach_sql()} SELECT DISTINCT source, target FROM e WHERE source IN (SELECT node FROM r)"
+_CRAWLABLE = ("s_node % 10 NOT IN (7, 8, 9) AND s_node % 6 <> 5 AND s_node % 8 <> 3 AND NOT "
+              "(s_node % 50 % 5 = 0 AND starts_with('/p/' || CAST(s_node AS VARCHAR), '/p/1'))")
+ORACLE["crawl_rounds"] = (
+    f"WITH RECURSIVE e AS MATERIALIZED ({graph_edges_sql()}), ok AS (SELECT DISTINCT source AS node FROM e "
+    f"WHERE {_CRAWLABLE}), seed AS (SELECT source AS node FROM e ORDER BY s_node LIMIT 1), "
+    f"r(node) AS (SELECT node FROM seed UNION SELECT e.target FROM r JOIN e ON e.source = r.node "
+    f"WHERE e.source IN (SELECT node FROM ok)) "
+    f"SELECT DISTINCT source, target FROM e WHERE source IN (SELECT node FROM r) "
+    f"AND source IN (SELECT node FROM ok)")
 ORACLE["crawl_depth"] = (
     f"WITH RECURSIVE e AS MATERIALIZED ({graph_edges_sql()}), seed AS (SELECT source AS node FROM e "
     f"ORDER BY s_node LIMIT 1), n AS (SELECT count(*) AS c FROM (SELECT source FROM e UNION SELECT target FROM e)), "

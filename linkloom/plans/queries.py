@@ -259,16 +259,19 @@ def crawl_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def crawl_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Crawl the G1 pages from the first node until the frontier is empty;
-    returns the discovered edge table."""
+    """Crawl the G1 pages from the first node until the frontier is empty,
+    through the robots filter (G1 robots files) and the response tests
+    (derived statuses); returns the discovered edge table."""
+    from ..operators.robots import fold_rules, robots_rules, robots_text
     from .crawl import crawl_rounds as rounds
-    gp = D.graph_pages(spark, sf_dir)
-    resp = gp.select("page_id", "url", F.lit(200).alias("status"),
-                     F.lit("text/html; charset=utf-8").alias("content_type"),
-                     F.lit("").alias("x_robots_tag"), "html")
+    from ..session import cut_lineage
+    # the derived archive is built once (a stored archive would be scanned)
+    resp = cut_lineage(D.graph_responses(spark, sf_dir))
+    rr = D.graph_robots_responses(spark, sf_dir)
+    folded = fold_rules(robots_rules(robots_text(rr.select("host"), rr)))
     seeds = _graph_seed(spark, sf_dir).select(F.lit(0).cast("long").alias("line_no"),
                                               F.col("node").alias("value"))
-    _, links, _ = rounds(seeds, resp)
+    _, links, _ = rounds(seeds, resp, folded)
     return links
 
 

@@ -159,3 +159,37 @@ def url_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     arr = F.array(*[F.struct(F.lit(k).alias("kind"), e.alias("input")) for k, e in kinds])
     return (read_pages(spark, sf_dir).select("page_id", "url")
             .select("page_id", F.inline(arr)))
+
+
+def graph_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 pages as fetched responses, with the same status / type / robots
+    header rules as :func:`responses` applied to the node number."""
+    gp = graph_pages(spark, sf_dir)
+    pid = F.col("page_id")
+    return gp.select(
+        "page_id", "url",
+        F.when(pid % 10 == 7, 404).when(pid % 10 == 8, 204).when(pid % 10 == 9, 429)
+        .otherwise(200).cast("int").alias("status"),
+        F.when(pid % 6 == 5, "application/pdf").otherwise("text/html; charset=utf-8")
+        .alias("content_type"),
+        F.when(pid % 8 == 3, "noindex, nofollow").when(pid % 8 == 4, F.lit(None))
+        .otherwise("").alias("x_robots_tag"),
+        "html")
+
+
+# --- fixed values: robots file of the G1 hosts s<k> with k % 5 = 0 -------------
+GRAPH_ROBOTS = "User-agent: *\nDisallow: /p/1\n"
+
+
+def graph_robots_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Robots responses of the G1 hosts: ``s<k>.example.com`` with
+    ``k % 5 = 0`` disallow paths starting with ``/p/1``; the others 404."""
+    e = graph_edges(spark, sf_dir)
+    hosts = (e.select(F.regexp_extract("source", r"^http://([^/]*)", 1).alias("host"))
+             .unionByName(e.select(F.regexp_extract("target", r"^http://([^/]*)", 1).alias("host")))
+             .distinct())
+    k = F.regexp_extract("host", r"^s([0-9]+)\.", 1).cast("int")
+    on = k % 5 == 0
+    return hosts.select("host", F.when(on, 200).otherwise(404).cast("int").alias("status"),
+                        F.when(on, "text/plain").otherwise("text/html").alias("content_type"),
+                        F.when(on, GRAPH_ROBOTS).otherwise("not found").alias("body"))
