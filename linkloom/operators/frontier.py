@@ -173,8 +173,11 @@ def link_target_keys(links: DataFrame) -> DataFrame:
 
 def referring_hosts(links: DataFrame) -> DataFrame:
     """Distinct referring hosts per page key, in two aggregation levels
-    (``(key, host)`` first) so a hot target is combined map-side."""
-    k = link_target_keys(links).select(
+    (``(key, host)`` first) so a hot target is combined map-side.  Links
+    that already carry the target key (``host_reversed, path``, as from
+    ``link_keys``) are not parsed again."""
+    keyed = links if {"host_reversed", "path"} <= set(links.columns) else link_target_keys(links)
+    k = keyed.select(
         "host_reversed", "path",
         F.regexp_extract("source", r"^[^:]+://(?:[^@/]*@)?([^/]*)", 1).alias("src_host"))
     return (k.groupBy("host_reversed", "path", "src_host").agg(F.lit(1).alias("_one"))

@@ -233,7 +233,8 @@ def refresh_due(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def frontier_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators import frontier as FR
-    return FR.frontier_ranked(_crawl_frontier(spark, sf_dir), L.page_links(read_pages(spark, sf_dir)))
+    keyed = L.link_keys(read_pages(spark, sf_dir)).select("source", "target", "host_reversed", "path")
+    return FR.frontier_ranked(_crawl_frontier(spark, sf_dir), keyed)
 
 
 @query

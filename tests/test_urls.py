@@ -137,3 +137,44 @@ def test_page_url_round_trip(spark, path):
     url = df.select(page_url(F.col("s"), F.col("hr"), F.col("p")).alias("u")).first().u
     back = _norm(spark, [url])[0]
     assert back.path == path and back.host_reversed == "com.h"
+
+
+def _dot_model(full: str) -> str:
+    """Plain-Python model of merge-and-remove-dot-segments on an escaped
+    path, written from the segment rules (not from any implementation)."""
+    if full == "":
+        return ""
+    out: list[str] = []
+    segs = full.split("/")
+    for e in segs:
+        if e == ".":
+            if not out:
+                out = [""]
+        elif e == "..":
+            out = [] if len(out) <= 1 else out[:-1]
+        else:
+            out.append(e)
+    r = "/" + "/".join(out) + ("/" if segs[-1] in (".", "..") else "")
+    return r[1:] if r.startswith("//") else r
+
+
+def test_remove_dot_segments_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from linkloom.functions.urls import remove_dot_segments
+
+    seg = st.sampled_from(["", ".", "..", "a", "b", "c.d"])
+    paths = st.lists(seg, min_size=0, max_size=7).map("/".join)
+    samples = []
+
+    @settings(max_examples=300, deadline=None)
+    @given(paths, st.booleans())
+    def collect(p, lead):
+        samples.append(("/" + p) if lead else p)
+
+    collect()
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(samples)], "i int, p string")
+    got = df.select("i", "p", remove_dot_segments(F.col("p")).alias("r")).collect()
+    for row in got:
+        assert row.r == _dot_model(row.p), row.p
