@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.timecols import chunk_of, epoch_micros, ntz_from_micros, truncate_micros
 from .scan import running
 
 # --- fixed values -----------------------------------------------------------
@@ -75,16 +76,16 @@ def in_flight(log: DataFrame, chunk: str = "hour") -> DataFrame:
     """Requests in flight (E7): +1 at start, -1 at end (start + duration);
     per time chunk the peak of the running total, with ends before starts
     at equal times.  The running total is a chunked prefix sum."""
-    start = F.unix_micros(F.col("ts").cast("timestamp"))
+    start = epoch_micros(F.col("ts"))
     end = start + (F.col("duration_s") * 1_000_000).cast("long")
     ev = log.select(F.explode(F.array(
         F.struct(start.alias("t"), F.lit(1).alias("d"), F.col("event_id").alias("id")),
         F.struct(end.alias("t"), F.lit(-1).alias("d"), F.col("event_id").alias("id")))).alias("e")) \
         .select("e.*")
-    ch = F.date_trunc(chunk, F.timestamp_micros(F.col("t")))
+    ch = chunk_of(F.col("t"), chunk)
     r = running(ev.select("*", F.lit(0).alias("_all")), ["_all"], ch, ["t", "d", "id"], F.col("d"),
                 "sum", "in_flight")
-    return (r.groupBy(F.date_trunc(chunk, F.timestamp_micros(F.col("t"))).cast("timestamp_ntz").alias("bucket"))
+    return (r.groupBy(ntz_from_micros(truncate_micros(F.col("t"), chunk)).alias("bucket"))
             .agg(F.max("in_flight").alias("peak_in_flight")))
 
 
@@ -94,7 +95,7 @@ def throughput(log: DataFrame, bucket: str = "1 day") -> DataFrame:
     b = F.window("ts", bucket)
     per = log.groupBy(b.alias("w")).agg(F.count(F.lit(1)).alias("requests"),
                                         F.min("ts").alias("first"), F.max("ts").alias("last"))
-    secs = (F.unix_micros(F.col("last").cast("timestamp")) - F.unix_micros(F.col("first").cast("timestamp"))) / 1e6
+    secs = (epoch_micros(F.col("last")) - epoch_micros(F.col("first"))) / 1e6
     per = per.select(F.col("w.start").cast("timestamp_ntz").alias("bucket"), "requests",
                      secs.alias("seconds"))
     allr = log.agg(F.count(F.lit(1)).alias("requests"), F.min("ts").alias("first"), F.max("ts").alias("last")) \

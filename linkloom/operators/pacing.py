@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timecols import chunk_of, epoch_micros, ntz_from_micros
 from .scan import row_index, running
 
 # --- fixed values -----------------------------------------------------------
@@ -34,17 +35,17 @@ def politeness_schedule(log: DataFrame, interval_s: float = DEFAULT_INTERVAL_S,
     if interval_s <= 0:
         return base.select("*", F.col("ts").alias("slot_ts"), F.lit(0.0).alias("wait_s"),
                            F.lit(False).alias("delayed"))
-    ch = F.date_trunc(_unit(chunk), F.col("ts"))
+    ch = chunk_of(epoch_micros(F.col("ts")), _unit(chunk))
     idx = row_index(base, keys, ch, order, "i")
     # integer micro-seconds keep the running max exact
     d_us = F.lit(int(round(interval_s * 1_000_000)))
-    a_us = F.unix_micros(F.col("ts").cast("timestamp"))
+    a_us = epoch_micros(F.col("ts"))
     v = a_us - F.col("i") * d_us
-    m = running(idx, keys, F.date_trunc(_unit(chunk), F.col("ts")), order, v, "max", "m")
+    m = running(idx, keys, ch, order, v, "max", "m")
     slot_us = F.col("m") + F.col("i") * d_us
     wait_us = slot_us - a_us
     return m.select("event_id", "ts", "method", "host",
-                    F.timestamp_micros(slot_us).cast("timestamp_ntz").alias("slot_ts"),
+                    ntz_from_micros(slot_us).alias("slot_ts"),
                     (wait_us / 1_000_000.0).alias("wait_s"),
                     (wait_us > 0).alias("delayed"))
 
@@ -55,7 +56,7 @@ def adaptive_rate(log: DataFrame, base_interval_s: float = DEFAULT_INTERVAL_S,
     every earlier 429: ``(event_id, ts, host, method, halvings,
     interval_s)``.  No floor and no recovery, as specified; an optional
     ``max_interval_s`` caps it."""
-    ch = F.date_trunc(_unit(chunk), F.col("ts"))
+    ch = chunk_of(epoch_micros(F.col("ts")), _unit(chunk))
     r = running(log.select("event_id", "ts", "host", "method", "code"), ["host"], ch,
                 ["ts", "event_id"], (F.col("code") == 429).cast("long"), "sum", "halvings",
                 inclusive=False)
