@@ -41,6 +41,19 @@ def read_seed_files(spark: SparkSession, paths: list[str]) -> DataFrame:
                      F.input_file_name().alias("file"))
 
 
+def seeds_from_args(spark: SparkSession, args: list[str]) -> DataFrame:
+    """Command-line style seeds (A1): an argument naming an existing file
+    is read as whitespace-separated URLs, any other argument is a URL."""
+    import os
+    files = [a for a in args if os.path.isfile(a)]
+    urls = [a for a in args if not os.path.isfile(a)]
+    if files:
+        lines = read_seed_files(spark, files)
+    else:
+        lines = spark.createDataFrame([], "line_no long, value string")
+    return parse_seeds(lines, urls=urls or None)
+
+
 def parse_seeds(lines: DataFrame, urls: list[str] | None = None) -> DataFrame:
     """Seed URLs from text lines (whitespace separated) and from literal
     arguments (A1).  Returns ``(arrival, input, scheme, host_reversed, path,

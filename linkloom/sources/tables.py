@@ -67,6 +67,14 @@ def write_frontier(frontier: DataFrame, path: str, partitions: int | None = None
      .write.mode("overwrite").parquet(path))
 
 
+def write_hosts(texts: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Host robots table ``(host_reversed, robot)`` (A7), sorted by the
+    reversed host so one domain's hosts share files."""
+    n = partitions or frontier_partitions(texts)
+    (texts.select("host_reversed", "robot").repartitionByRange(int(n), "host_reversed")
+     .sortWithinPartitions("host_reversed").write.mode("overwrite").parquet(path))
+
+
 def write_links_by_source(links: DataFrame, path: str, partitions: int | None = None) -> None:
     n = partitions or frontier_partitions(links)
     (links.repartition(int(n), "source").sortWithinPartitions("source", "target")

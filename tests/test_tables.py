@@ -50,3 +50,28 @@ def test_frontier_layout_round_trip(spark):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, f.collect()))
     todo = back.where(F.col("latest_visit").isNull())
     assert "IsNull(latest_visit)" in todo._jdf.queryExecution().executedPlan().toString()
+
+
+def test_seeds_from_args_and_hosts_table(spark):
+    from linkloom.operators import robots as R
+    d = _scratch(spark)
+    path = os.path.join(d, "seeds.txt")
+    with open(path, "w") as f:
+        f.write("http://a.com/x http://b.com\n")
+    s = FR.seeds_from_args(spark, [path, "https://c.com/y"])
+    assert sorted(r.url for r in s.collect()) == ["http://a.com/x", "http://b.com", "https://c.com/y"]
+    hosts = spark.createDataFrame([("a.b.com",), ("c.com",)], "host string")
+    texts = R.robots_text(hosts, spark.createDataFrame([], "host string, status int, content_type string, body string"))
+    T.write_hosts(texts, d + "/hosts")
+    assert sorted(r.host_reversed for r in spark.read.parquet(d + "/hosts").collect()) == ["com.b.a", "com.c"]
+
+
+def test_crawl_rounds_custom_policy(spark):
+    from linkloom.plans.crawl import crawl_rounds
+    from linkloom.sources import derived as D
+    resp = D.graph_responses(spark, SF_SMALL).where("page_id < 0")  # empty archive
+    seeds = spark.createDataFrame([(0, "http://s1.example.com/p/1")], "line_no long, value string")
+    deny_all = lambda req: req.select("*", F.lit(False).alias("allowed"))
+    frontier, links, report = crawl_rounds(seeds, resp, allow=deny_all)
+    assert links.count() == 0 and report.count() == 1
+    assert frontier.where(F.col("latest_visit").isNotNull()).count() == 1
