@@ -88,15 +88,28 @@ def insert_pages(existing: DataFrame, new: DataFrame, order: list[str]) -> DataF
     arrival-order columns ``order``; per key the earliest arrival wins
     (then ``http`` before ``https``); rows already stored always win.
 
-    The pick is an aggregation on the key with ``min`` over the arrival
-    struct, so it combines map-side: a key arriving from a third of all
-    rows still ships one row per map task.
+    The pick combines map-side, so a key arriving from a third of all rows
+    still ships one row per map task.  With a two-column integral order
+    such as ``(page_id, pos)`` it is two hash aggregations over fixed-width
+    buffers: ``min(pos*2 + https)`` per ``(key, page_id)``, then
+    ``min_by(code, page_id)`` per key.  Other orders use ``min`` over a
+    struct (a sort-based aggregate).
     """
-    ranked = new.select("scheme", "host_reversed", "path", *order)
     key = ["host_reversed", "path"]
-    first = (ranked.groupBy(*key)
-             .agg(F.min(F.struct(*[F.col(c) for c in order], F.col("scheme"))).alias("_first")))
-    fresh = first.select(*key, F.col("_first.scheme").alias("scheme"))
+    integral = ("bigint", "int", "smallint", "tinyint")
+    types = dict(new.dtypes)
+    if len(order) == 2 and all(types.get(c) in integral for c in order):
+        first_col, second_col = order
+        https = (F.col("scheme") == "https").cast("long")
+        lvl1 = (new.groupBy(*key, first_col)
+                .agg(F.min(F.col(second_col).cast("long") * 2 + https).alias("_code")))
+        lvl2 = lvl1.groupBy(*key).agg(F.min_by("_code", first_col).alias("_code"))
+        fresh = lvl2.select(*key, F.when(F.col("_code") % 2 == 1, F.lit("https"))
+                            .otherwise(F.lit("http")).alias("scheme"))
+    else:
+        first = (new.select("scheme", *key, *order).groupBy(*key)
+                 .agg(F.min(F.struct(*[F.col(c) for c in order], F.col("scheme"))).alias("_first")))
+        fresh = first.select(*key, F.col("_first.scheme").alias("scheme"))
     fresh = fresh.join(existing.select(*key), key, "left_anti")
     return fresh.select(page_id_of(F.col("host_reversed"), F.col("path")).alias("id"),
                         "scheme", "host_reversed", "path",
