@@ -68,6 +68,18 @@ def escape_path(decoded: Column) -> Column:
     return e
 
 
+def escape_host(host: Column) -> Column:
+    """Host as written in a URL string: non-ASCII bytes percent-encoded
+    (UTF-8, upper-case hex); the ASCII characters a host may hold stay."""
+    e = F.url_encode(host)
+    for enc, ch in (("%7E", "~"), ("%21", "!"), ("%24", "$"), ("%26", "&"), ("%27", "'"),
+                    ("%28", "("), ("%29", ")"), ("%2B", "+"), ("%2C", ","), ("%3B", ";"),
+                    ("%3D", "="), ("%3A", ":"), ("%5B", "["), ("%5D", "]"), ("%3C", "<"),
+                    ("%3E", ">"), ("%22", '"')):
+        e = F.replace(e, F.lit(enc), F.lit(ch))
+    return F.when(host.rlike(r"[^\x00-\x7f]"), e).otherwise(host)
+
+
 def decode_path(escaped: Column) -> Column:
     """Percent-decode a path; '+' stays '+' (path, not form, decoding)."""
     return F.try_url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B")))
@@ -202,7 +214,7 @@ def _finish(df: DataFrame, p: str, out: str, scheme: Column, userinfo: Column,
     is_root = c("dec") == "/"
     esc = F.when(is_root, F.lit("")).otherwise(c("esc"))
     df = stage(df, **{
-        f"{out}url": F.when(ok, F.concat(sc, F.lit("://"), c("user"), h, esc)),
+        f"{out}url": F.when(ok, F.concat(sc, F.lit("://"), c("user"), escape_host(h), esc)),
         f"{out}scheme": F.when(ok, sc),
         f"{out}host": F.when(ok, h),
         f"{out}host_reversed": F.when(ok, reverse_hostname(h)),
@@ -292,4 +304,4 @@ def resolve_against(df: DataFrame, ref: str, scheme: Column, host: Column, port:
 
 def page_url(scheme: Column, host_reversed: Column, path: Column) -> Column:
     """Rebuild a URL string from the stored frontier key."""
-    return F.concat(scheme, F.lit("://"), reverse_hostname(host_reversed), escape_path(path))
+    return F.concat(scheme, F.lit("://"), escape_host(reverse_hostname(host_reversed)), escape_path(path))

@@ -41,6 +41,15 @@ def escape_path(col: str) -> str:
     return e
 
 
+def escape_host(col: str) -> str:
+    e = f"url_encode({col})"
+    for enc, ch in (("%21", "!"), ("%24", "$"), ("%26", "&"), ("%27", "'"), ("%28", "("), ("%29", ")"),
+                    ("%2A", "*"), ("%2B", "+"), ("%2C", ","), ("%3B", ";"), ("%3D", "="), ("%3A", ":"),
+                    ("%5B", "["), ("%5D", "]"), ("%3C", "<"), ("%3E", ">"), ("%22", '"')):
+        e = f"replace({e}, {lit(enc)}, {lit(ch)})"
+    return f"(CASE WHEN regexp_matches({col}, '[^\x00-\x7f]') THEN {e} ELSE {col} END)"
+
+
 def escaped_form(col: str) -> str:
     return (f"CASE WHEN {rx(col, U.RE_VALID_ENCODED_PATH)} THEN {col} "
             f"ELSE {escape_path(f'url_decode({col})')} END")
@@ -116,7 +125,7 @@ def finish(src: str, p: str, out: str, scheme: str, user: str, host: str, port:
     ok = f"({p}f_reason IS NULL)"
     root = f"({p}f_dec = '/')"
     esc_out = f"(CASE WHEN {root} THEN '' ELSE {p}f_esc END)"
-    c = (f"SELECT *, CASE WHEN {ok} THEN {sc} || '://' || {p}f_user || {h} || {esc_out} END AS {out}url, "
+    c = (f"SELECT *, CASE WHEN {ok} THEN {sc} || '://' || {p}f_user || {escape_host(h)} || {esc_out} END AS {out}url, "
          f"CASE WHEN {ok} THEN {sc} END AS {out}scheme, CASE WHEN {ok} THEN {h} END AS {out}host, "
          f"CASE WHEN {ok} THEN {reverse_host(h)} END AS {out}host_reversed, "
          f"CASE WHEN {ok} THEN (CASE WHEN {root} THEN '' ELSE {p}f_dec END) END AS {out}path, "
@@ -231,6 +240,7 @@ def url_variants(pages: str = "pages") -> str:
         ("bad_escape", f"{prefix} || '/%zz'"),
         ("force_query", f"{prefix} || {ext('url', r'^[A-Za-z]+://[^/?#]*([^?#]*)')} || '?'"),
         ("dots", f"{prefix} || '/a/../b/./c'"),
+        ("idn_host", f"{scheme} || '://bücher-' || CAST(page_id AS VARCHAR) || '.example' || {suffix}"),
     ]
     structs = ", ".join(f"{{'kind': {lit(k)}, 'input': {e}}}" for k, e in kinds)
     return f"SELECT page_id, unnest([{structs}], recursive := true) FROM {pages}"

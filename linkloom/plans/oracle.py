@@ -38,7 +38,7 @@ ORACLE["reverse_hostname"] = (
 
 ORACLE["page_keys"] = (
     "SELECT page_id, source, scheme, host_reversed, path, scheme || '://' || "
-    f"{Q.reverse_host('host_reversed')} || {Q.escape_path('path')} AS rebuilt "
+    f"{Q.escape_host(Q.reverse_host('host_reversed'))} || {Q.escape_path('path')} AS rebuilt "
     f"FROM ({Q.canonical_pages('SELECT page_id, url FROM pages')})")
 
 ORACLE["page_links_raw"] = Q.raw_links(PAGES)
@@ -238,7 +238,7 @@ def visited_frontier_sql() -> str:
 
 
 def page_url_sql(scheme="scheme", hr="host_reversed", path="path") -> str:
-    return f"{scheme} || '://' || {Q.reverse_host(hr)} || {Q.escape_path(path)}"
+    return f"{scheme} || '://' || {Q.escape_host(Q.reverse_host(hr))} || {Q.escape_path(path)}"
 
 
 def frontier_next_sql(f: str = "cf") -> str:

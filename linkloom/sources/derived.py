@@ -155,6 +155,7 @@ def url_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("force_query", F.concat(prefix, F.regexp_extract(u, r"^[A-Za-z]+://[^/?#]*([^?#]*)", 1),
                                  F.lit("?"))),
         ("dots", F.concat(prefix, F.lit("/a/../b/./c"))),
+        ("idn_host", F.concat(scheme, F.lit("://bücher-"), pid.cast("string"), F.lit(".example"), suffix)),
     ]
     arr = F.array(*[F.struct(F.lit(k).alias("kind"), e.alias("input")) for k, e in kinds])
     return (read_pages(spark, sf_dir).select("page_id", "url")

@@ -178,3 +178,9 @@ def test_remove_dot_segments_property(spark):
     got = df.select("i", "p", remove_dot_segments(F.col("p")).alias("r")).collect()
     for row in got:
         assert row.r == _dot_model(row.p), row.p
+
+
+def test_non_ascii_host_is_escaped_in_url_only(spark):
+    r = _norm(spark, ["http://bücher.de/x"])[0]
+    assert r.url == "http://b%C3%BCcher.de/x"
+    assert r.host == "bücher.de" and r.host_reversed == "de.bücher"
