@@ -28,7 +28,19 @@ SKIPPED = (
 )
 LINK_SCAN = "(?is)" + SKIPPED + "|" + ANCHOR
 
-# --- fixed values: character references decoded natively -------------------
+# --- fixed values: numeric character references 0x80-0x9F are read as
+# windows-1252 (HTML5 parsing rules); code points not listed map to themselves
+C1_REMAP = {
+    0x80: 0x20AC, 0x82: 0x201A, 0x83: 0x0192, 0x84: 0x201E, 0x85: 0x2026, 0x86: 0x2020,
+    0x87: 0x2021, 0x88: 0x02C6, 0x89: 0x2030, 0x8A: 0x0160, 0x8B: 0x2039, 0x8C: 0x0152,
+    0x8E: 0x017D, 0x91: 0x2018, 0x92: 0x2019, 0x93: 0x201C, 0x94: 0x201D, 0x95: 0x2022,
+    0x96: 0x2013, 0x97: 0x2014, 0x98: 0x02DC, 0x99: 0x2122, 0x9A: 0x0161, 0x9B: 0x203A,
+    0x9C: 0x0153, 0x9E: 0x017E, 0x9F: 0x0178,
+}
+# ---------------------------------------------------------------------------
+RE_NUM_REF = r"&#([0-9]+|[xX][0-9a-fA-F]+);?"
+
+# --- fixed values: named character references decoded natively -------------
 # (a full named-entity table is available through extract="parser")
 ENTITIES = [
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
@@ -49,8 +61,45 @@ def unquote(value: Column) -> Column:
             .otherwise(value))
 
 
+def code_point_text(cp: Column) -> Column:
+    """One-character string of a code point (UTF-16 via ``decode``);
+    0, surrogates and values past U+10FFFF give U+FFFD."""
+    remap = F.create_map(*[F.lit(x).cast("long") for k, v in C1_REMAP.items() for x in (k, v)])
+    bad = (cp == 0) | (cp > 0x10FFFF) | cp.between(0xD800, 0xDFFF)
+    c = F.when(bad, F.lit(0xFFFD).cast("long")).otherwise(F.coalesce(F.element_at(remap, cp), cp))
+
+    def utf16(u):
+        return F.lpad(F.hex(u), 4, "0")
+
+    v = c - F.lit(0x10000).cast("long")
+    hi = F.shiftright(v, 10) + F.lit(0xD800).cast("long")
+    lo = v.bitwiseAND(F.lit(0x3FF).cast("long")) + F.lit(0xDC00).cast("long")
+    hexed = F.when(c <= 0xFFFF, utf16(c)).otherwise(F.concat(utf16(hi), utf16(lo)))
+    return F.decode(F.unhex(hexed), "UTF-16BE")
+
+
+def _code_point(ref: Column) -> Column:
+    is_hex = F.lower(F.substring(ref, 1, 1)) == "x"
+    digits = F.when(is_hex, F.substring(ref, 2, 1 << 20)).otherwise(ref)
+    too_long = F.length(digits) > F.when(is_hex, F.lit(6)).otherwise(F.lit(8))
+    n = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+    return F.when(too_long, F.lit(0x110000).cast("long")).otherwise(n)
+
+
+def decode_numeric_refs(value: Column) -> Column:
+    """Replace ``&#NN;`` / ``&#xHH;`` (``;`` optional) by their characters."""
+    cps = F.transform(F.regexp_extract_all(value, F.lit(RE_NUM_REF), 1), _code_point)
+    chars = F.transform(cps, code_point_text)
+    parts = F.split(value, RE_NUM_REF)
+    joined = F.array_join(F.zip_with(parts, F.concat(chars, F.array(F.lit(""))),
+                                     lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    return F.when(value.contains("&#"), joined).otherwise(value)
+
+
 def decode_entities(value: Column) -> Column:
-    """Decode the common character references (``&amp;`` last)."""
+    """Decode character references: numeric first, then the common named
+    ones (``&amp;`` last), so ``&amp;#65;`` stays ``&#65;``."""
+    value = decode_numeric_refs(value)
     out = value
     for ent, ch in ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))

@@ -34,10 +34,22 @@ def _user_prefix(url_col: str) -> F.Column:
 
 def page_hrefs(pages: DataFrame, extract: str = "regex") -> DataFrame:
     """Canonical pages (one URL parse per page) with their raw hrefs:
-    ``(page_id, source, scheme, host, path_escaped, user_prefix, pos, href)``."""
-    canon = canonical_pages(pages.select("page_id", "url", "html"), "url").select(
-        "page_id", "url", "source", "scheme", "host", "path_escaped", "html",
-        _user_prefix("source").alias("user_prefix"))
+    ``(page_id, source, scheme, host, path_escaped, user_prefix, pos, href)``.
+
+    ``source`` is the canonical requested URL.  When ``pages`` has a
+    ``final_url`` column (the URL after redirects), hrefs are resolved
+    against it; the link source stays the requested URL."""
+    if "final_url" in pages.columns:
+        req = canonical_pages(pages.select("page_id", "url"), "url").select(
+            "page_id", F.col("source").alias("_req"))
+        base = pages.select("page_id", F.coalesce("final_url", "url").alias("url"), "html")
+        canon = canonical_pages(base, "url").join(req, "page_id").select(
+            "page_id", "url", F.col("_req").alias("source"), "scheme", "host", "path_escaped", "html",
+            _user_prefix("source").alias("user_prefix"))
+    else:
+        canon = canonical_pages(pages.select("page_id", "url", "html"), "url").select(
+            "page_id", "url", "source", "scheme", "host", "path_escaped", "html",
+            _user_prefix("source").alias("user_prefix"))
     raw = extract_raw_links(canon.select("page_id", "url", "html"), extract)
     return canon.drop("html").join(raw.drop("url"), "page_id") if extract == "parser" else \
         _explode_hrefs(canon)

@@ -10,7 +10,7 @@ temporary columns are removed with ``EXCLUDE``.
 from __future__ import annotations
 
 from ..functions import urls as U
-from ..functions.html import ENTITIES, LINK_SCAN
+from ..functions.html import C1_REMAP, ENTITIES, LINK_SCAN, RE_NUM_REF
 
 
 def lit(s: str) -> str:
@@ -177,7 +177,22 @@ def resolve(src: str, base: str, ref: str, out: str = "") -> str:
     return drop(s, p, b)
 
 
+def decode_numeric_refs(col: str) -> str:
+    cp = ("(CASE WHEN lower(r[1]) = 'x' THEN (CASE WHEN length(r) - 1 > 6 THEN 1114112 "
+          "ELSE CAST('0x' || r[2:] AS BIGINT) END) ELSE (CASE WHEN length(r) > 8 THEN 1114112 "
+          "ELSE CAST(r AS BIGINT) END) END)")
+    remap = " ".join(f"WHEN c = {k} THEN {v}" for k, v in C1_REMAP.items())
+    fixed = (f"(CASE WHEN c = 0 OR c > 1114111 OR c BETWEEN 55296 AND 57343 THEN 65533 {remap} "
+             f"ELSE c END)")
+    chars = (f"list_transform(list_transform(regexp_extract_all({col}, {lit(RE_NUM_REF)}, 1), "
+             f"lambda r: {cp}), lambda c: chr(CAST({fixed} AS INTEGER)))")
+    parts = f"string_split_regex({col}, {lit(RE_NUM_REF)})"
+    return (f"(CASE WHEN contains({col}, '&#') THEN array_to_string(list_transform({parts}, "
+            f"lambda p, i: p || coalesce(({chars})[i], '')), '') ELSE {col} END)")
+
+
 def decode_entities(col: str) -> str:
+    col = decode_numeric_refs(col)
     e = col
     for ent, ch in ENTITIES:
         e = f"replace({e}, {lit(ent)}, {lit(ch)})"

@@ -165,3 +165,22 @@ def test_crawlable_reasons(spark):
 def test_drop_reasons_cover_all_pages(spark):
     d = REGISTRY["drop_reasons"](spark, SF_MID)
     assert d.where("stage = 'page'").agg(F.sum("n")).first()[0] == 250
+
+
+def test_final_url_is_resolution_base(spark):
+    df = spark.createDataFrame(
+        [(1, "http://a.com/x", "https://b.com/dir/y", '<a href="z">1</a><a href="//c.com/w">2</a>')],
+        "page_id long, url string, final_url string, html string")
+    got = sorted((r.source, r.target) for r in L.page_links(df).collect())
+    assert got == [("http://a.com/x", "https://b.com/dir/z"), ("http://a.com/x", "https://c.com/w")]
+
+
+def test_numeric_character_references_match_html_unescape(spark):
+    import html as pyhtml
+
+    from linkloom.functions.html import decode_entities
+    cases = ["/a&#47;b", "/&#x2F;x&#X41;", "/&#65", "&#128;&#0;&#xD800;&#1114112;&#99999999999;",
+             "&#x1F600;z", "&amp;#65;", "/q?a=1&amp;b=2&lt;", "plain"]
+    df = spark.createDataFrame([(c,) for c in cases], "v string")
+    for r in df.select("v", decode_entities(F.col("v")).alias("d")).collect():
+        assert r.d == pyhtml.unescape(r.v), r.v
