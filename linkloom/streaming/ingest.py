@@ -20,7 +20,6 @@ with ``observe`` and appended to a metrics table.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -45,20 +44,24 @@ def _existing(spark: SparkSession, path: str, cols: list[str], run_id: str, batc
     buckets, minus the folder the current batch is about to (re)write.
     The bucket list is bounded by the bucket count; the filter prunes
     partitions at planning time."""
-    if not _has_data(path):
+    t = _read_if_exists(spark, path)
+    if t is None:
         return None
-    t = spark.read.parquet(path)
     return (t.where(F.col("bucket").isin(buckets))
             .where(~((F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)))
             .select("bucket", *cols))
 
 
-def _has_data(path: str) -> bool:
-    if path.startswith("file:"):
-        path = path[5:]
-    if "://" in path:
-        return True
-    return os.path.isdir(path) and any(n.startswith("run_id=") for n in os.listdir(path))
+def _read_if_exists(spark: SparkSession, path: str):
+    """The table at ``path``, or None before the first batch wrote it
+    (works on any Hadoop file system, not only local paths)."""
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
 
 
 def _write(df: DataFrame, path: str, run_id: str, batch_id: int) -> None:

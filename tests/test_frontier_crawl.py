@@ -130,3 +130,26 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_link_distinct_is_partially_aggregated(spark):
+    from linkloom.operators import links as L
+    from linkloom.sources.tables import read_pages
+    p = _plan(L.page_links(read_pages(spark, SF_SMALL)))
+    assert p.count("HashAggregate(keys=[source") >= 2  # partial + final around the exchange
+    assert "SortMergeJoin" not in p and "CartesianProduct" not in p
+
+
+def test_robots_join_has_no_rule_explosion(spark):
+    p = _plan(REGISTRY["robots_allowed"](spark, SF_SMALL))
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_insert_pages_uses_hash_aggregation(spark):
+    p = _plan(REGISTRY["insert_pages"](spark, SF_SMALL))
+    assert "partial_min_by" in p
