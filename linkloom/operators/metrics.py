@@ -26,20 +26,19 @@ LEVELS = ["ERROR", "WARN"]
 def crawl_counters(spark: SparkSession, request_log: DataFrame, frontier: DataFrame,
                    links: DataFrame, allowed: DataFrame) -> DataFrame:
     """One row: processed, errors, warnings, queue size, links, robots
-    allowed / disallowed.  Each counter is a scalar subquery over its own
-    table (a global aggregate each), combined in a one-row projection."""
+    allowed / disallowed.  One global aggregate per source table (a scalar
+    subquery returning a struct), combined in a one-row projection."""
     lv = F.col("level")
-    processed = request_log.agg(F.count(F.lit(1))).scalar()
-    errors = request_log.agg(F.count_if(lv == "ERROR")).scalar()
-    warnings = request_log.agg(F.count_if(lv == "WARN")).scalar()
+    log = request_log.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(lv == "ERROR").alias("e"),
+                                   F.count_if(lv == "WARN").alias("w"))).scalar()
     queue = frontier.agg(F.count_if(F.col("latest_visit").isNull())).scalar()
     n_links = links.agg(F.count(F.lit(1))).scalar()
-    ok = allowed.agg(F.count_if(F.col("allowed"))).scalar()
-    ko = allowed.agg(F.count_if(~F.col("allowed"))).scalar()
-    return spark.range(1).select(processed.alias("processed"), errors.alias("errors"),
-                                 warnings.alias("warnings"), queue.alias("queue_size"),
-                                 n_links.alias("links"), ok.alias("robots_allowed"),
-                                 ko.alias("robots_disallowed"))
+    rob = allowed.agg(F.struct(F.count_if(F.col("allowed")).alias("ok"),
+                               F.count_if(~F.col("allowed")).alias("ko"))).scalar()
+    return spark.range(1).select(log.getField("n").alias("processed"), log.getField("e").alias("errors"),
+                                 log.getField("w").alias("warnings"), queue.alias("queue_size"),
+                                 n_links.alias("links"), rob.getField("ok").alias("robots_allowed"),
+                                 rob.getField("ko").alias("robots_disallowed"))
 
 
 def log_levels(log: DataFrame) -> DataFrame:
