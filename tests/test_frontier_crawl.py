@@ -153,3 +153,34 @@ def test_robots_join_has_no_rule_explosion(spark):
 def test_insert_pages_uses_hash_aggregation(spark):
     p = _plan(REGISTRY["insert_pages"](spark, SF_SMALL))
     assert "partial_min_by" in p
+
+
+def test_chunked_scan_equals_single_window_under_skew(spark):
+    """One host holds a third of the log across many hours: the chunked
+    running max/sum equals the plain per-key window, and the window is
+    partitioned by (key, chunk) so the hot host is split across tasks."""
+    from pyspark.sql import Window
+
+    from linkloom.functions.timecols import chunk_of, epoch_micros
+    from linkloom.operators.scan import running
+    n = 3000
+    log = spark.range(n).select(
+        F.col("id").alias("event_id"),
+        (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+         + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("id") * 37 % 86400).cast("decimal(18,6)")))
+        .alias("ts"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot.example.com"))
+        .otherwise(F.concat(F.lit("h"), (F.col("id") % 97).cast("string"), F.lit(".example.com"))).alias("host"),
+        (F.col("id") * 7919 % 1000).alias("v"))
+    ch = chunk_of(epoch_micros(F.col("ts")), "hour")
+    got = running(log, ["host"], ch, ["ts", "event_id"], F.col("v"), "max", "m")
+    got_sum = running(log, ["host"], ch, ["ts", "event_id"], F.col("v"), "sum", "s", inclusive=False)
+    w = Window.partitionBy("host").orderBy("ts", "event_id")
+    ref = log.select("event_id", F.max("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("m"),
+                     F.coalesce(F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("s"))
+    a = {r.event_id: r.m for r in got.select("event_id", "m").collect()}
+    b = {r.event_id: r.s for r in got_sum.select("event_id", "s").collect()}
+    for r in ref.collect():
+        assert a[r.event_id] == r.m and b[r.event_id] == r.s, r.event_id
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_chunk" in plan and "Window" in plan
