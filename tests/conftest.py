@@ -15,3 +15,4 @@ def spark():
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_MID = "/root/testdata/sf0.01"
+SF_BIG = "/root/testdata/sf0.1"

@@ -5,7 +5,7 @@ from html.parser import HTMLParser
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID, SF_SMALL
+from conftest import SF_BIG, SF_MID, SF_SMALL
 from linkloom.operators import links as L
 from linkloom.operators import robots as R
 from linkloom.operators.responses import crawlable_reason
@@ -27,7 +27,7 @@ class _A(HTMLParser):
 
 
 def test_anchor_regex_equals_html_parser_on_all_pages(spark):
-    for sf in (SF_SMALL, SF_MID):
+    for sf in (SF_SMALL, SF_MID, SF_BIG):
         pages = read_pages(spark, sf)
         got = {}
         for r in L.extract_raw_links(pages).collect():
@@ -58,7 +58,8 @@ def test_parser_mode_matches_regex(spark):
 
 
 @pytest.mark.parametrize("sf,raw,distinct,targets,sources", [
-    (SF_SMALL, 281, 279, 279, 49), (SF_MID, 1413, 1404, 1327, 250)])
+    (SF_SMALL, 281, 279, 279, 49), (SF_MID, 1413, 1404, 1327, 250),
+    (SF_BIG, 14123, 14081, 8756, 2497)])
 def test_fixture_link_counts(spark, sf, raw, distinct, targets, sources):
     pages = read_pages(spark, sf)
     assert L.extract_raw_links(pages).count() == raw
