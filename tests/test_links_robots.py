@@ -147,10 +147,11 @@ def test_robots_text_fallback(spark):
             assert t == R.FALLBACK, h
 
 
-def test_robots_fixture_counts(spark):
-    a = REGISTRY["robots_allowed"](spark, SF_MID)
+@pytest.mark.parametrize("sf,expected", [(SF_SMALL, (41, 9)), (SF_MID, (204, 46)), (SF_BIG, (2024, 476))])
+def test_robots_fixture_counts(spark, sf, expected):
+    a = REGISTRY["robots_allowed"](spark, sf).cache()
     allowed = a.where("allowed").count()
-    assert (allowed, a.count() - allowed) == (204, 46)
+    assert (allowed, a.count() - allowed) == expected
 
 
 def test_crawlable_reasons(spark):
