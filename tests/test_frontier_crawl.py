@@ -206,3 +206,9 @@ def test_stream_batch_replay_is_idempotent(spark):
     assert len(once) == len(set(once)) == 279
     fr = spark.read.parquet(table + "/frontier")
     assert fr.count() == fr.select("host_reversed", "path").distinct().count()
+
+
+@pytest.mark.parametrize("sf,delayed", [(SF_SMALL, 63), (SF_MID, 609), ("/root/testdata/sf0.1", 6180)])
+def test_politeness_fixture_counts(spark, sf, delayed):
+    s = REGISTRY["politeness_schedule"](spark, sf)
+    assert s.where("delayed").count() == delayed
