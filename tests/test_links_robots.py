@@ -186,3 +186,13 @@ def test_numeric_character_references_match_html_unescape(spark):
     df = spark.createDataFrame([(c,) for c in cases], "v string")
     for r in df.select("v", decode_entities(F.col("v")).alias("d")).collect():
         assert r.d == pyhtml.unescape(r.v), r.v
+
+
+@pytest.mark.parametrize("sf,expected", [
+    (SF_SMALL, {"kept": 28, "status": 15, "content_type": 5, "robots_header": 2}),
+    (SF_MID, {"kept": 137, "status": 75, "content_type": 25, "robots_header": 13}),
+    (SF_BIG, {"kept": 1375, "status": 750, "content_type": 250, "robots_header": 125})])
+def test_response_reason_fixture_counts(spark, sf, expected):
+    from linkloom.sources import derived as D
+    r = D.responses(spark, sf).select(F.coalesce(crawlable_reason(), F.lit("kept")).alias("r"))
+    assert {x.r: x["count"] for x in r.groupBy("r").count().collect()} == expected
