@@ -63,7 +63,8 @@ def test_all_hosts_plans_window_group_limit(spark):
     assert "WindowGroupLimit" in plan
 
 
-@pytest.mark.parametrize("sf,depths", [(SF_SMALL, [1, 6, 28, 77, 68]), (SF_MID, [1, 8, 32, 121, 440])])
+@pytest.mark.parametrize("sf,depths", [(SF_SMALL, [1, 6, 28, 77, 68]), (SF_MID, [1, 8, 32, 121, 440]),
+                                       ("/root/testdata/sf0.1", [1, 5, 18, 76, 361])])
 def test_crawl_depth_fixture(spark, sf, depths):
     e = D.graph_edges(spark, sf)
     seed = e.where("s_node = 1").select(F.col("source").alias("node")).limit(1)
@@ -212,3 +213,14 @@ def test_stream_batch_replay_is_idempotent(spark):
 def test_politeness_fixture_counts(spark, sf, delayed):
     s = REGISTRY["politeness_schedule"](spark, sf)
     assert s.where("delayed").count() == delayed
+
+
+@pytest.mark.parametrize("sf,edges,selfs,srcs,tgts", [
+    (SF_SMALL, 863, 3, 198, 198), (SF_MID, 8582, 4, 1965, 1979),
+    ("/root/testdata/sf0.1", 85662, 4, 19742, 19692)])
+def test_graph_fixture_counts(spark, sf, edges, selfs, srcs, tgts):
+    e = D.graph_edges(spark, sf).cache()
+    assert e.count() == edges
+    assert e.where("source = target").count() == selfs
+    assert e.select("source").distinct().count() == srcs
+    assert e.select("target").distinct().count() == tgts
