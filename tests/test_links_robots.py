@@ -196,3 +196,10 @@ def test_response_reason_fixture_counts(spark, sf, expected):
     from linkloom.sources import derived as D
     r = D.responses(spark, sf).select(F.coalesce(crawlable_reason(), F.lit("kept")).alias("r"))
     assert {x.r: x["count"] for x in r.groupBy("r").count().collect()} == expected
+
+
+@pytest.mark.parametrize("sf,pages,hosts", [(SF_SMALL, 49, 32), (SF_MID, 250, 58), (SF_BIG, 2493, 60)])
+def test_page_key_fixture_counts(spark, sf, pages, hosts):
+    c = L.canonical_pages(read_pages(spark, sf).select("page_id", "url")).cache()
+    assert c.select("host_reversed", "path").distinct().count() == pages
+    assert c.select("host").distinct().count() == hosts
