@@ -26,17 +26,49 @@ NO_ID = np.int64(2**63 - 1)
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 
-def chunk_count(docs: DataFrame, *texts: str) -> int:
-    """How many chunks the texts make, and at least one per core."""
+def chunk_count(docs: DataFrame, *texts: str, each: int = CHUNK_BYTES) -> int:
+    """How many chunks of ``each`` bytes the texts make, and at least one per core."""
     size = sum((F.coalesce(F.octet_length(F.col(t)), F.lit(0)) for t in texts), F.lit(0)).cast("long")
     total = docs.agg(F.sum(size)).first()[0] or 0
-    return max(docs.sparkSession.sparkContext.defaultParallelism, -(-total // CHUNK_BYTES))
+    return max(docs.sparkSession.sparkContext.defaultParallelism, -(-total // each))
 
 
 def chunk_of(key: Column, chunks: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(chunks)).cast("int")
 
 
+def dealt(docs: DataFrame, id_col: str, text_col: str, chunks: int):
+    """Ids and texts grouped by chunk.  A scan task sends one compressed packet per
+    chunk and batch instead of a row per text, which halves the exchange."""
+    rows = docs.select(chunk_of(F.col(id_col), chunks), F.col(id_col).cast("long").alias("id"),
+                       F.col(text_col).cast("string").alias("text"))
+
+    def send(batches):
+        for batch in batches:
+            chunk, body = batch.column(0).to_numpy(), pa.Table.from_batches([batch.select([1, 2])])
+            order = np.argsort(chunk, kind="stable")
+            numbers, begin = np.unique(chunk[order], return_index=True)
+            packets = []
+            for rows_ in np.split(order, begin[1:]):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, body.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_table(body.take(pa.array(rows_)))
+                packets.append(sink.getvalue().to_pybytes())
+            if len(numbers):
+                yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(packets, pa.binary())],
+                                                 names=["chunk", "packet"])
+
+    return rows.mapInArrow(send, "chunk int, packet binary").groupBy("chunk")
+
+
+def received(table: pa.Table) -> tuple[np.ndarray, pa.Array]:
+    """The ids and texts of a chunk, in the order of the ids."""
+    body = pa.concat_tables([pa.ipc.open_stream(p.as_buffer()).read_all() for p in as_array(table["packet"])])
+    ids = ids_of(body["id"])
+    order = np.argsort(ids, kind="stable")
+    return ids[order], as_array(body["text"].take(pa.array(order)))
+
+
 def as_array(column) -> pa.Array:
     """One contiguous array of a table's column."""
     if isinstance(column, pa.ChunkedArray):

@@ -13,10 +13,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import (ASCII_SPACE, as_array, bucket_of, chunk_count, chunk_of, digests, edges_of,
-                     id_or_null, ids_of, mix, owner, pack_bits, replies_of, squeeze, unsqueeze)
+from .common import (ASCII_SPACE, bucket_of, chunk_count, dealt, digests, edges_of, id_or_null,
+                     mix, owner, pack_bits, received, replies_of, squeeze, unsqueeze)
 
 #: Bits per key still without a slot, at each level of the hash.
 SPACE = 1.5
@@ -81,15 +80,12 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are ignored, whatever their names; an empty table gives an empty result.
     """
     n = chunk_count(docs, text_col)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
-                       chunk_of(F.col(id_col), n).alias("chunk")).groupBy("chunk")
+    rows = dealt(docs, id_col, text_col, n)
 
     def read(table: pa.Table):
-        ids = ids_of(table["id"])
-        order = np.argsort(ids, kind="stable")
-        texts = pc.fill_null(as_array(table["text"]).take(pa.array(order)), "")
-        lists = pc.split_pattern(texts, "\n")
-        return ids[order], lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+        ids, texts = received(table)
+        lists = pc.split_pattern(pc.fill_null(texts, ""), "\n")
+        return ids, lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
 
     def keyed(ids, lines, starts):
         """The chunk's distinct keys in the order asked, and for each line that

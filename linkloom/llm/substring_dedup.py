@@ -14,11 +14,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import (as_array, bucket_of, chunk_count, chunk_of, edges_of, full_windows,
-                     id_or_null, ids_of, join_words, owner, pack_bits, pack_keys, replies_of,
-                     split_words, squeeze, unpack_keys, unsqueeze, window_hash, word_hashes)
+from .common import (bucket_of, chunk_count, dealt, edges_of, full_windows, id_or_null,
+                     join_words, owner, pack_bits, pack_keys, received, replies_of, split_words, squeeze, unpack_keys, unsqueeze, window_hash, word_hashes)
 
 #: Shorter windows repeat by chance and would prune nothing.
 SHORTEST = 6
@@ -46,14 +44,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     lengths, n = levels(window), chunk_count(docs, text_col)
     last = len(lengths) - 1
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
-                       chunk_of(F.col(id_col), n).alias("chunk")).groupBy("chunk")
+    rows = dealt(docs, id_col, text_col, n)
 
     def read(table: pa.Table):
-        ids = ids_of(table["id"])
-        order = np.argsort(ids, kind="stable")
-        words, starts = split_words(as_array(table["text"]).take(pa.array(order)))
-        return ids[order], words, starts, word_hashes(words)
+        ids, texts = received(table)
+        words, starts = split_words(texts)
+        return ids, words, starts, word_hashes(words)
 
     def candidates(starts, hashes, answers: pa.Table | None, level: int) -> np.ndarray:
         """Places where a candidate of the level begins."""
