@@ -14,6 +14,8 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from itertools import chain, groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +34,23 @@ _PARTS = re.compile(f" ?[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_DIGIT}]+| ?[^\\s
                     "|\\s+(?!\\S)|\\s+")
 #: Characters split at once.
 _SPLIT_CHARS = 4 << 20
-#: Parts remembered per task.
+#: Parts remembered per process.
 _REMEMBERED = 500_000
 
 
+class _Numbered(dict):
+    """Numbers the parts in the order in which they are first looked up."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, part: str) -> int:
+        number = self[part] = len(self)
+        self.new.append(part)
+        return number
+
+
 class Encoder:
     """Ids of whole texts by a tokenizer file, as little-endian uint32 bytes.
 
@@ -48,23 +63,29 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(data)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.seen: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.seen = _Numbered()
+        # ids of all parts in a row, and where each part's begin and how many they are
+        self.known, self.begin, self.size = np.empty(0, "<u4"), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def learn(self) -> None:
+        """Get the ids of the parts looked up for the first time."""
+        coded = [e.ids for e in self.tokenizer.encode_batch_fast(self.seen.new, add_special_tokens=False)]
+        self.seen.new = []
+        size = np.fromiter(map(len, coded), np.int64, len(coded))
+        self.begin = np.append(self.begin, len(self.known) + np.cumsum(size) - size)
+        self.size = np.append(self.size, size)
+        self.known = np.append(self.known, np.fromiter(chain.from_iterable(coded), "<u4"))
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        out: list[bytes] = []
-        while len(out) < len(texts):
-            size, end = 0, len(out)
-            while end < len(texts) and size < _SPLIT_CHARS:
-                size += len(texts[end]) + 1
-                end += 1
-            out += self.encode_some(texts[len(out):end])
-        return out
-
-    def encode_some(self, texts: list[str]) -> list[bytes]:
+        if len(self.seen) > _REMEMBERED:
+            self.forget()
         parts: list[str] = []
         ends = []
         for text in texts:
@@ -73,20 +94,12 @@ class Encoder:
             else:
                 parts += _PARTS.findall(text)
                 ends.append(len(parts))
-        coded = pa.array(parts, pa.string()).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.seen) > _REMEMBERED:
-            self.seen.clear()
-        new = [p for p in distinct if p not in self.seen]
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.seen[p] = np.array(e.ids, "<u4").tobytes()
-        known = [self.seen[p] for p in distinct]
-        ids, at = np.frombuffer(b"".join(known), "<u4"), coded.indices.to_numpy()
-        sizes = np.array([len(k) // 4 for k in known], np.int64)
-        begin = (np.cumsum(sizes) - sizes)[at] if len(at) else np.empty(0, np.int64)
-        size = sizes[at] if len(at) else begin
+        place = np.fromiter(map(self.seen.__getitem__, parts), np.int64, len(parts))
+        del parts
+        self.learn()
+        begin, size = self.begin[place], self.size[place]
         stop = np.cumsum(size)  # where each part's ids end among all
-        data = ids[np.arange(stop[-1]) + np.repeat(begin - (stop - size), size)] if len(at) else ids
+        data = self.known[np.arange(size.sum()) + np.repeat(begin - (stop - size), size)]
         stop, start, out = np.concatenate([[0], stop]), 0, []
         for text, end in zip(texts, ends):
             if end < 0:
@@ -145,7 +158,7 @@ def pack(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_col:
     are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(tokenizer_json)
+    shared = spark.sparkContext.broadcast({"json": tokenizer_json})
     groups = chunk_count(docs, text_col)
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"),
                        chunk_of(F.col(id_col), groups).alias("part"))
@@ -154,12 +167,20 @@ def pack(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_col:
     made = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
                       ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])
 
+    def portions(batch):
+        """Rows of a batch, so many at once that their texts have _SPLIT_CHARS or one goes beyond."""
+        rows_ = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
+        sizes = np.cumsum([len(r[1] or "") + 1 for r in rows_])
+        for _, of in groupby(zip(sizes // _SPLIT_CHARS, rows_), itemgetter(0)):
+            yield [r for _, r in of]
+
     def cut(batches):
-        encoder = Encoder(shared.value)
-        for batch in batches:
+        # the process keeps its copy of what is broadcast from task to task, and the encoder with it
+        encoder = shared.value.setdefault("encoder", None) or Encoder(shared.value["json"])
+        shared.value["encoder"] = encoder
+        for portion in chain.from_iterable(map(portions, batches)):
             out: list[tuple] = []
-            coded = encoder.encode([t or "" for t in batch.column(1).to_pylist()])
-            for id_, data, part in zip(batch.column(0).to_pylist(), coded, batch.column(2).to_pylist()):
+            for (id_, _, part), data in zip(portion, encoder.encode([r[1] or "" for r in portion])):
                 data += end
                 n = len(data) // 4
                 for start in range(0, n, capacity):
@@ -168,8 +189,7 @@ def pack(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_col:
                     # a full piece needs its ids no more, unless they are asked for
                     out.append((part, id_, start, size, zlib.crc32(own), n,
                                 own if size < capacity or ids else None))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 7, made)], schema=made)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), made)], schema=made)
 
     def place(table: pa.Table) -> pa.Table:
         part = table["part"][0].as_py()
