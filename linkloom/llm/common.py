@@ -69,6 +69,15 @@ def received(table: pa.Table) -> tuple[np.ndarray, pa.Array]:
     return ids[order], as_array(body["text"].take(pa.array(order)))
 
 
+def portions(batch: pa.RecordBatch, column: int, size: int = 6 << 20):
+    """The batch in slices of rows whose strings in a column have ``size`` bytes, or one goes
+    beyond."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    begin = np.unique(np.cumsum(lengths.astype(np.int64)) // size, return_index=True)[1].tolist()
+    for a, b in zip(begin, begin[1:] + [batch.num_rows]):
+        yield batch.slice(a, b - a)
+
+
 def as_array(column) -> pa.Array:
     """One contiguous array of a table's column."""
     if isinstance(column, pa.ChunkedArray):

@@ -12,16 +12,19 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_array, owner, split_words
+from .common import as_array, owner, portions, split_words
 
 #: Words kept per language (bounds the model).
 VOCABULARY = 20_000
+#: Shards of a language's words when the most frequent are chosen.
+SHARDS = 64
 #: Character n-gram orders, longest first; words get a mark at both ends.
 ORDERS = (5, 4, 3, 2, 1)
 UNDETERMINED = "und"
@@ -40,7 +43,7 @@ def train(docs: DataFrame, training: Column, text_col: str = "text", lang_col: s
     rows = docs.where(training).select(F.col(lang_col).cast("string"), F.col(text_col)).na.drop()
 
     def count(batches):
-        for batch in batches:
+        for batch in chain.from_iterable(portions(b, 1) for b in batches):
             words, starts = split_words(as_array(batch.column(1)))
             lang = as_array(batch.column(0)).dictionary_encode()
             of = lang.indices.to_numpy()[owner(starts)]
@@ -57,8 +60,12 @@ def train(docs: DataFrame, training: Column, text_col: str = "text", lang_col: s
                  pa.array(list(total.values()), pa.int64())], names=["lang", "word", "n"])
 
     counts = rows.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    top = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    best = counts.withColumn("at", F.row_number().over(top)).where(F.col("at") <= vocabulary).drop("at").collect()
+    # the best of each shard first, so that no task sorts all words of a language
+    for shard in (F.pmod(F.xxhash64("word"), F.lit(SHARDS)), F.lit(0)):
+        top = Window.partitionBy("lang", "shard").orderBy(F.desc("n"), "word")
+        counts = (counts.withColumn("shard", shard).withColumn("at", F.row_number().over(top))
+                  .where(F.col("at") <= vocabulary).select("lang", "word", "n"))
+    best = counts.collect()
     langs = sorted({r.lang for r in best})
     words: dict = {}
     for r in best:
@@ -67,57 +74,88 @@ def train(docs: DataFrame, training: Column, text_col: str = "text", lang_col: s
 
 
 class Scorer:
-    """Log frequencies of words and n-grams, and the scores of tokens seen."""
+    """Log frequencies of words and n-grams: a row of ``table`` each, a column per
+    language."""
 
     def __init__(self, model: dict):
         self.langs, words = model["langs"], model["words"]
         grams: list[dict] = [defaultdict(lambda: np.zeros(len(self.langs))) for _ in ORDERS]
         for word, count in words.items():
+            count = np.array(count, float)
             for known, order in zip(grams, ORDERS):
                 for g in self.grams(word, order):
                     known[g] += count
-        self.words = self.logs(words)
-        self.orders = [self.logs(g) for g in grams]
+        tables: list[np.ndarray] = [np.empty((0, len(self.langs)))]
+        self.words = self.rows(words, tables)
+        self.orders = [self.rows(g, tables) for g in grams]
+        self.table = np.concatenate(tables)
 
     @staticmethod
     def grams(word: str, order: int) -> list[str]:
         marked = f"_{word}_" if order > 1 else word
         return [marked[i:i + order] for i in range(len(marked) - order + 1)]
 
-    def logs(self, counts: dict) -> dict:
-        if not counts:
-            return {}
-        table = np.array(list(counts.values()), float) + 0.5
-        return dict(zip(counts, np.log(table / table.sum(axis=0))))
-
-    def word(self, word: str) -> np.ndarray:
+    @staticmethod
+    def rows(counts: dict, tables: list[np.ndarray]) -> dict[str, int]:
+        """Add the counts' logs to the tables; the row of each key."""
+        first = sum(map(len, tables))
+        if counts:
+            table = np.array(list(counts.values()), float) + 0.5
+            tables.append(np.log(table / table.sum(axis=0)))
+        return dict(zip(counts, range(first, first + len(counts))))
+
+    def word(self, word: str) -> list[int]:
+        """The rows whose mean is the word's score."""
         if (known := self.words.get(word)) is not None:
-            return known
-        for logs, order in zip(self.orders, ORDERS):
-            if found := [logs[g] for g in self.grams(word, order) if g in logs]:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.langs))
-
-    def token(self, token: str) -> tuple[bool, np.ndarray]:
-        """Whether the token has a letter, and its score in each language."""
-        words = letter_words(token)
-        return bool(words), np.sum([self.word(w) for w in words], axis=0) if words else np.zeros(len(self.langs))
+            return [known]
+        for rows, order in zip(self.orders, ORDERS):
+            if found := [rows[g] for g in self.grams(word, order) if g in rows]:
+                return found
+        return []
+
+    def tokens(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each token has a letter, and its score in each language."""
+        letters = np.zeros(len(tokens), bool)
+        rows: list[int] = []
+        sizes: list[int] = []
+        of: list[int] = []
+        for i, token in enumerate(tokens):
+            for w in letter_words(token):
+                letters[i] = True
+                found = self.word(w)
+                if found:
+                    rows += found
+                    sizes.append(len(found))
+                    of.append(i)
+        size = np.array(sizes, np.int64)
+        weight, place = np.repeat(1 / size, size), np.repeat(np.array(of, np.int64), size)
+        each = np.empty((len(tokens), len(self.langs)))
+        for k in range(len(self.langs)):
+            each[:, k] = np.bincount(place, weights=self.table[rows, k] * weight, minlength=len(tokens))
+        return letters, each
+
+
+def _scorer(box: dict) -> Scorer:
+    """The process keeps its copy of what is broadcast from task to task, and the scorer
+    with it."""
+    if "scorer" not in box:
+        box["scorer"] = Scorer(box["model"])
+    return box["scorer"]
 
 
 def _predict(scorer: Scorer, texts: pa.Array) -> tuple[list[str], np.ndarray]:
     words, starts = split_words(texts)
     n, langs = len(starts) - 1, len(scorer.langs)
     total, letters = np.zeros((n, langs)), np.zeros(n, bool)
-    if len(words) and langs:
+    if not langs:
+        return [UNDETERMINED] * n, np.zeros(n)
+    if len(words):
         coded = words.dictionary_encode()
-        got = [scorer.token(t) for t in coded.dictionary.to_pylist()]
+        lettered, each = scorer.tokens(coded.dictionary.to_pylist())
         at, of = coded.indices.to_numpy(), owner(starts)
-        each = np.array([s for _, s in got])
         for k in range(langs):
             total[:, k] = np.bincount(of, weights=each[at, k], minlength=n)
-        letters = np.bincount(of, weights=np.array([x for x, _ in got])[at], minlength=n) > 0
-    if not langs:
-        return [UNDETERMINED] * n, np.zeros(n)
+        letters = np.bincount(of, weights=lettered[at], minlength=n) > 0
     best = total.argmax(axis=1)
     score = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
     return ([scorer.langs[b] if x else UNDETERMINED for b, x in zip(best, letters)],
@@ -132,12 +170,12 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     was learned.  Ties go to the first language by name.  One row per input row;
     other columns are ignored; an empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast({"model": model})
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        scorer = Scorer(shared.value)
-        for batch in batches:
+        scorer = _scorer(shared.value)
+        for batch in chain.from_iterable(portions(b, 1) for b in batches):
             lang, score = _predict(scorer, as_array(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score)],
                                              names=["doc_id", "lang_pred", "score"])
@@ -147,12 +185,12 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
 def keep_known(docs: DataFrame, model: dict, text_col: str = "text", min_score: float = 0.5) -> DataFrame:
     """The input rows, with their own columns, whose language is one of the
     learned ones with a score of at least ``min_score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast({"model": model})
     place = docs.columns.index(text_col)
 
     def run(batches):
-        scorer = Scorer(shared.value)
-        for batch in batches:
+        scorer = _scorer(shared.value)
+        for batch in chain.from_iterable(portions(b, place) for b in batches):
             lang, score = _predict(scorer, as_array(batch.column(place)))
             keep = (score >= min_score) & np.array([x != UNDETERMINED for x in lang], bool)
             yield batch.filter(pa.array(keep, pa.bool_()))
