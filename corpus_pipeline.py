@@ -18,8 +18,7 @@ from linkloom.sources.tables import read_table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or whose language the model cannot tell
-    (a share of under half), go."""
+    """Documents whose language cannot be told, as they have no letter, go."""
     return lang_id.keep_known(docs, queries.language_model(docs))
 
 

@@ -182,9 +182,10 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, model: dict, text_col: str = "text", min_score: float = 0.5) -> DataFrame:
+def keep_known(docs: DataFrame, model: dict, text_col: str = "text", min_score: float = 0.0) -> DataFrame:
     """The input rows, with their own columns, whose language is one of the
-    learned ones with a score of at least ``min_score``."""
+    learned ones with a score of at least ``min_score``.  By default only texts that are
+    null or have no letter go; short clean texts can have low scores."""
     shared = docs.sparkSession.sparkContext.broadcast({"model": model})
     place = docs.columns.index(text_col)
 

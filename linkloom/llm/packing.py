@@ -14,15 +14,14 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from itertools import chain, groupby
-from operator import itemgetter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_array, chunk_count, chunk_of, id_or_null, ids_of
+from .common import as_array, chunk_count, chunk_of, id_or_null, ids_of, portions
 
 #: Letters and digits among the characters that _PLAIN lets through.
 _LETTER, _DIGIT = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾"
@@ -32,8 +31,8 @@ _PLAIN = re.compile("[^\t\n\r\x20-\x7e\xa1-ſ]")
 #: digits, other signs, white space (the last before a word left to it).
 _PARTS = re.compile(f" ?[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_DIGIT}]+| ?[^\\s{_LETTER}{_DIGIT}]+"
                     "|\\s+(?!\\S)|\\s+")
-#: Characters split at once.
-_SPLIT_CHARS = 4 << 20
+#: Bytes of text encoded at once.
+_SPLIT_BYTES = 2 << 20
 #: Parts remembered per process.
 _REMEMBERED = 500_000
 
@@ -167,20 +166,14 @@ def pack(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_col:
     made = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
                       ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])
 
-    def portions(batch):
-        """Rows of a batch, so many at once that their texts have _SPLIT_CHARS or one goes beyond."""
-        rows_ = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
-        sizes = np.cumsum([len(r[1] or "") + 1 for r in rows_])
-        for _, of in groupby(zip(sizes // _SPLIT_CHARS, rows_), itemgetter(0)):
-            yield [r for _, r in of]
-
     def cut(batches):
         # the process keeps its copy of what is broadcast from task to task, and the encoder with it
         encoder = shared.value.setdefault("encoder", None) or Encoder(shared.value["json"])
         shared.value["encoder"] = encoder
-        for portion in chain.from_iterable(map(portions, batches)):
+        for portion in chain.from_iterable(portions(b, 1, _SPLIT_BYTES) for b in batches):
             out: list[tuple] = []
-            for (id_, _, part), data in zip(portion, encoder.encode([r[1] or "" for r in portion])):
+            coded = encoder.encode([t or "" for t in portion.column(1).to_pylist()])
+            for id_, part, data in zip(portion.column(0).to_pylist(), portion.column(2).to_pylist(), coded):
                 data += end
                 n = len(data) // 4
                 for start in range(0, n, capacity):
