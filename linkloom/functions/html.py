@@ -1,31 +1,30 @@
 """Anchor extraction from raw HTML as native column expressions.
 
 One regex pass over the body finds, left to right, either a block whose
-content is not markup for links (comment, ``script``, ``style``,
-``textarea``, ``title``) or an ``<a ...>`` start tag with an ``href``
-attribute.  Group 1 captures the attribute value *with* its quotes, so a
-skipped block yields an empty capture and a real ``href=""`` yields ``""``.
-The attribute tokenizer requires white space (or ``/``) before ``href``,
-so ``data-href`` does not match, and stops at the first ``href`` of a tag.
+content is not markup for links (comments and raw-text elements; one that is
+never closed runs to the end) or an ``<a ...>`` start tag with an ``href``
+attribute.  Group 1 captures the attribute with its name, so a skipped block
+yields an empty capture and a bare ``href`` does not.  White space or ``/``
+separates attributes, except after a quoted value, where none is needed, so
+``data-href`` does not match; the first ``href`` of a tag wins.  An unquoted
+value ends at white space or ``>`` only.
 """
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ATTR_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s>"']*)"""
-ANCHOR = (
-    r"""<a[\s/]+(?:[^\s>"'=/]+(?:\s*=\s*""" + ATTR_VALUE + r""")?[\s/]+)*?"""
-    r"""href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
-)
-SKIPPED = (
-    r"<!--.*?-->"
-    r"|<script\b.*?</script\s*>"
-    r"|<style\b.*?</style\s*>"
-    r"|<textarea\b.*?</textarea\s*>"
-    r"|<title\b.*?</title\s*>"
-)
+QUOTED = r"""(?:"[^"]*"|'[^']*')"""
+UNQUOTED = r"""[^\s>"'][^\s>]*"""
+_OTHER = r"(?:[^\s>/=]+(?:[\s/]+|\s*=\s*" + QUOTED + r"[\s/]*|\s*=\s*" + UNQUOTED + r"\s+))"
+ANCHOR = r"<a[\s/]+" + _OTHER + r"*?(href\s*=\s*(?:" + QUOTED + "|" + UNQUOTED + r"|>)|href[\s/>])"
+# --- fixed values: elements whose content is text, not markup ---------------
+RAW_TEXT = ["script", "style", "textarea", "title", "noscript", "iframe", "noembed", "noframes", "xmp"]
+# ---------------------------------------------------------------------------
+SKIPPED = r"<!--.*?(?:-->|\z)" + "".join(rf"|<{e}\b.*?(?:</{e}[\s/>]|\z)" for e in RAW_TEXT)
 LINK_SCAN = "(?is)" + SKIPPED + "|" + ANCHOR
 
 # --- fixed values: numeric character references 0x80-0x9F are read as
@@ -38,26 +37,20 @@ C1_REMAP = {
     0x9C: 0x0153, 0x9E: 0x017E, 0x9F: 0x0178,
 }
 # ---------------------------------------------------------------------------
-RE_NUM_REF = r"&#([0-9]+|[xX][0-9a-fA-F]+);?"
-
-# --- fixed values: named character references decoded natively -------------
-# (a full named-entity table is available through extract="parser")
-ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
-    ("&#39;", "'"), ("&#x27;", "'"), ("&#34;", '"'), ("&#x22;", '"'),
-    ("&#60;", "<"), ("&#62;", ">"), ("&#32;", " "), ("&nbsp;", "\u00a0"),
-    ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&"),
-]
+#: A character reference; with the ``=`` after a name, which leaves it undecoded in an attribute.
+RE_REF = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*[;=]?)"
 
 
 def raw_anchor_values(html: Column) -> Column:
-    """array<string> of quoted/unquoted href values in document order."""
+    """array<string> of ``href`` attributes, as written, in document order."""
     return F.filter(F.regexp_extract_all(html, F.lit(LINK_SCAN), 1), lambda v: v != "")
 
 
-def unquote(value: Column) -> Column:
-    return (F.when(value.startswith('"') | value.startswith("'"),
-                   value.substr(F.lit(2), F.length(value) - 2))
+def unquote(attribute: Column) -> Column:
+    """The value of an ``href`` attribute; empty if it has none."""
+    value = F.regexp_extract(attribute, r"(?is)^href\s*=\s*(.*)$", 1)
+    return (F.when(value.startswith('"') | value.startswith("'"), value.substr(F.lit(2), F.length(value) - 2))
+            .when(value == ">", F.lit(""))
             .otherwise(value))
 
 
@@ -79,31 +72,29 @@ def code_point_text(cp: Column) -> Column:
 
 
 def _code_point(ref: Column) -> Column:
-    is_hex = F.lower(F.substring(ref, 1, 1)) == "x"
-    digits = F.when(is_hex, F.substring(ref, 2, 1 << 20)).otherwise(ref)
-    too_long = F.length(digits) > F.when(is_hex, F.lit(6)).otherwise(F.lit(8))
-    n = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("long")
-    return F.when(too_long, F.lit(0x110000).cast("long")).otherwise(n)
-
-
-def decode_numeric_refs(value: Column) -> Column:
-    """Replace ``&#NN;`` / ``&#xHH;`` (``;`` optional) by their characters."""
-    cps = F.transform(F.regexp_extract_all(value, F.lit(RE_NUM_REF), 1), _code_point)
-    chars = F.transform(cps, code_point_text)
-    parts = F.split(value, RE_NUM_REF)
-    joined = F.array_join(F.zip_with(parts, F.concat(chars, F.array(F.lit(""))),
-                                     lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    return F.when(value.contains("&#"), joined).otherwise(value)
+    """Value of ``#NN`` or ``#xHH``; past U+10FFFF all are alike."""
+    is_hex = F.lower(ref).startswith("#x")
+    digits = F.regexp_extract(ref, "^#[xX]?0*([0-9a-fA-F]*)", 1)
+    too_long = F.length(digits) > F.when(is_hex, F.lit(6)).otherwise(F.lit(7))
+    n = (F.when(too_long | (digits == ""), F.lit("0")).when(is_hex, F.conv(digits, 16, 10)).otherwise(digits))
+    return F.when(too_long, F.lit(0x110000).cast("long")).otherwise(n.cast("long"))
 
 
 def decode_entities(value: Column) -> Column:
-    """Decode character references: numeric first, then the common named
-    ones (``&amp;`` last), so ``&amp;#65;`` stays ``&#65;``."""
-    value = decode_numeric_refs(value)
-    out = value
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return F.when(value.contains("&"), out).otherwise(value)
+    """Decode character references in one pass, as in an attribute: all numeric
+    ones, and the names of the public HTML table, which without ``;`` count only
+    if neither a letter, a digit nor ``=`` follows."""
+    names = F.str_to_map(F.lit("\x1e".join(f"{k}\x1f{v}" for k, v in html5.items())), F.lit("\x1e"), F.lit("\x1f"))
+
+    def decoded(ref: Column) -> Column:
+        name = ref.substr(F.lit(2), F.length(ref))
+        return (F.when(ref.startswith("&#"), code_point_text(_code_point(name)))
+                .otherwise(F.coalesce(F.element_at(names, name), ref)))
+
+    parts, refs = F.split(value, RE_REF), F.regexp_extract_all(value, F.lit(RE_REF), 0)
+    chars = F.concat(F.transform(refs, decoded), F.array(F.lit("")))
+    joined = F.array_join(F.zip_with(parts, chars, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    return F.when(value.contains("&"), joined).otherwise(value)
 
 
 def href_value(raw: Column) -> Column:

@@ -42,23 +42,33 @@ def read_seed_files(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def seeds_from_args(spark: SparkSession, args: list[str]) -> DataFrame:
-    """Command-line style seeds (A1): an argument naming an existing file
-    is read as whitespace-separated URLs, any other argument is a URL."""
-    import os
-    files = [a for a in args if os.path.isfile(a)]
-    urls = [a for a in args if not os.path.isfile(a)]
-    if files:
-        lines = read_seed_files(spark, files)
-    else:
-        lines = spark.createDataFrame([], "line_no long, value string")
-    return parse_seeds(lines, urls=urls or None)
+    """Command-line style seeds (A1): an argument naming an existing file, on any
+    file system that Spark reads, is read as whitespace-separated URLs, any other
+    argument is a URL.  Arrival order is the order of the arguments."""
+    urls = [(i, "", 0, a) for i, a in enumerate(args) if not _is_file(spark, a)]
+    lines = spark.createDataFrame(urls, "arg int, file string, line_no long, value string")
+    for i in sorted(set(range(len(args))) - {u[0] for u in urls}):
+        lines = lines.unionByName(read_seed_files(spark, [args[i]]).withColumn("arg", F.lit(i)))
+    return parse_seeds(lines)
+
+
+def _is_file(spark: SparkSession, name: str) -> bool:
+    if name.lower().startswith(("http:", "https:")):
+        return False
+    from py4j.protocol import Py4JJavaError
+    try:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return files.exists(path) and files.getFileStatus(path).isFile()
+    except Py4JJavaError:  # no path, or of no known file system
+        return False
 
 
 def parse_seeds(lines: DataFrame, urls: list[str] | None = None) -> DataFrame:
     """Seed URLs from text lines (whitespace separated) and from literal
     arguments (A1).  Returns ``(arrival, input, scheme, host_reversed, path,
     url)``; evaluating it fails on the first refused seed, naming it."""
-    order = [F.col("file")] if "file" in lines.columns else []
+    order = [F.col(c) for c in ("arg", "file") if c in lines.columns]
     toks = lines.select(*order, "line_no",
                         F.posexplode(F.split(F.trim(F.col("value")), r"\s+")).alias("pos", "input"))
     toks = toks.where(F.col("input") != "")
@@ -66,7 +76,8 @@ def parse_seeds(lines: DataFrame, urls: list[str] | None = None) -> DataFrame:
         spark = lines.sparkSession
         lit = spark.createDataFrame([(-1 - i, u) for i, u in enumerate(reversed(urls))],
                                     "line_no long, input string").select(
-            *([F.lit("").alias("file")] if order else []), "line_no", F.lit(0).alias("pos"), "input")
+            *([F.lit(-1).alias("arg")] if "arg" in lines.columns else []),
+            *([F.lit("").alias("file")] if "file" in lines.columns else []), "line_no", F.lit(0).alias("pos"), "input")
         toks = lit.unionByName(toks)
     w_order = [*order, "line_no", "pos"]
     toks = toks.select(F.struct(*w_order).alias("arrival"), "input")
@@ -210,7 +221,7 @@ def referring_hosts(links: DataFrame) -> DataFrame:
             .groupBy("host_reversed", "path").agg(F.count(F.lit(1)).alias("weight")))
 
 
-def frontier_ranked(frontier: DataFrame, links: DataFrame, per_host: int = BATCH_SIZE) -> DataFrame:
+def frontier_ranked(frontier: DataFrame, links: DataFrame, per_host: int) -> DataFrame:
     """Useful-first selection (D10): unvisited pages ranked per host by the
     number of distinct hosts linking to them, then by path."""
     w = referring_hosts(links)

@@ -58,6 +58,7 @@ def _labels(bounds: list[float]) -> list[str]:
 def histogram(df: DataFrame, label: str, value: str, buckets: list[float] = DEFAULT_BUCKETS) -> DataFrame:
     """Cumulative histogram per ``label``: ``(label, le, cum_count, sum,
     count)`` with one row per bucket bound plus ``+Inf`` (E5, E6)."""
+    df = df.where(F.col(value).isNotNull())  # what was not measured is in no bucket
     bounds = F.array(*[F.lit(b) for b in buckets])
     idx = F.size(F.filter(bounds, lambda b: b < F.col(value)))  # first bound >= value
     per = df.groupBy(F.col(label).alias("label"), idx.alias("b")).agg(F.count(F.lit(1)).alias("n"))

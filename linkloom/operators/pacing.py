@@ -5,8 +5,8 @@
   request of its key and ``a`` its arrival time, the sequential rule
   ``slot_i = max(a_i, slot_{i-1} + d)`` has the closed form
   ``slot_i = i*d + max_{j<=i}(a_j - j*d)``: a running max, no loop.
-* ``adaptive_rate``: every earlier 429 of a host halves its rate for HEAD
-  and GET alike, i.e. ``interval = base * 2^(earlier 429s of the host)``.
+* ``adaptive_rate``: every earlier 429 that a HEAD request got halves the host's
+  rate for HEAD and GET alike, i.e. ``interval = base * 2^(earlier HEAD 429s)``.
 
 Both use :mod:`linkloom.operators.scan`, so a host with a third of the
 log is still processed in parallel (per time chunk).
@@ -53,12 +53,12 @@ def politeness_schedule(log: DataFrame, interval_s: float = DEFAULT_INTERVAL_S,
 def adaptive_rate(log: DataFrame, base_interval_s: float = DEFAULT_INTERVAL_S,
                   max_interval_s: float | None = None, chunk: str = "1 hour") -> DataFrame:
     """Interval in force for each request after halving the host's rate on
-    every earlier 429: ``(event_id, ts, host, method, halvings,
+    every earlier 429 to a HEAD request: ``(event_id, ts, host, method, halvings,
     interval_s)``.  No floor and no recovery, as specified; an optional
     ``max_interval_s`` caps it."""
     ch = chunk_of(epoch_micros(F.col("ts")), _unit(chunk))
     r = running(log.select("event_id", "ts", "host", "method", "code"), ["host"], ch,
-                ["ts", "event_id"], (F.col("code") == 429).cast("long"), "sum", "halvings",
+                ["ts", "event_id"], ((F.col("code") == 429) & (F.col("method") == "HEAD")).cast("long"), "sum", "halvings",
                 inclusive=False)
     iv = F.lit(base_interval_s) * F.pow(F.lit(2.0), F.col("halvings"))
     if max_interval_s is not None:

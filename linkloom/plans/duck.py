@@ -9,8 +9,9 @@ temporary columns are removed with ``EXCLUDE``.
 
 from __future__ import annotations
 
+import html.entities
+
 from ..functions import urls as U
-from ..functions.html import C1_REMAP, ENTITIES, LINK_SCAN, RE_NUM_REF
 
 
 def lit(s: str) -> str:
@@ -177,39 +178,50 @@ def resolve(src: str, base: str, ref: str, out: str = "") -> str:
     return drop(s, p, b)
 
 
-def decode_numeric_refs(col: str) -> str:
-    cp = ("(CASE WHEN lower(r[1]) = 'x' THEN (CASE WHEN length(r) - 1 > 6 THEN 1114112 "
-          "ELSE CAST('0x' || r[2:] AS BIGINT) END) ELSE (CASE WHEN length(r) > 8 THEN 1114112 "
-          "ELSE CAST(r AS BIGINT) END) END)")
-    remap = " ".join(f"WHEN c = {k} THEN {v}" for k, v in C1_REMAP.items())
-    fixed = (f"(CASE WHEN c = 0 OR c > 1114111 OR c BETWEEN 55296 AND 57343 THEN 65533 {remap} "
-             f"ELSE c END)")
-    chars = (f"list_transform(list_transform(regexp_extract_all({col}, {lit(RE_NUM_REF)}, 1), "
-             f"lambda r: {cp}), lambda c: chr(CAST({fixed} AS INTEGER)))")
-    parts = f"string_split_regex({col}, {lit(RE_NUM_REF)})"
-    return (f"(CASE WHEN contains({col}, '&#') THEN array_to_string(list_transform({parts}, "
-            f"lambda p, i: p || coalesce(({chars})[i], '')), '') ELSE {col} END)")
+# windows-1252 characters that the numeric references 128 to 159 stand for
+CP1252 = {k: ord(bytes([k]).decode("cp1252")) for k in range(128, 160) if k not in (129, 141, 143, 144, 157)}
 
 
 def decode_entities(col: str) -> str:
-    col = decode_numeric_refs(col)
-    e = col
-    for ent, ch in ENTITIES:
-        e = f"replace({e}, {lit(ent)}, {lit(ch)})"
-    return f"(CASE WHEN contains({col}, '&') THEN {e} ELSE {col} END)"
-
-
-def unquote(col: str) -> str:
-    return (f"(CASE WHEN starts_with({col}, '\"') OR starts_with({col}, '''') "
-            f"THEN substr({col}, 2, length({col}) - 2) ELSE {col} END)")
+    ref = lit(r"&(#[0-9]+;?|#[xX][[:xdigit:]]+;?|[[:alpha:]][[:alnum:]]*[;=]?)")
+    digits = "ltrim(rtrim(substr(r, CASE WHEN lower(r[2]) = 'x' THEN 3 ELSE 2 END), ';'), '0')"
+    number = (f"(CASE WHEN length({digits}) = 0 THEN 0 WHEN length({digits}) > 7 THEN 1114112 "
+              f"WHEN lower(r[2]) = 'x' THEN CAST('0x' || {digits} AS BIGINT) ELSE CAST({digits} AS BIGINT) END)")
+    remap = " ".join(f"WHEN c = {k} THEN {v}" for k, v in CP1252.items())
+    char = (f"list_transform([{number}], lambda c: chr(CAST(CASE WHEN c = 0 OR c > 1114111 "
+            f"OR c BETWEEN 55296 AND 57343 THEN 65533 {remap} ELSE c END AS INTEGER)))[1]")
+    table = html.entities.html5
+    names = f"MAP {{{', '.join(f'{lit(k)}: {lit(v)}' for k, v in table.items())}}}"
+    text = (f"list_transform(regexp_extract_all({col}, {ref}, 1), lambda r: CASE WHEN starts_with(r, '#') THEN {char} "
+            f"ELSE coalesce({names}[r], '&' || r) END)")
+    return (f"(CASE WHEN contains({col}, '&') THEN array_to_string(list_transform("
+            f"list_zip(string_split_regex({col}, {ref}), list_append({text}, '')), "
+            f"lambda x: x[1] || coalesce(x[2], '')), '') ELSE {col} END)")
+
+
+# one alternative per construct, in the order of a left-to-right reading
+_TEXT_ONLY = "script style textarea title noscript iframe noembed noframes xmp".split()
+_QUOTED, _BARE = """(?:"[^"]*"|'[^']*')""", r"""[^\s'">][^\s>]*"""
+LINKS = ("(?is)" + "|".join(
+    [r"<!--.*?(?:-->|\z)"] + [rf"<{t}\b.*?(?:</{t}[\s/>]|\z)" for t in _TEXT_ONLY]
+    + [rf"<a[\s/]+(?:[^\s/=>]+(?:[\s/]+|\s*=\s*(?:{_QUOTED}[\s/]*|{_BARE}\s+)))*?"
+       rf"(href(?:\s*=\s*(?:{_QUOTED}|{_BARE}|>)|[\s/>]))"]))
+
+
+def attribute_value(col: str) -> str:
+    """What follows the ``=``, without quotes."""
+    v = ext(col, r"(?is)^href\s*=\s*(.*)$")
+    return (f"(CASE WHEN {v} = '>' THEN '' WHEN left({v}, 1) IN ('\"', '''') "
+            f"THEN substr({v}, 2, length({v}) - 2) ELSE {v} END)")
 
 
 def raw_links(pages_src: str) -> str:
     """``(page_id, url, pos, href)`` from ``(page_id, url, html)``."""
-    arr = f"list_filter(regexp_extract_all(html, {lit(LINK_SCAN)}, 1), lambda v: v <> '')"
-    s = (f"SELECT page_id, url, unnest(range(1, len(a) + 1)) AS pos, unnest(a) AS raw "
+    arr = f"list_filter(regexp_extract_all(html, {lit(LINKS)}, 1), lambda v: v <> '')"
+    s = (f"SELECT page_id, url, unnest(range(1, len(a) + 1)) AS pos, unnest(a) AS attr "
          f"FROM (SELECT page_id, url, {arr} AS a FROM ({pages_src}))")
-    return f"SELECT page_id, url, pos, {decode_entities(unquote('raw'))} AS href FROM ({s})"
+    s = f"SELECT page_id, url, pos, {attribute_value('attr')} AS raw FROM ({s})"
+    return f"SELECT page_id, url, pos, {decode_entities('raw')} AS href FROM ({s})"
 
 
 def canonical_pages(src: str, url_col: str = "url") -> str:

@@ -57,6 +57,17 @@ ORACLE["backlinks_of"] = (
     f"WHERE target IN (SELECT source FROM ({Q.canonical_pages(graph_pages_sql())}))")
 
 
+# what each kind of markup links to, by hand; {n} is the page's number
+_CASE_LINKS = [
+    ["", ""], ["/y{n}"], ["/it's{n}"], ["/café{n}"], ["/a&lt;b{n}"], ["/AA\ufffd\u20ac{n}"], ["/k{n}"], ["/e{n}"],
+    ["/x{n}?a=1&copy=2&b&\u00a9"], ["/2/{n}"], ["/u/{n}/", "/nl{n}"], ["/p{n}"],
+]
+ORACLE["anchor_cases"] = (
+    "SELECT page_id, c.pos, replace(c.href, '{n}', CAST(page_id AS VARCHAR)) AS href FROM pages JOIN (VALUES "
+    + ", ".join(f"({k}, {p}, {Q.lit(h)})" for k, hs in enumerate(_CASE_LINKS) for p, h in enumerate(hs, 1))
+    + ") c(k, pos, href) ON page_id % 12 = c.k")
+
+
 # --- robots and responses ----------------------------------------------------
 
 def responses_sql() -> str:
@@ -82,31 +93,28 @@ def robots_responses_sql() -> str:
 
 
 def robots_text_sql() -> str:
-    from ..operators.robots import FALLBACK
+    fallback = "#failed-to-get-robot.txt"
     return (f"SELECT h.host, {Q.reverse_host('h.host')} AS host_reversed, "
             f"CASE WHEN r.status = 200 AND contains(lower(coalesce(r.content_type, '')), 'text/plain') "
-            f"THEN coalesce(r.body, '') ELSE {Q.lit(FALLBACK)} END AS robot "
+            f"THEN coalesce(r.body, '') ELSE {Q.lit(fallback)} END AS robot "
             f"FROM (SELECT DISTINCT host FROM ({Q.canonical_pages('SELECT url FROM pages')})) h "
             f"LEFT JOIN ({robots_responses_sql()}) r ON h.host = r.host")
 
 
 def robots_rules_sql(agent: str | None = None) -> str:
-    from ..operators import robots as R
-    agent = agent or R.AGENT
+    agent = agent or "BacklinksBot"
     strip = lambda c: f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
     lines = (f"SELECT host, unnest(range(0, len(l))) AS line_no, unnest(l) AS line FROM "
-             f"(SELECT host, regexp_split_to_array(robot, '\\r\\n|\\r|\\n') AS l FROM ({robots_text_sql()}))")
+             f"(SELECT host, regexp_split_to_array(ltrim(robot, chr(65279)), '\\r\\n|\\r|\\n') AS l FROM ({robots_text_sql()}))")
     body = strip("regexp_replace(line, '#.*$', '')")
     kv = (f"SELECT host, line_no, lower({strip(f'CASE WHEN contains(b, {Q.lit(':')}) THEN ' + Q.ext('b', '^([^:]*):') + ' ELSE ' + Q.ext('b', r'^(\S+)[ \t]+\S+$') + ' END')}) AS key, "
           f"{strip(f'CASE WHEN contains(b, {Q.lit(':')}) THEN ' + Q.ext('b', '^[^:]*:(.*)$') + ' ELSE ' + Q.ext('b', r'^\S+[ \t]+(\S+)$') + ' END')} AS value "
           f"FROM (SELECT host, line_no, {body} AS b FROM ({lines}))")
-    ua = ", ".join(Q.lit(k) for k in R.USER_AGENT_KEYS)
-    al = ", ".join(Q.lit(k) for k in R.ALLOW_KEYS)
-    dl = ", ".join(Q.lit(k) for k in R.DISALLOW_KEYS)
     kinds = (f"SELECT *, kind = 'agent' AND regexp_matches(value, '^\\*(\\s|$)') AS is_global, "
              f"kind = 'agent' AND lower({Q.ext('value', '^([A-Za-z_-]*)')}) = {Q.lit(agent.lower())} AS is_specific "
-             f"FROM (SELECT *, CASE WHEN key IN ({ua}) THEN 'agent' WHEN key IN ({al}) THEN 'allow' "
-             f"WHEN key IN ({dl}) THEN 'disallow' END AS kind FROM ({kv})) WHERE kind IS NOT NULL")
+             f"FROM (SELECT *, CASE WHEN regexp_matches(key, '^user[- ]?agent') THEN 'agent' "
+             f"WHEN starts_with(key, 'allow') THEN 'allow' "
+             f"WHEN regexp_matches(key, '^(dis+al+ow|dissalow|disallaw|diasllow)') THEN 'disallow' END AS kind FROM ({kv})) WHERE kind IS NOT NULL")
     starts = (f"SELECT *, CAST(kind = 'agent' AND coalesce(lag(kind) OVER (PARTITION BY host ORDER BY line_no) "
               f"<> 'agent', true) AS INTEGER) AS starts FROM ({kinds})")
     grp = (f"SELECT *, sum(starts) OVER (PARTITION BY host ORDER BY line_no ROWS BETWEEN UNBOUNDED "
@@ -116,6 +124,9 @@ def robots_rules_sql(agent: str | None = None) -> str:
     esc = ("CASE WHEN regexp_matches(value, '[^\\x00-\\x7f]') THEN array_to_string(list_transform("
            "string_split(value, ''), lambda ch: CASE WHEN ascii(ch) < 128 THEN ch ELSE url_encode(ch) END), '') "
            "ELSE value END")
+    upper = ("list_reduce(list_transform(string_split(value, '%'), lambda x, i: CASE WHEN i > 1 AND "
+             "regexp_matches(x, '^[0-9a-fA-F]{2}') THEN upper(x[1:2]) || x[3:] ELSE x END), lambda a, b: a || '%' || b)")
+    g = f"SELECT * REPLACE ({upper} AS value) FROM ({g})"
     rules = (f"SELECT host, line_no, group_no, CASE WHEN g_spec = 1 THEN 'specific' ELSE 'global' END AS scope, "
              f"kind = 'allow' AS allow, {esc} AS pattern FROM ({g}) WHERE kind <> 'agent' AND group_no > 0 "
              f"AND (g_spec = 1 OR g_glob = 1)")
@@ -318,7 +329,7 @@ ORACLE["crawl_depth"] = (
 
 REQUEST_LOG = ("SELECT event_id, ts, 'u' || CAST(user_id AS VARCHAR) || '.example.com' AS host, "
                "CASE WHEN event_type = 'click' THEN 'HEAD' ELSE 'GET' END AS method, "
-               "CAST(CASE WHEN event_type = 'error' THEN 429 WHEN event_type = 'signup' THEN 301 ELSE 200 END "
+               "CAST(CASE WHEN event_type = 'error' OR (event_type = 'click' AND event_id % 7 = 0) THEN 429 WHEN event_type = 'signup' THEN 301 ELSE 200 END "
                "AS INTEGER) AS code, value / 100 AS duration_s, CASE WHEN event_type = 'error' THEN 'ERROR' "
                "WHEN event_type = 'signup' THEN 'WARN' ELSE 'INFO' END AS level FROM events")
 
@@ -331,7 +342,7 @@ ORACLE["politeness_schedule"] = (
     f"(PARTITION BY method, host ORDER BY ts, event_id) - 1 AS i FROM ({REQUEST_LOG})))")
 ORACLE["adaptive_rate"] = (
     f"SELECT event_id, ts, host, method, halvings, 5.0 * pow(2.0, halvings) AS interval_s FROM "
-    f"(SELECT *, coalesce(sum(CASE WHEN code = 429 THEN 1 ELSE 0 END) OVER (PARTITION BY host ORDER BY ts, "
+    f"(SELECT *, coalesce(sum(CASE WHEN code = 429 AND method = 'HEAD' THEN 1 ELSE 0 END) OVER (PARTITION BY host ORDER BY ts, "
     f"event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS halvings FROM ({REQUEST_LOG}))")
 ORACLE["crawl_counters"] = (
     f"SELECT (SELECT count(*) FROM ({REQUEST_LOG})) AS processed, "

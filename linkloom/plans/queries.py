@@ -56,6 +56,12 @@ def page_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
                     page_url(F.col("scheme"), F.col("host_reversed"), F.col("path")).alias("rebuilt"))
 
 
+@query
+def anchor_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of every page's hard cases, which the SQL lists by hand."""
+    return L.extract_raw_links(D.anchor_cases(spark, sf_dir)).select("page_id", "pos", "href")
+
+
 @query
 def page_links_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.extract_raw_links(read_pages(spark, sf_dir))
@@ -234,7 +240,7 @@ def refresh_due(spark: SparkSession, sf_dir: str) -> DataFrame:
 def frontier_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators import frontier as FR
     keyed = L.link_keys(read_pages(spark, sf_dir)).select("source", "target", "host_reversed", "path")
-    return FR.frontier_ranked(_crawl_frontier(spark, sf_dir), keyed)
+    return FR.frontier_ranked(_crawl_frontier(spark, sf_dir), keyed, per_host=FR.BATCH_SIZE)
 
 
 @query
@@ -352,7 +358,7 @@ def _stream_run(spark, sf_dir, runs: int = 1):
     from ..streaming.ingest import start_ingest
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/stream-{uuid.uuid4().hex[:10]}"
     src, table = f"{base}/source", f"{base}/tables"
-    read_pages(spark, sf_dir).repartition(4, "page_id").write.parquet(src)
+    read_pages(spark, sf_dir).write.parquet(src)
     for r in range(runs):
         q = start_ingest(spark, src, table, f"{base}/checkpoint-{r}")
         q.awaitTermination()

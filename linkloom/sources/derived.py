@@ -16,6 +16,25 @@ from ..functions.urls import normalize_urls
 from .tables import read_pages, read_table
 
 
+#: Markup that a page's number goes into (at ``{n}``).
+ANCHOR_MARKUP = [
+    "<a href>self</a><a href=>self</a>", '<a class="x"href="/y{n}">', "<a href=/it's{n}>", '<a href="/caf&eacute;{n}">',
+    '<a href="/a&#38;lt;b{n}">', '<a href="/&#0000000065;&#x00000041;&#99999999;&#x80;{n}">',
+    '<noscript><a href="/n{n}"></noscript><iframe><a href="/n"></iframe ><A HREF = \'/k{n}\'>',
+    '<xmp><a href="/n{n}"></xmp><textarea><a href="/n"></textarea><a data-href="/d" href="/e{n}">',
+    '<a href="/x{n}?a=1&copy=2&amp;b&amp&copy">', '<abbr href="/z{n}"><a hrefx="/1" href="/2/{n}" href="/3">',
+    '<a title = "a>b" href=/u/{n}/><a\nhref="/nl{n}"/>', '<a href="/p{n}">a</a><!-- open <a href="/c{n}">',
+]
+
+
+def anchor_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page of each page's number with markup that is easily misread, by ``page_id``."""
+    cases = F.array(*[F.lit(m) for m in ANCHOR_MARKUP])
+    n = F.col("page_id")
+    markup = F.element_at(cases, (F.pmod(n, F.lit(len(ANCHOR_MARKUP))) + 1).cast("int"))
+    return read_pages(spark, sf_dir).select("page_id", "url", F.replace(markup, F.lit("{n}"), n.cast("string")).alias("html"))
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` plus status / content type / robots header derived from
     ``page_id`` (404/204/429 for id%10 = 7/8/9; pdf for id%6 = 5;
@@ -34,8 +53,8 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- fixed values: robots files of the fixture hosts, by first host label ---
 ROBOTS_FIXTURE = {
-    "blog": (200, "text/plain", "User-agent: *\nDisallow: /*.html\n"),
-    "www": (200, "Text/Plain; charset=utf-8", "User-agent: *\nDisallow: /en/\nAllow: /en/1*\n"),
+    "blog": (200, "text/plain", "\ufeffUser-agent: *\nDisallowed: /*.html\n"),
+    "www": (200, "Text/Plain; charset=utf-8", "User-agents: *\nDisallow: /en/\nAllow: /en/1*\nDisallow: /%c3%bc/\n"),
     "m": (200, "text/plain", "User-agent: BacklinksBot\nDisallow: /de/\n\nUser-agent: *\nDisallow: /\n"),
     "other": (404, "text/html", "not found"),
 }
@@ -96,13 +115,13 @@ def graph_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request log derived from ``events`` (host per user, HEAD for clicks,
-    429 for errors, 301 for signups, duration = value/100)."""
+    429 for errors and every seventh event's clicks, 301 for signups, duration = value/100)."""
     et = F.col("event_type")
     return read_table(spark, sf_dir, "events").select(
         "event_id", "ts",
         F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit(".example.com")).alias("host"),
         F.when(et == "click", "HEAD").otherwise("GET").alias("method"),
-        F.when(et == "error", 429).when(et == "signup", 301).otherwise(200).cast("int").alias("code"),
+        F.when((et == "error") | ((et == "click") & (F.col("event_id") % 7 == 0)), 429).when(et == "signup", 301).otherwise(200).cast("int").alias("code"),
         (F.col("value") / 100).alias("duration_s"),
         F.when(et == "error", "ERROR").when(et == "signup", "WARN").otherwise("INFO").alias("level"))
 

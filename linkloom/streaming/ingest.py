@@ -20,7 +20,7 @@ with ``observe`` and appended to a metrics table.
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -97,9 +97,8 @@ def ingest_batch(batch: DataFrame, batch_id: int, table_dir: str, run_id: str) -
         _write(new_pages.select("*", host_bucket(F.col("host_reversed")).alias("bucket")),
                pages_dir, run_id, batch_id)
         added = obs.get.get("links_added", 0)
-        metrics = spark.createDataFrame(
-            [(run_id, batch_id, int(added))], "run_id string, batch_id long, links_added long")
-        metrics.write.mode("append").parquet(f"{table_dir}/metrics")
+        spark.createDataFrame([(int(added),)], "links_added long").write.mode("overwrite").parquet(
+            f"{table_dir}/metrics/run_id={run_id}/batch_id={batch_id}")
     finally:
         keys.unpersist()
 
@@ -107,8 +106,9 @@ def ingest_batch(batch: DataFrame, batch_id: int, table_dir: str, run_id: str) -
 def start_ingest(spark: SparkSession, source_dir: str, table_dir: str, checkpoint_dir: str,
                  files_per_trigger: int = 1, available_now: bool = True, run_id: str | None = None,
                  responses: bool = False):
-    """Start the ingest stream; returns the ``StreamingQuery``."""
-    run_id = run_id or uuid.uuid4().hex[:12]
+    """Start the ingest stream; returns the ``StreamingQuery``.  The run id belongs to
+    the checkpoint, so a restart goes on with the same one."""
+    run_id = run_id or "r" + hashlib.md5(checkpoint_dir.rstrip("/").encode()).hexdigest()[:12]
     schema = RESPONSES if responses else PAGES
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
            .parquet(source_dir))
@@ -123,4 +123,5 @@ def read_links(spark: SparkSession, table_dir: str) -> DataFrame:
 
 
 def read_metrics(spark: SparkSession, table_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{table_dir}/metrics")
+    return (spark.read.schema("links_added long, run_id string, batch_id long")
+            .parquet(f"{table_dir}/metrics").select("run_id", "batch_id", "links_added"))
