@@ -40,11 +40,11 @@ def page_hrefs(pages: DataFrame, extract: str = "regex") -> DataFrame:
     ``final_url`` column (the URL after redirects), hrefs are resolved
     against it; the link source stays the requested URL."""
     if "final_url" in pages.columns:
-        req = canonical_pages(pages.select("page_id", "url"), "url").select(
-            "page_id", F.col("source").alias("_req"))
-        base = pages.select("page_id", F.coalesce("final_url", "url").alias("url"), "html")
-        canon = canonical_pages(base, "url").join(req, "page_id").select(
-            "page_id", "url", F.col("_req").alias("source"), "scheme", "host", "path_escaped", "html",
+        # both URLs are parsed in the page's own row: nothing is joined, and no page id need be unique
+        req = canonical_pages(pages.select("page_id", "url", "final_url", "html"), "url").select(
+            "page_id", F.coalesce("final_url", "url").alias("url"), "html", F.col("source").alias("requested"))
+        canon = canonical_pages(req, "url").select(
+            "page_id", "url", F.col("requested").alias("source"), "scheme", "host", "path_escaped", "html",
             _user_prefix("source").alias("user_prefix"))
     else:
         canon = canonical_pages(pages.select("page_id", "url", "html"), "url").select(

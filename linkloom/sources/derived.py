@@ -88,12 +88,11 @@ def node_url(k) -> F.Column:
 
 
 def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G1: distinct (l_partkey, l_orderkey % count(part)) edges of line 1.
+    """G1: distinct (l_partkey, l_orderkey % count(part)) edges of all lines.
 
     ``count(part)`` is a scalar subquery, evaluated once and inlined."""
     n_parts = read_table(spark, sf_dir, "part").agg(F.count(F.lit(1))).scalar()
-    li = (read_table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == 1)
-          .select("l_partkey", "l_orderkey"))
+    li = (read_table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey"))
     e = (li.select(F.col("l_partkey").alias("s"), (F.col("l_orderkey") % n_parts).alias("t"))
          .distinct())
     return e.select(node_url(F.col("s")).alias("source"), node_url(F.col("t")).alias("target"),

@@ -75,3 +75,11 @@ def test_a_replayed_batch_counts_once(spark, tmp_path):
         start_ingest(spark, str(tmp_path / "in"), str(tmp_path / "s"), str(tmp_path / "c")).awaitTermination()
         runs |= {r.run_id for r in read_metrics(spark, str(tmp_path / "s")).collect()}
     assert len(runs) == 1 and os.path.isdir(tmp_path / "s" / "metrics")
+
+
+def test_redirected_pages_with_equal_ids_keep_their_own_links(spark):
+    from linkloom.operators import links as L
+    df = spark.createDataFrame([(1, "http://a.com/", "http://b.com/d/", '<a href="x">'), (1, "http://c.com/", None, '<a href="y">')],
+                               "page_id long, url string, final_url string, html string")
+    got = {(r.source, r.target) for r in L.page_links(df).collect()}
+    assert got == {("http://a.com", "http://b.com/d/x"), ("http://c.com", "http://c.com/y")}

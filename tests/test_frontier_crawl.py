@@ -63,8 +63,8 @@ def test_all_hosts_plans_window_group_limit(spark):
     assert "WindowGroupLimit" in plan
 
 
-@pytest.mark.parametrize("sf,depths", [(SF_SMALL, [1, 6, 28, 77, 68]), (SF_MID, [1, 8, 32, 121, 440]),
-                                       ("/root/testdata/sf0.1", [1, 5, 18, 76, 361])])
+@pytest.mark.parametrize("sf,depths", [(SF_SMALL, [1, 33, 166, 0, 0]), (SF_MID, [1, 29, 677, 1293, 0]),
+                                       ("/root/testdata/sf0.1", [1, 30, 878, 13903, 5188])])
 def test_crawl_depth_fixture(spark, sf, depths):
     e = D.graph_edges(spark, sf)
     seed = e.where("s_node = 1").select(F.col("source").alias("node")).limit(1)
@@ -216,8 +216,8 @@ def test_politeness_fixture_counts(spark, sf, delayed):
 
 
 @pytest.mark.parametrize("sf,edges,selfs,srcs,tgts", [
-    (SF_SMALL, 863, 3, 198, 198), (SF_MID, 8582, 4, 1965, 1979),
-    ("/root/testdata/sf0.1", 85662, 4, 19742, 19692)])
+    (SF_SMALL, 5584, 27, 200, 200), (SF_MID, 59571, 34, 2000, 2000),
+    ("/root/testdata/sf0.1", 599529, 35, 20000, 20000)])
 def test_graph_fixture_counts(spark, sf, edges, selfs, srcs, tgts):
     e = D.graph_edges(spark, sf).cache()
     assert e.count() == edges
