@@ -32,9 +32,9 @@ _PLAIN = re.compile("[^\t\n\r\x20-\x7e\xa1-ſ]")
 _PARTS = re.compile(f" ?[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_DIGIT}]+| ?[^\\s{_LETTER}{_DIGIT}]+"
                     "|\\s+(?!\\S)|\\s+")
 #: Bytes of text encoded at once.
-_SPLIT_BYTES = 2 << 20
+_SPLIT_BYTES = 4 << 20
 #: Parts remembered per process.
-_REMEMBERED = 500_000
+_REMEMBERED = 750_000
 
 
 class _Numbered(dict):
