@@ -234,6 +234,15 @@ def frontier_ranked(frontier: DataFrame, links: DataFrame, per_host: int) -> Dat
             .select("id", "scheme", "host_reversed", "path", F.col("weight_").alias("weight"), "rank"))
 
 
+def frontier_top(frontier: DataFrame, links: DataFrame, k: int) -> DataFrame:
+    """The ``k`` unvisited pages that most distinct hosts link to, of all
+    hosts; ties by host, then path.  Each task keeps its best ``k`` only."""
+    todo = frontier.where(F.col("latest_visit").isNull()).join(
+        referring_hosts(links), ["host_reversed", "path"], "left")
+    return (todo.select("id", "scheme", "host_reversed", "path", F.coalesce("weight", F.lit(0)).alias("weight"))
+            .orderBy(F.desc("weight"), "host_reversed", "path").limit(k))
+
+
 def host_stats(frontier: DataFrame, links: DataFrame) -> DataFrame:
     """Per host: pages, visited, unvisited, links out, links in.
     Three partial+final aggregations on the host key, full outer joined."""

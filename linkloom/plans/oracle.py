@@ -174,6 +174,7 @@ def crawl_reason_sql() -> str:
 
 
 ORACLE["robots_text"] = robots_text_sql()
+ORACLE["hosts_table"] = f"SELECT host_reversed, robot FROM ({robots_text_sql()})"
 ORACLE["robots_rules"] = robots_rules_sql()
 ORACLE["robots_allowed"] = robots_allowed_sql()
 ORACLE["crawlable_pages"] = (
@@ -288,6 +289,10 @@ ORACLE["frontier_ranked"] = (
     f"coalesce(w.weight, 0) DESC, f.path) AS rank FROM ({crawl_frontier_sql()}) f LEFT JOIN ({_REF}) w "
     f"ON f.host_reversed = w.host_reversed AND f.path = w.path WHERE f.latest_visit IS NULL) "
     f"WHERE rank <= 128")
+ORACLE["frontier_top"] = (
+    f"SELECT f.id, f.scheme, f.host_reversed, f.path, coalesce(w.weight, 0) AS weight FROM ({crawl_frontier_sql()}) f "
+    f"LEFT JOIN ({_REF}) w ON f.host_reversed = w.host_reversed AND f.path = w.path WHERE f.latest_visit IS NULL "
+    f"ORDER BY weight DESC, f.host_reversed, f.path LIMIT 128")
 _HS = ("array_to_string(list_reverse(string_split(regexp_extract({c}, '^[^:]+://(?:[^@/]*@)?([^/]*)', 1), "
        "'.')), '.')")
 ORACLE["host_stats"] = (

@@ -119,6 +119,17 @@ def robots_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _robots_texts(spark, sf_dir)
 
 
+@query
+def hosts_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored hosts table, written in the shared folder and read back."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    from ..sources.tables import write_hosts
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/hosts-{uuid.uuid4().hex[:10]}"
+    write_hosts(_robots_texts(spark, sf_dir), path)
+    return spark.read.parquet(path).select("host_reversed", "robot")
+
+
 @query
 def robots_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.robots import robots_rules as rules
@@ -243,6 +254,14 @@ def frontier_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FR.frontier_ranked(_crawl_frontier(spark, sf_dir), keyed, per_host=FR.BATCH_SIZE)
 
 
+@query
+def frontier_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 128 most useful unvisited pages of all hosts (a top-k report)."""
+    from ..operators import frontier as FR
+    keyed = L.link_keys(read_pages(spark, sf_dir)).select("source", "target", "host_reversed", "path")
+    return FR.frontier_top(_crawl_frontier(spark, sf_dir), keyed, k=FR.BATCH_SIZE)
+
+
 @query
 def host_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators import frontier as FR
