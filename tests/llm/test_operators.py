@@ -375,6 +375,25 @@ def test_html_structure(spark, page, text):
     assert [(r.text, r.n_chars) for r in got.collect()] == [(text, len(text))]
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<div class="right-sidebar"><article><p>a</p></article></div>', "a"),
+    ('<div class="no-sidebar"><main><p>a</p></main></div>', "a"),
+    ('<div id=sidebar>x<div class="header">y<article><p>a</p></article></div>z</div>', "a"),
+    ('<article><div class="post-header"><h1>T</h1></div><div class="header">by me</div><h2 id="related-work">R</h2>'
+     '<h2 id="related">S</h2><section id="social-effects"><p>s</p></section><section id="comments"><p>c</p></section>'
+     "</article>", "T by me R S s c"),
+    ('<main><div class="menu"><article>a</article></div></main>', "a"),
+    ('<article>a<div class="sidebar">b<article>c</article></div><div class="social">d</div></article>', "a"),
+    ('<article>a</article><div class="comments"><article>b</article></div><aside><article>c</article></aside>'
+     '<footer><div class="header"><article>d</article></div></footer><div class="sidebar"><aside><article>e</article>'
+     "</aside></div>", "a"),
+    ('<div class="ad"><article>b</article></div><div hidden><article>c</article></div><p class="ad-hoc">d</p>', "d"),
+])
+def test_html_names_are_whole_words(spark, page, text):
+    got = html_extract.extract(spark.createDataFrame([(1, None, page)], "page_id long, url string, html string"))
+    assert [r.text for r in got.collect()] == [text]
+
+
 def test_html_host_boilerplate(spark):
     menu, foot = "Home News Sport Weather Travel Money now", "All rights reserved by the publishing house"
     pages = [(i, f"http://h{i % 3}.com/{i}", f"<div>{menu}</div><p>Story {i} tells things number {i * 7} here</p><p>{foot}</p>")
