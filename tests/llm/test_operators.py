@@ -403,6 +403,32 @@ def test_html_host_boilerplate(spark):
     assert got == {i: f"Story {i} tells things number {i * 7} here" for i in range(40)} | {99: foot}
 
 
+def test_html_host_copies_are_one_page(spark):
+    menu, foot = "Home News Sport Weather Travel Money now", "All rights reserved by the publishing house"
+
+    def page(i):
+        return (f"<div>{menu}</div><p>Story {i} tells things number {i * 7} here in nine words</p>"
+                f"<p>{foot} wrote Kate{i}</p>")
+
+    rows = ([(i, f"http://h.com/{i}", page(i)) for i in range(12)]
+            + [(0, "http://h.com/0", page(0))]                                       # the same row again
+            + [(100 + i, f"http://h.com/1?utm={i}", page(1)) for i in range(60)]     # a hot group of copies
+            + [(200, "http://h.com/2/print", page(2).replace(menu, "Print view"))]   # a copy with other surroundings
+            + [(300, "http://two.com/a", "<p>one story told by two pages of a host</p>"),
+               (301, "http://two.com/b", "<p>one story told by two pages of a host</p>")]
+            + [(400, None, "<p>recrawled page with its one and only story here</p>")]
+            + [(400, None, f"<p>recrawled page with its one and only story here</p><p>{i}</p>") for i in range(5)])
+    got = defaultdict(set)
+    for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)).collect():
+        got[r.page_id].add(r.text)
+    want = {i: {f"Story {i} tells things number {i * 7} here in nine words Kate{i}"} for i in range(12)}
+    want |= {100 + i: want[1] for i in range(60)}
+    want[200] = {"Print view " + want[2].copy().pop()}
+    want |= {i: {"one story told by two pages of a host"} for i in (300, 301)}
+    want[400] = {"recrawled page with its one and only story here" + x for x in ("", " 0", " 1", " 2", " 3", " 4")}
+    assert got == want
+
+
 def test_suffix_ranks_match_brute_force():
     import pyarrow as pa
     rng = np.random.default_rng(5)
