@@ -1,9 +1,9 @@
 """Language ID: word-first backoff.
 
 Word counts per language come from all labelled training texts; the model is
-the ``vocabulary`` most frequent words of each language, so its size (and what
-is broadcast) is bounded by that parameter.  A known word scores its log
-frequency in each language.  An unseen word falls back to its character
+the ``vocabulary`` most frequent words of each language with their counts in all
+languages, so its size (and what is broadcast) is bounded by that parameter.  A
+known word scores its log frequency among all training words of each language.  An unseen word falls back to its character
 n-grams: the longest order of which the model knows any, down to single
 characters.
 """
@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import as_array, owner, portions, split_words
 
 #: Words kept per language (bounds the model).
@@ -39,7 +40,8 @@ def train(docs: DataFrame, training: Column, text_col: str = "text", lang_col: s
           vocabulary: int = VOCABULARY) -> dict:
     """Word counts per language over the rows where ``training`` holds and
     text and language are not null: ``{"langs": [...], "words": {word:
-    [count per language]}}``."""
+    [count per language]}}``, and if anything was learned, over the words that are
+    not kept as well, ``totals`` (occurrences per language) and ``distinct``."""
     rows = docs.where(training).select(F.col(lang_col).cast("string"), F.col(text_col)).na.drop()
 
     def count(batches):
@@ -60,17 +62,24 @@ def train(docs: DataFrame, training: Column, text_col: str = "text", lang_col: s
                  pa.array(list(total.values()), pa.int64())], names=["lang", "word", "n"])
 
     counts = rows.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counts = cut_lineage(counts)
     # the best of each shard first, so that no task sorts all words of a language
+    best = counts
     for shard in (F.pmod(F.xxhash64("word"), F.lit(SHARDS)), F.lit(0)):
         top = Window.partitionBy("lang", "shard").orderBy(F.desc("n"), "word")
-        counts = (counts.withColumn("shard", shard).withColumn("at", F.row_number().over(top))
-                  .where(F.col("at") <= vocabulary).select("lang", "word", "n"))
-    best = counts.collect()
-    langs = sorted({r.lang for r in best})
+        best = (best.withColumn("shard", shard).withColumn("at", F.row_number().over(top))
+                .where(F.col("at") <= vocabulary).select("lang", "word", "n"))
+    # a word kept for one language has its counts in all
+    kept = counts.join(F.broadcast(best.select("word").distinct()), "word", "left_semi").collect()
+    sums = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    langs = sorted(sums)
     words: dict = {}
-    for r in best:
+    for r in kept:
         words.setdefault(r.word, [0] * len(langs))[langs.index(r.lang)] = r.n
-    return {"langs": langs, "words": words}
+    if not langs:
+        return {"langs": langs, "words": words}
+    return {"langs": langs, "words": words, "totals": [sums[x] for x in langs],
+            "distinct": counts.select("word").distinct().count()}
 
 
 class Scorer:
@@ -86,7 +95,8 @@ class Scorer:
                 for g in self.grams(word, order):
                     known[g] += count
         tables: list[np.ndarray] = [np.empty((0, len(self.langs)))]
-        self.words = self.rows(words, tables)
+        whole = np.array(model["totals"]) + 0.5 * model["distinct"] if "totals" in model else None
+        self.words = self.rows(words, tables, whole)
         self.orders = [self.rows(g, tables) for g in grams]
         self.table = np.concatenate(tables)
 
@@ -96,12 +106,13 @@ class Scorer:
         return [marked[i:i + order] for i in range(len(marked) - order + 1)]
 
     @staticmethod
-    def rows(counts: dict, tables: list[np.ndarray]) -> dict[str, int]:
-        """Add the counts' logs to the tables; the row of each key."""
+    def rows(counts: dict, tables: list[np.ndarray], whole: np.ndarray | None = None) -> dict[str, int]:
+        """Add the logs of the counts' shares of the whole (by default their sum) to the
+        tables; the row of each key."""
         first = sum(map(len, tables))
         if counts:
             table = np.array(list(counts.values()), float) + 0.5
-            tables.append(np.log(table / table.sum(axis=0)))
+            tables.append(np.log(table / (table.sum(axis=0) if whole is None else whole)))
         return dict(zip(counts, range(first, first + len(counts))))
 
     def word(self, word: str) -> list[int]:

@@ -194,6 +194,15 @@ def test_language_id(docs, odd):
     assert {r.lang_pred for r in lang_id.predict(odd, nothing).collect()} == {"und"}
 
 
+def test_language_counts_before_the_cut(spark):
+    rows = [("a", "x x x x y y y z"), ("b", "w w w w v v v y y x"), ("a", "q"), ("b", "q q"), (None, "x"), ("a", None)]
+    model = lang_id.train(spark.createDataFrame(rows, "lang string, text string"), F.lit(True), vocabulary=2)
+    assert model == {"langs": ["a", "b"], "words": {"x": [4, 1], "y": [3, 2], "w": [0, 4], "v": [0, 3]},
+                     "totals": [9, 12], "distinct": 6}
+    scorer = lang_id.Scorer(model)
+    assert np.allclose(scorer.table[scorer.words["x"]], np.log([4.5 / 12, 1.5 / 15]))
+
+
 def test_language_backoff():
     scorer = lang_id.Scorer({"langs": ["a", "b"], "words": {"haus": [9, 0], "maison": [0, 9]}})
     assert scorer.word("haus") == [scorer.words["haus"]]
