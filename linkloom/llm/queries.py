@@ -8,11 +8,15 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from ..sources.tables import read_table
-from . import chat_format, decontaminate, exact_dedup, html_extract, lang_id, line_dedup, lm_score, packing, simhash, substring_dedup
+from . import (chat_format, decontaminate, exact_dedup, html_extract, lang_id, line_dedup, lm_score, packing,
+               periodic_runs, quality, simhash, substring_dedup, token_align)
 
 #: Windows of words, shingles and bits of the production queries.
 BENCHMARK_WINDOW, PASSAGE_WINDOW, SHINGLE, MAX_BITS, SEQUENCE = 10, 13, 3, 2, 1024
+#: Least score of a predicted label 1.
+QUALITY = 0.3
 #: A chat text that is all control strings.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -26,6 +30,15 @@ def tokenizer_json(path: str | None = None) -> str:
         return f.read()
 
 
+@cache
+def piece_model(path: str | None = None) -> bytes:
+    if path is None:
+        import public_tokenizers
+        path = public_tokenizers.path("piece_bpe_32k.model")
+    with open(path, "rb") as f:
+        return f.read()
+
+
 def language_model(docs: DataFrame) -> dict:
     """Learned from the labelled rows that are not held out."""
     return lang_id.train(docs, F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
@@ -86,9 +99,50 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=SHINGLE, max_bits=MAX_BITS)
 
 
+def with_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: in the texts of a tenth of the ids the words from a place on repeat with a period, both
+    taken from the id's hash."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    rows = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+    rows = rows.withColumn("w", F.when(
+        F.col("h") % 10 == 0, F.filter(F.split(F.col("text"), r"[\x20\x09-\x0D]+"), lambda w: w != "")))
+    rows = rows.withColumn("n", F.size("w").cast("long")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    left = F.col("n") - F.col("a")
+    period = 1 + F.floor(left / (3 + F.col("g") % 8))
+    head, cycle = F.slice("w", F.lit(1), F.col("a").cast("int")), F.slice("w", (F.col("a") + 1).cast("int"), period.cast("int"))
+    again = F.slice(F.flatten(F.array_repeat(cycle, F.ceil(left / period).cast("int"))), F.lit(1), left.cast("int"))
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(F.concat(head, again), " "))
+                       .otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.detect(with_runs(read_table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align(read_table(spark, sf_dir, "documents"), tokenizer_json(), piece_model())
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.measured(read_table(spark, sf_dir, "documents"))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    rows = cut_lineage(rows)
+    model = quality.train(rows, read_table(spark, sf_dir, "labels"), ~held_out)
+    return quality.score(rows, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= QUALITY).cast("int").alias("predicted"))
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_html_extraction, op2_line_dedup, op3_exact_dedup, op4_language_id, op5_chat_formatting,
-    op6_benchmark_decontamination, op7_substring_dedup, op8_lm_scoring, op9_packing, op10_simhash_near_dedup)}
+    op6_benchmark_decontamination, op7_substring_dedup, op8_lm_scoring, op9_packing, op10_simhash_near_dedup,
+    op11_periodic_runs, op12_token_alignment, op13_quality_classifier)}
 
 _SPACE = r"[\x20\x09-\x0D]"
 
