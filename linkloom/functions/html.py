@@ -1,13 +1,18 @@
 """Anchor extraction from raw HTML as native column expressions.
 
-One regex pass over the body finds, left to right, either a block whose
-content is not markup for links (comments and raw-text elements; one that is
-never closed runs to the end) or an ``<a ...>`` start tag with an ``href``
-attribute.  Group 1 captures the attribute with its name, so a skipped block
-yields an empty capture and a bare ``href`` does not.  White space or ``/``
-separates attributes, except after a quoted value, where none is needed, so
-``data-href`` does not match; the first ``href`` of a tag wins.  An unquoted
-value ends at white space or ``>`` only.
+One pass of one expression reads the body as a tag reader does: left to right,
+every comment, every element whose content is text and every tag is consumed
+whole, attribute by attribute, so that nothing inside an attribute value, a
+comment or a script is taken for a tag.  Group 2 captures the first ``href``
+attribute of an ``<a>`` tag, with its name, so what is only consumed
+yields an empty capture and a bare ``href`` does not.
+
+Attributes: white space and ``/`` separate them and are needed after an unquoted
+value only; a name begins with any other character (``=`` as well) and ends at
+white space, ``/``, ``>`` or ``=``; an unquoted value ends at white space or ``>``.
+A tag or a quoted value that is never closed takes the rest of the body with it and
+gives no link.  All loops are possessive: the matcher neither recurses per
+attribute nor returns to what it has read, whatever the markup.
 """
 
 from __future__ import annotations
@@ -17,15 +22,25 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-QUOTED = r"""(?:"[^"]*"|'[^']*')"""
-UNQUOTED = r"""[^\s>"'][^\s>]*"""
-_OTHER = r"(?:[^\s>/=]+(?:[\s/]+|\s*=\s*" + QUOTED + r"[\s/]*|\s*=\s*" + UNQUOTED + r"\s+))"
-ANCHOR = r"<a[\s/]+" + _OTHER + r"*?(href\s*=\s*(?:" + QUOTED + "|" + UNQUOTED + r"|>)|href[\s/>])"
+_W = r" \t\n\f\r"
+_VALUE = rf"""(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|[^{_W}"'>][^{_W}>]*+)"""
+_NAME_END = rf"(?=[{_W}/>=])"
+_ASSIGNED = rf"(?:[{_W}]*+=[{_W}]*+{_VALUE}?+)?+"
+_ATTRIBUTE = rf"[^{_W}/>][^{_W}/>=]*+{_ASSIGNED}"
+_REST = rf"(?:[{_W}/]++|{_ATTRIBUTE})*+"
+_TAG_END = rf"(?=[{_W}/>])"
 # --- fixed values: elements whose content is text, not markup ---------------
 RAW_TEXT = ["script", "style", "textarea", "title", "noscript", "iframe", "noembed", "noframes", "xmp"]
 # ---------------------------------------------------------------------------
-SKIPPED = r"<!--.*?(?:-->|\z)" + "".join(rf"|<{e}\b.*?(?:</{e}[\s/>]|\z)" for e in RAW_TEXT)
-LINK_SCAN = "(?is)" + SKIPPED + "|" + ANCHOR
+_COMMENT = r"!--(?:-?>|(?:[^-]++|-(?!-!?>))*+(?:--!?>|\z))"
+_TEXT_ELEMENT = (rf"({'|'.join(RAW_TEXT)}){_TAG_END}{_REST}"
+                 rf"(?:>[^<]*+(?:<(?!/\1[{_W}/>])[^<]*+)*+|\z)")
+_ANCHOR = (rf"a{_TAG_END}(?:[{_W}/]++|(?!href{_NAME_END}){_ATTRIBUTE})*+"
+           rf"(href{_NAME_END}{_ASSIGNED}){_REST}>")
+#: One construct after another; the plain tag takes what is left of the others' cases.
+LINK_SCAN = ("(?i)<(?:" + "|".join([
+    _COMMENT, _TEXT_ELEMENT, rf"plaintext{_TAG_END}{_REST}(?s:>.*+)?+", _ANCHOR,
+    rf"/?+[a-z][^{_W}/>]*+{_REST}(?:>|\z)", r"(?:[!?]|/(?![a-z]))[^>]*+"]) + ")")
 
 # --- fixed values: numeric character references 0x80-0x9F are read as
 # windows-1252 (HTML5 parsing rules); code points not listed map to themselves
@@ -43,14 +58,13 @@ RE_REF = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*[;=]?)"
 
 def raw_anchor_values(html: Column) -> Column:
     """array<string> of ``href`` attributes, as written, in document order."""
-    return F.filter(F.regexp_extract_all(html, F.lit(LINK_SCAN), 1), lambda v: v != "")
+    return F.filter(F.regexp_extract_all(html, F.lit(LINK_SCAN), 2), lambda v: v != "")
 
 
 def unquote(attribute: Column) -> Column:
     """The value of an ``href`` attribute; empty if it has none."""
-    value = F.regexp_extract(attribute, r"(?is)^href\s*=\s*(.*)$", 1)
+    value = F.regexp_extract(attribute, rf"(?is)^href[{_W}]*=[{_W}]*(.*)$", 1)
     return (F.when(value.startswith('"') | value.startswith("'"), value.substr(F.lit(2), F.length(value) - 2))
-            .when(value == ">", F.lit(""))
             .otherwise(value))
 
 

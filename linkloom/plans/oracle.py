@@ -61,11 +61,13 @@ ORACLE["backlinks_of"] = (
 _CASE_LINKS = [
     ["", ""], ["/y{n}"], ["/it's{n}"], ["/café{n}"], ["/a&lt;b{n}"], ["/AA\ufffd\u20ac{n}"], ["/k{n}"], ["/e{n}"],
     ["/x{n}?a=1&copy=2&b&\u00a9"], ["/2/{n}"], ["/u/{n}/", "/nl{n}"], ["/p{n}"],
+    ["/i{n}"], ["/y{n}", "/w{n}"], ["/e{n}"], ["/h{n}", "/g{n}"], ["/u{n}", "/s{n}", ""], ["/r{n}"],
+    ["/f{n}"], ["/o{n}"],
 ]
 ORACLE["anchor_cases"] = (
     "SELECT page_id, c.pos, replace(c.href, '{n}', CAST(page_id AS VARCHAR)) AS href FROM pages JOIN (VALUES "
     + ", ".join(f"({k}, {p}, {Q.lit(h)})" for k, hs in enumerate(_CASE_LINKS) for p, h in enumerate(hs, 1))
-    + ") c(k, pos, href) ON page_id % 12 = c.k")
+    + ") c(k, pos, href) ON page_id % 20 = c.k")
 
 
 ORACLE["stream_totals"] = f"SELECT count(*) AS links_added, 2 AS runs FROM ({Q.page_links(PAGES)})"

@@ -24,14 +24,21 @@ ANCHOR_MARKUP = [
     '<xmp><a href="/n{n}"></xmp><textarea><a href="/n"></textarea><a data-href="/d" href="/e{n}">',
     '<a href="/x{n}?a=1&copy=2&amp;b&amp&copy">', '<abbr href="/z{n}"><a hrefx="/1" href="/2/{n}" href="/3">',
     '<a title = "a>b" href=/u/{n}/><a\nhref="/nl{n}"/>', '<a href="/p{n}">a</a><!-- open <a href="/c{n}">',
+    """<img alt='<a href="/x">'><div data-t="<a href='/tip'>"><a href="/i{n}">""",
+    '<!--><a href="/y{n}"><!-- c --!><a href="/w{n}">', '<a =x href="/e{n}"><plaintext><a href="/p">',
+    '<!---><a href="/h{n}"></ <a href="/b">><a href="/g{n}">',
+    """<a title=x"y href="/u{n}" href="/v"><a/href=/s{n}><a class='q'"href="/t"><a hr\x0bef="/m" href=>""",
+    '<? <a href="/q"> ?><SCRIPT a=">">"<a href=/s></script a="</script>"><a href="/r{n}"><a href="/open{n}',
 ]
+#: A tag of 20,000 attributes, and a megabyte in a quote that is never closed.
+ANCHOR_FLOODS = ["<a" + ' x="y" z' * 10_000 + ' href="/f{n}">', '<a href="/o{n}"><a title="' + "x<a href=/n " * 90_000]
 
 
 def anchor_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page of each page's number with markup that is easily misread, by ``page_id``."""
-    cases = F.array(*[F.lit(m) for m in ANCHOR_MARKUP])
+    cases = [*ANCHOR_MARKUP, *ANCHOR_FLOODS]
     n = F.col("page_id")
-    markup = F.element_at(cases, (F.pmod(n, F.lit(len(ANCHOR_MARKUP))) + 1).cast("int"))
+    markup = F.element_at(F.array(*map(F.lit, cases)), (F.pmod(n, F.lit(len(cases))) + 1).cast("int"))
     return read_pages(spark, sf_dir).select("page_id", "url", F.replace(markup, F.lit("{n}"), n.cast("string")).alias("html"))
 
 
