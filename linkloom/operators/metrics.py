@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.timecols import chunk_of, epoch_micros, ntz_from_micros, truncate_micros
-from .scan import running
+from ..functions.timecols import epoch_micros, ntz_from_micros, truncate_micros
+from .scan import ranged, running
 
 # --- fixed values -----------------------------------------------------------
 DEFAULT_BUCKETS = [0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0]
@@ -72,20 +72,20 @@ def histogram(df: DataFrame, label: str, value: str, buckets: list[float] = DEFA
                     "sum", "count"))
 
 
-def in_flight(log: DataFrame, chunk: str = "hour") -> DataFrame:
+def in_flight(log: DataFrame, bucket: str = "hour") -> DataFrame:
     """Requests in flight (E7): +1 at start, -1 at end (start + duration);
-    per time chunk the peak of the running total, with ends before starts
-    at equal times.  The running total is a chunked prefix sum."""
+    per time bucket the peak of the running total, with ends before starts
+    at equal times.  The running total is a prefix scan over the whole log, in parts of
+    about as many events each."""
     start = epoch_micros(F.col("ts"))
     end = start + (F.col("duration_s") * 1_000_000).cast("long")
     ev = log.select(F.explode(F.array(
         F.struct(start.alias("t"), F.lit(1).alias("d"), F.col("event_id").alias("id")),
         F.struct(end.alias("t"), F.lit(-1).alias("d"), F.col("event_id").alias("id")))).alias("e")) \
         .select("e.*")
-    ch = chunk_of(F.col("t"), chunk)
-    r = running(ev.select("*", F.lit(0).alias("_all")), ["_all"], ch, ["t", "d", "id"], F.col("d"),
-                "sum", "in_flight")
-    return (r.groupBy(ntz_from_micros(truncate_micros(F.col("t"), chunk)).alias("bucket"))
+    order = ["t", "d", "id"]
+    r = running(ranged(ev, [], order), [], order, F.col("d"), "sum", "in_flight")
+    return (r.groupBy(ntz_from_micros(truncate_micros(F.col("t"), bucket)).alias("bucket"))
             .agg(F.max("in_flight").alias("peak_in_flight")))
 
 

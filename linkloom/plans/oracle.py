@@ -354,6 +354,17 @@ ORACLE["adaptive_rate"] = (
     f"SELECT event_id, ts, host, method, halvings, 5.0 * pow(2.0, halvings) AS interval_s FROM "
     f"(SELECT *, coalesce(sum(CASE WHEN code = 429 AND method = 'HEAD' THEN 1 ELSE 0 END) OVER (PARTITION BY host ORDER BY ts, "
     f"event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS halvings FROM ({REQUEST_LOG}))")
+# the sequential rule itself, request by request: a slot is the arrival or the slot before plus the interval
+ORACLE["adaptive_schedule"] = (
+    f"WITH RECURSIVE h AS (SELECT *, coalesce(sum(CASE WHEN code = 429 AND method = 'HEAD' THEN 1 ELSE 0 END) OVER "
+    f"(PARTITION BY host ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS halvings, "
+    f"row_number() OVER (PARTITION BY method, host ORDER BY ts, event_id) AS i FROM ({REQUEST_LOG})), "
+    f"n AS MATERIALIZED (SELECT *, epoch_us(ts)::HUGEINT AS a, {_D_US}::HUGEINT * pow(2, least(halvings, 60))::HUGEINT AS d FROM h), "
+    f"r AS (SELECT event_id, method, host, i, a AS slot FROM n WHERE i = 1 UNION ALL "
+    f"SELECT n.event_id, n.method, n.host, n.i, greatest(n.a, r.slot + n.d) FROM r JOIN n "
+    f"ON n.method = r.method AND n.host = r.host AND n.i = r.i + 1) "
+    f"SELECT n.event_id, n.ts, n.method, n.host, n.halvings, TRY_CAST(slot AS BIGINT) AS slot_us, "
+    f"TRY_CAST(slot AS BIGINT) - epoch_us(ts) AS wait_us, slot > a AS delayed FROM n JOIN r USING (event_id)")
 ORACLE["crawl_counters"] = (
     f"SELECT (SELECT count(*) FROM ({REQUEST_LOG})) AS processed, "
     f"(SELECT count(*) FILTER (WHERE level = 'ERROR') FROM ({REQUEST_LOG})) AS errors, "

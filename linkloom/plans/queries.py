@@ -318,6 +318,12 @@ def adaptive_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rate(D.request_log(spark, sf_dir))
 
 
+@query
+def adaptive_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.pacing import adaptive_schedule as sched
+    return sched(D.request_log(spark, sf_dir), PACING_INTERVAL_S)
+
+
 @query
 def crawl_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.metrics import crawl_counters as counters

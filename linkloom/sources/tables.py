@@ -95,24 +95,3 @@ def lookup_sorted(spark: SparkSession, path: str, column: str, value: str) -> Da
     """Point lookup on a table written sorted by ``column``: the pushed
     equality filter lets Parquet skip row groups by min/max."""
     return spark.read.parquet(path).where(F.col(column) == F.lit(value))
-
-
-def save_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
-    """Cut lineage by writing ``df`` as a table bucketed and sorted by
-    ``keys`` into the shared checkpoint folder, and read it back.
-
-    Unlike a checkpointed DataFrame (whose partitioning is unknown to the
-    planner), a bucketed table keeps its hash layout: a later join or
-    anti-join on ``keys`` shuffles only the other side.
-    """
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
-
-    spark = df.sparkSession
-    tag = uuid.uuid4().hex[:12]
-    table = f"linkloom_{name}_{tag}"
-    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/tables/{name}-{tag}"
-    (df.write.bucketBy(buckets, *keys).sortBy(*keys).mode("overwrite")
-     .option("path", path).saveAsTable(table))
-    return spark.table(table)

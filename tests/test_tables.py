@@ -75,3 +75,90 @@ def test_crawl_rounds_custom_policy(spark):
     frontier, links, report = crawl_rounds(seeds, resp, allow=deny_all)
     assert links.count() == 0 and report.count() == 1
     assert frontier.where(F.col("latest_visit").isNotNull()).count() == 1
+
+
+def _tables_left(spark):
+    folder = ensure_checkpoint_dir(spark).replace("file:", "") + "/tables"
+    return {f for f in os.listdir(folder)} if os.path.isdir(folder) else set()
+
+
+def test_segments_append_compact_and_keep_their_layout(spark):
+    from linkloom.sources import segments
+    before = _tables_left(spark)
+    t = segments.SegmentTable(spark, "t", "k string, v int", ["k"], 4)
+    for i in range(segments.COMPACT_EVERY + 3):
+        assert t.append(spark.createDataFrame([(f"k{i % 7}", i), (None, i)], "k string, v int")) == 2
+    assert sorted(r.v for r in t.read().collect()) == sorted(2 * list(range(segments.COMPACT_EVERY + 3)))
+    assert t.rows == 2 * (segments.COMPACT_EVERY + 3) and t.written == t.rows + 2 * segments.COMPACT_EVERY
+    left = _tables_left(spark) - before
+    assert len(left) == 1, left  # the superseded folder is gone
+    path = os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), "tables", left.pop())
+    assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) <= 4 * 4 + 1
+    other = spark.createDataFrame([("k1", 1)], "k string, w int").hint("merge")
+    plan = t.read().hint("merge").join(other, "k", "left_anti")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan.collect()
+        text = plan._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert text.count("Exchange hashpartitioning") == 1, text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    t.drop()
+    assert _tables_left(spark) == before
+
+
+def test_crawl_rounds_write_what_they_add(spark):
+    """Rows written in a round are its batch, its new pages and its new links, and no old table is left."""
+    from linkloom.plans.crawl import crawl_rounds
+    before = _tables_left(spark)
+    n = 30  # a chain of pages, each linking to the next and to the first
+    html = [f'<a href="http://h{i % 3}.com/p{i + 1}">n</a><a href="http://h0.com/p0">f</a>' for i in range(n)]
+    resp = spark.createDataFrame(
+        [(i, f"http://h{(i - 1) % 3 if i else 0}.com/p{i}", 200, "text/html", None, h) for i, h in enumerate(html)],
+        "page_id long, url string, status int, content_type string, x_robots_tag string, html string")
+    seeds = spark.createDataFrame([(0, "http://h0.com/p0")], "line_no long, value string")
+    allow = lambda req: req.select("*", F.lit(True).alias("allowed"))
+    frontier, links, report = crawl_rounds(seeds, resp, allow=allow, max_rounds=12)
+    rows = report.orderBy("round").collect()
+    assert [r.batch for r in rows] == [1] * 12 and [r.pages for r in rows] == [1] * 12
+    assert [r.links for r in rows] == [2] * 12
+    assert [r.written for r in rows] == [4] * 12
+    assert links.count() == 24 and frontier.count() == 13
+    assert frontier.where(F.col("latest_visit").isNotNull()).count() == 12
+    assert len(_tables_left(spark) - before) == 3
+
+
+def test_crawl_depth_splits_hubs(spark):
+    from linkloom.plans import crawl
+    edges = [("hub", f"n{i}") for i in range(90)] + [(f"n{i}", f"m{i % 5}") for i in range(90)] + [("m1", "hub"), ("x", "y")]
+    links = spark.createDataFrame(edges + edges[:9], "source string, target string")
+    seeds = spark.createDataFrame([("hub",), ("hub",)], "node string")
+    for most in (10, 1000):
+        got = {r.node: r.depth for r in crawl.crawl_depth(links, seeds, hub_edges=most).collect()}
+        assert got == {"hub": 0} | {f"n{i}": 1 for i in range(90)} | {f"m{i}": 2 for i in range(5)}
+    assert {r.node for r in crawl.crawl_depth(links, seeds, max_depth=1).collect()} == {"hub"} | {f"n{i}" for i in range(90)}
+
+
+def test_crawl_depth_levels_shuffle_the_level_only(spark):
+    from linkloom.plans import crawl
+    from linkloom.sources.segments import SegmentTable, table_of
+    edges = table_of(spark.createDataFrame([("a", 0, "b")], "source string, salt int, target string"), "edges", ["source", "salt"], 8)
+    found = SegmentTable(spark, "found", "node string, depth int", ["node"], 8)
+    level = spark.createDataFrame([("a", 0)], "node string, depth int")
+    hubs = spark.createDataFrame([("h", 3)], "hub string, salts int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = crawl.next_level(level, edges.read(), hubs, found.read(), 1)
+        assert [tuple(r) for r in plan.collect()] == [("b", 1)]
+        text = plan._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    depth = [max(line.find("+- "), line.find(":- ")) for line in text]
+    scans = [i for i, line in enumerate(text) if "FileScan parquet" in line]
+    assert len(scans) == 2
+    for at in scans:  # no exchange between a stored table and its join
+        while "Join" not in text[at]:
+            assert "Exchange" not in text[at], "\n".join(text)
+            at = max(i for i in range(at) if depth[i] < depth[at])
+    edges.drop()
+    found.drop()
