@@ -11,8 +11,6 @@ less than one sequence.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from itertools import chain
 
@@ -21,92 +19,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_array, chunk_count, chunk_of, id_or_null, ids_of, portions
+from .common import CHUNK_BYTES, as_array, chunk_of, id_or_null, ids_of, portions
+from .tokens import ByteTokens
 
-#: Letters and digits among the characters that _PLAIN lets through.
-_LETTER, _DIGIT = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾"
-#: Characters for which the split below is the tokenizer's own; other texts go to it whole.
-_PLAIN = re.compile("[^\t\n\r\x20-\x7e\xa1-ſ]")
-#: What the byte-level tokenizer encodes by itself: letters, contractions,
-#: digits, other signs, white space (the last before a word left to it).
-_PARTS = re.compile(f" ?[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_DIGIT}]+| ?[^\\s{_LETTER}{_DIGIT}]+"
-                    "|\\s+(?!\\S)|\\s+")
 #: Bytes of text encoded at once.
 _SPLIT_BYTES = 2 << 20
-#: Parts remembered per process.
-_REMEMBERED = 500_000
 
 
-class _Numbered(dict):
-    """Numbers the parts in the order in which they are first looked up."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, part: str) -> int:
-        number = self[part] = len(self)
-        self.new.append(part)
-        return number
-
-
-class Encoder:
-    """Ids of whole texts by a tokenizer file, as little-endian uint32 bytes.
-
-    Remembers the ids of the parts that the tokenizer encodes independently
-    of each other, and asks it only for parts not seen before.
-    """
-
-    def __init__(self, data: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_str(data)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.forget()
-
-    def forget(self) -> None:
-        self.seen = _Numbered()
-        # ids of all parts in a row, and where each part's begin and how many they are
-        self.known, self.begin, self.size = np.empty(0, "<u4"), np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def learn(self) -> None:
-        """Get the ids of the parts looked up for the first time."""
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(self.seen.new, add_special_tokens=False)]
-        self.seen.new = []
-        size = np.fromiter(map(len, coded), np.int64, len(coded))
-        self.begin = np.append(self.begin, len(self.known) + np.cumsum(size) - size)
-        self.size = np.append(self.size, size)
-        self.known = np.append(self.known, np.fromiter(chain.from_iterable(coded), "<u4"))
+class Encoder(ByteTokens):
+    """Ids of whole texts by a tokenizer file, as little-endian uint32 bytes."""
 
     def ids(self, text: str) -> bytes:
+        """By the tokenizer itself."""
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        if len(self.seen) > _REMEMBERED:
-            self.forget()
-        parts: list[str] = []
-        ends = []
-        for text in texts:
-            if _PLAIN.search(text) or any(s in text for s in self.special):
-                ends.append(-1)
-            else:
-                parts += _PARTS.findall(text)
-                ends.append(len(parts))
-        place = np.fromiter(map(self.seen.__getitem__, parts), np.int64, len(parts))
-        del parts
-        self.learn()
-        begin, size = self.begin[place], self.size[place]
-        stop = np.cumsum(size)  # where each part's ids end among all
-        data = self.known[np.arange(size.sum()) + np.repeat(begin - (stop - size), size)]
-        stop, start, out = np.concatenate([[0], stop]), 0, []
-        for text, end in zip(texts, ends):
-            if end < 0:
-                out.append(self.ids(text))
-            else:
-                out.append(data[stop[start]:stop[end]].tobytes())
-                start = end
-        return out
+        return [x.astype("<u4").tobytes() for x in super().encode(texts)]
 
 
 def cost(length, linear: float, quadratic: float):
@@ -158,7 +86,9 @@ def pack(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_col:
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast({"json": tokenizer_json})
-    groups = chunk_count(docs, text_col)
+    # from the bytes alone, so that the sequences are the same on every cluster
+    size = F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long")
+    groups = max(1, -(-(docs.agg(F.sum(size)).first()[0] or 0) // CHUNK_BYTES))
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"),
                        chunk_of(F.col(id_col), groups).alias("part"))
     end = np.array([end_id], "<u4").tobytes()
