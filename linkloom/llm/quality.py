@@ -29,8 +29,8 @@ from .common import as_array, owner, portions, split_words
 FEATURES, WIDTH, PENALTY = 256, 4.0, 1e-4
 #: Bins of the raw score for calibration.
 STEPS = 2048
-#: Partitions' sums added up in one task.
-FAN_IN = 64
+#: Partitions' sums added up in one task, and numbers of a sum in one row.
+FAN_IN, SLICE = 64, 1 << 13
 BATCH_BYTES = 4 << 20
 
 #: Kinds of bytes whose shares count.
@@ -107,23 +107,39 @@ def rising(weight: np.ndarray, total: np.ndarray) -> np.ndarray:
     return np.interp(np.arange(len(weight)), place / w, t / w)
 
 
-def _summed(parts: DataFrame, size: int) -> np.ndarray:
-    """Add up vectors of float64 (``part long, sums binary``) in rounds of ``FAN_IN``."""
-    schema, n = "part long, sums binary", parts.rdd.getNumPartitions()
+def _sums(of):
+    """Each partition's sum of the vectors that ``of`` makes of its batches ``(x, y)``, a row for each ``SLICE`` of it."""
+    def run(batches):
+        total = None
+        for batch in batches:
+            made = of(_matrix(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False))
+            total = made if total is None else total + made
+        if total is not None:
+            part = TaskContext.get().partitionId()
+            cut = range(0, len(total), SLICE)
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part] * len(cut), pa.int64()),
+                                              "slice": pa.array([a // SLICE for a in cut], pa.int64()),
+                                              "sums": pa.array([total[a:a + SLICE].tobytes() for a in cut], pa.binary())})
+    return run
+
+
+def _summed(rows: DataFrame, of, size: int) -> np.ndarray:
+    """The sum over all rows ``x, y`` of the vectors of ``of``, slices by themselves, in rounds of ``FAN_IN``."""
+    schema, n = "part long, slice long, sums binary", rows.rdd.getNumPartitions()
 
     def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(size)
-        for x in table["sums"].to_pylist():
-            total += np.frombuffer(x)
+        total = sum(np.frombuffer(x) for x in table["sums"].to_pylist())
         return pa.table({"part": pa.array([table["part"][0].as_py() // FAN_IN], pa.int64()),
-                         "sums": pa.array([total.tobytes()], pa.binary())})
+                         "slice": table["slice"][:1], "sums": pa.array([total.tobytes()], pa.binary())})
 
+    parts = rows.mapInArrow(_sums(of), schema)
     while n > 1:
-        parts = parts.withColumn("group", F.floor(F.col("part") / FAN_IN)).groupBy("group").applyInArrow(add, schema)
+        parts = (parts.withColumn("group", F.floor(F.col("part") / FAN_IN))
+                 .groupBy("group", "slice").applyInArrow(add, schema))
         n = -(-n // FAN_IN)
     total = np.zeros(size)
     for r in parts.toLocalIterator():
-        total += np.frombuffer(r.sums)
+        total[r.slice * SLICE:(r.slice + 1) * SLICE] += np.frombuffer(r.sums)
     return total
 
 
@@ -156,23 +172,11 @@ def train(rows: DataFrame, labels: DataFrame, training: Column, id_col: str = "d
                        .select("x", "y", (F.pmod(F.xxhash64("x"), F.lit(4)) == 0).alias("calibrates")))
     d = len(STATISTICS)
 
-    def sums(of):
-        """Each partition's sum of the vectors that ``of`` makes of a batch."""
-        def run(batches):
-            total = None
-            for batch in batches:
-                made = of(_matrix(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False))
-                total = made if total is None else total + made
-            if total is not None:
-                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()),
-                                                  pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
-        return run
-
     def moments(x, y):
         return np.concatenate([[len(x)], x.sum(axis=0), (x * x).sum(axis=0), [y.sum()]])
 
     every, fits = rows.select("x", "y"), rows.where(~F.col("calibrates")).select("x", "y")
-    total = _summed(every.mapInArrow(sums(moments), "part long, sums binary"), 2 * d + 2)
+    total = _summed(every, moments, 2 * d + 2)
     n = total[0]
     if not n:
         return {"steps": np.ones(STEPS), "weights": None}
@@ -186,7 +190,7 @@ def train(rows: DataFrame, labels: DataFrame, training: Column, id_col: str = "d
         z = random_features(x, model)
         return np.concatenate([(z.T @ z).ravel(), z.T @ (y - model["base"]), [len(z)]])
 
-    total = _summed(fits.mapInArrow(sums(normal), "part long, sums binary"), features * features + features + 1)
+    total = _summed(fits, normal, features * features + features + 1)
     left = total[:features * features].reshape(features, features) + (penalty * total[-1] + 1e-9) * np.eye(features)
     model["weights"] = np.linalg.solve(left, total[features * features:-1])
 
@@ -195,9 +199,9 @@ def train(rows: DataFrame, labels: DataFrame, training: Column, id_col: str = "d
         return np.concatenate([np.bincount(at, minlength=STEPS), np.bincount(at, weights=y, minlength=STEPS)])
 
     held = rows.where(F.col("calibrates")).select("x", "y")
-    total = _summed(held.mapInArrow(sums(histogram), "part long, sums binary"), 2 * STEPS)
+    total = _summed(held, histogram, 2 * STEPS)
     if not total[:STEPS].any():  # too few rows to hold any back
-        total = _summed(every.mapInArrow(sums(histogram), "part long, sums binary"), 2 * STEPS)
+        total = _summed(every, histogram, 2 * STEPS)
     model["steps"] = rising(total[:STEPS], total[STEPS:])
     return model
 
