@@ -35,8 +35,8 @@ def _windows(words: list[bytes], size: int) -> set[str]:
             for i in range(max(1, len(words) - size + 1))}
 
 
-def _automaton(items: list[tuple[str, str]], size: int):
-    windows: dict[str, list[str]] = {}
+def _automaton(items: list[tuple[str | None, str]], size: int):
+    windows: dict[str, list] = {}
     for item, text in items:
         for w in _windows(normalised(text), size):
             windows.setdefault(w, []).append(item)
@@ -82,11 +82,15 @@ def _spans(raw: bytes, begin, end, hit) -> list[dict]:
     return [{"start": int(chars[begin[a]]), "end": int(chars[end[b]])} for a, b in zip(first, last)]
 
 
+def _sorted(items: set) -> list:
+    return sorted(x for x in items if x is not None) + [None] * (None in items)
+
+
 def _blocks(items: DataFrame, item_col: str, text_col: str):
     """The items in blocks of bounded size, read through one partition at a time."""
     block, size = [], 0
     for item, text in items.select(F.col(item_col).cast("string"), F.col(text_col)).toLocalIterator():
-        if item is None or not text:
+        if not text:
             continue
         block.append((item, text))
         size += len(text)
@@ -102,10 +106,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """Find the benchmark windows that occur in each document.
 
     A window is ``window`` consecutive words of an item; an item of fewer words,
-    but not none, is one window.  Null or empty texts have no words; items
-    with a null id or text are skipped, and items with equal ids count as one.
+    but not none, is one window.  Null or empty texts have no words; items with equal ids count as one, and
+    so do those with a null id.
     Returns one row per input row: ``doc_id, n_words, n_hit, items``
-    (sorted ids) and ``spans`` (``start, end`` in code points of the original
+    (sorted ids, a null last) and ``spans`` (``start, end`` in code points of the original
     text, of each run of words hit).  With ``keep_clean`` the input rows without
     a hit, with their own columns, whatever these are called.  An empty table
     gives an empty result; an empty benchmark hits nothing.
@@ -138,7 +142,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0), pa.array([len(g[1]) for g in got], pa.int64()),
                     pa.array([int(g[3].sum()) for g in got], pa.int64()),
-                    pa.array([sorted(g[4]) for g in got], pa.list_(pa.string())),
+                    pa.array([_sorted(g[4]) for g in got], pa.list_(pa.string())),
                     pa.array([_spans(*g[:4]) for g in got], pa.list_(pa.struct(
                         [("start", pa.int32()), ("end", pa.int32())])))],
                     names=["doc_id", "n_words", "n_hit", "items", "spans"])
@@ -157,7 +161,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                     if hit is not None:
                         now = now | np.unpackbits(np.frombuffer(hit, np.uint8), count=len(now)).astype(bool)
                     hits.append(np.packbits(now).tobytes())
-                    found.append(sorted(items | set(had)))
+                    found.append(_sorted(items | set(had)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array(hits, pa.binary()),
                      pa.array(found, pa.list_(pa.string()))], names=["doc_id", "text", "hit", "items"])

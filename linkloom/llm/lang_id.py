@@ -195,8 +195,9 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
 
 def keep_known(docs: DataFrame, model: dict, text_col: str = "text", min_score: float = 0.0) -> DataFrame:
     """The input rows, with their own columns, whose language is one of the
-    learned ones with a score of at least ``min_score``.  By default only texts that are
-    null or have no letter go; short clean texts can have low scores."""
+    learned ones with a score of at least ``min_score``.  By default only texts go that are
+    null, have no letter, or of which the model knows no word and no part of one, so that all of several
+    languages score alike; short clean texts can have low scores."""
     shared = docs.sparkSession.sparkContext.broadcast({"model": model})
     place = docs.columns.index(text_col)
 
@@ -204,6 +205,7 @@ def keep_known(docs: DataFrame, model: dict, text_col: str = "text", min_score:
         scorer = _scorer(shared.value)
         for batch in chain.from_iterable(portions(b, place) for b in batches):
             lang, score = _predict(scorer, as_array(batch.column(place)))
-            keep = (score >= min_score) & np.array([x != UNDETERMINED for x in lang], bool)
+            known = score * len(scorer.langs) > 1 + 1e-9 if len(scorer.langs) > 1 else score > 0
+            keep = (score >= min_score) & known & np.array([x != UNDETERMINED for x in lang], bool)
             yield batch.filter(pa.array(keep, pa.bool_()))
     return docs.mapInArrow(run, docs.schema)

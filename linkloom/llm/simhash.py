@@ -214,13 +214,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a text of fewer than
     ``shingle`` words is one shingle; null or empty texts have fingerprint zero.
     Texts link at ``max_bits`` or fewer differing bits.  One row per input
-    row.  Rows with equal ids are one document, and so are the rows with a null
-    id, which counts as larger than any other.  Other columns are ignored; an
+    row.  Nodes are fingerprints, so rows with equal or null ids link by their texts alone; a null
+    id counts as larger than any other.  Other columns are ignored; an
     empty table gives an empty result.
     """
     spark = docs.sparkSession
     made = cut_lineage(fingerprints(docs, id_col, text_col, shingle))
-    nodes = cut_lineage(made.groupBy("fp").agg(F.min("id").alias("node")))
+    nodes = cut_lineage(made.groupBy("fp").agg(F.min("id").alias("least")))
     n = nodes.count()
     share = SAMPLE_ROWS / max(n, 1)
     sample = nodes.where(F.pmod(F.xxhash64("fp", F.lit(1)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
@@ -234,24 +234,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             fp = batch.column(0).to_numpy()
             at, shard, home = deal(tree.value, fp.view(np.uint64), max_bits)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shard, pa.int64()), pa.array(fp[at]), batch.column(1).take(pa.array(at)), pa.array(home)],
-                names=["shard", "fp", "node", "home"])
+                [pa.array(shard, pa.int64()), pa.array(fp[at]), pa.array(home)], names=["shard", "fp", "home"])
 
     def link(table: pa.Table) -> pa.Table:
-        node = as_array(table["node"]).to_numpy()
+        node = as_array(table["fp"]).to_numpy()
         order = np.argsort(node, kind="stable")
         node = node[order]
-        fp = as_array(table["fp"]).to_numpy()[order].view(np.uint64)
+        fp = node.view(np.uint64)
         home = as_array(table["home"]).to_numpy(zero_copy_only=False)[order]
         root = link_within(fp, home, max_bits)
         linked = root != np.arange(len(root))
         return pa.table({"a": node[linked], "b": node[root[linked]]})
 
-    links = (nodes.select("fp", "node").mapInArrow(visits, "shard long, fp long, node long, home boolean")
+    links = (nodes.select("fp").mapInArrow(visits, "shard long, fp long, home boolean")
              .groupBy("shard").applyInArrow(link, "a long, b long"))
-    joined = components(links)
-    named = nodes.join(joined, "node", "left").select("fp", F.coalesce("root", "node").alias("root"))
-    found = made.join(named, "fp")
+    rooted = nodes.join(components(links), F.col("fp") == F.col("node"), "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    # the smallest id of each component; a component is as large as its fingerprints, so these meet map-side first
+    first = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    found = made.join(rooted.join(first, "root").select("fp", "first"), "fp")
 
     def show(batches):
         for batch in batches:
@@ -259,16 +260,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays(
                 [id_or_null(batch.column(0).to_numpy()), pa.array([f"{x:016x}" for x in fp.tolist()], pa.string()),
                  id_or_null(batch.column(2).to_numpy())], names=["doc_id", "fingerprint", "component_id"])
-    return found.select("id", "fp", "root").mapInArrow(
+    return found.select("id", "fp", "first").mapInArrow(
         show, "doc_id long, fingerprint string, component_id long")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """The input rows, with their own columns, of each component's smallest id."""
+    """The input rows, with their own columns, of each component's smallest id.  Rows with one id stay or go
+    together: they go if each of them is near a row of a smaller id."""
     found = near_duplicates(docs, id_col, text_col, shingle, max_bits)
-    drop = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("id")).distinct()
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    drop = found.groupBy(F.col("doc_id").alias("id")).agg(F.bool_or(stays).alias("stays")).where(~F.col("stays"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.col(id_col).cast("long").alias("id"))
     return rows.join(drop, rows["id"].eqNullSafe(drop["id"]), "left_anti").select("row.*")

@@ -17,8 +17,8 @@ def test_stages_keep_what_they_should(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, stages = docs.columns, dict(corpus_pipeline.STAGES)
     assert list(stages) == ["language", "exact", "near", "benchmark", "pack"]
-    extra = spark.createDataFrame([(900_001, None), (900_002, "123 !")], "doc_id long, text string")
-    extra = extra.selectExpr("doc_id", "text", "'en' lang", "'s' source", "0L n_chars").select(columns)
+    extra = spark.createDataFrame([(900_001, None), (900_002, "123 !"), (900_003, "Это текст на языке")], "doc_id long, text string")
+    extra = extra.selectExpr("doc_id", "text", "if(doc_id = 900003, null, 'en') lang", "'s' source", "0L n_chars").select(columns)
 
     def step(name, df):
         out = stages[name](spark, df, SF)
