@@ -22,6 +22,8 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .urls import built_once
+
 _W = r" \t\n\f\r"
 _VALUE = rf"""(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|[^{_W}"'>][^{_W}>]*+)"""
 _NAME_END = rf"(?=[{_W}/>=])"
@@ -111,5 +113,17 @@ def decode_entities(value: Column) -> Column:
     return F.when(value.contains("&"), joined).otherwise(value)
 
 
+@built_once
+def decoded(name: str) -> Column:
+    """``decode_entities`` of the column of this name."""
+    return decode_entities(F.col(name))
+
+
+@built_once
+def unquoted(name: str) -> Column:
+    """``unquote`` of the column of this name."""
+    return unquote(F.col(name))
+
+
 def href_value(raw: Column) -> Column:
     return decode_entities(unquote(raw))

@@ -9,10 +9,9 @@ from __future__ import annotations
 
 from html.parser import HTMLParser
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import DataFrame
-
-_SCHEMA = "page_id long, url string, pos long, href string"
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 
 class _Anchors(HTMLParser):
@@ -37,17 +36,15 @@ def _anchors(html: str | None) -> list[str]:
     return p.hrefs
 
 
-def _batches(it):
-    for pdf in it:
-        out_id, out_url, out_pos, out_href = [], [], [], []
-        for pid, url, html in zip(pdf["page_id"], pdf["url"], pdf["html"]):
-            for i, h in enumerate(_anchors(html), start=1):
-                out_id.append(pid)
-                out_url.append(url)
-                out_pos.append(i)
-                out_href.append(h)
-        yield pd.DataFrame({"page_id": out_id, "url": out_url, "pos": out_pos, "href": out_href})
+def parser_links(pages: DataFrame) -> DataFrame:
+    """A row for each link of each row of ``pages``: the row's own columns but ``html``, then ``pos, href``."""
+    carried = [f for f in pages.schema.fields if f.name != "html"]
+    schema = StructType([*carried, StructField("pos", LongType()), StructField("href", StringType())])
 
+    def batches(it):
+        for pdf in it:
+            found = [_anchors(html) for html in pdf["html"]]
+            rows = pdf.drop(columns="html").loc[np.repeat(pdf.index, [len(f) for f in found])]
+            yield rows.assign(pos=[i for f in found for i in range(1, len(f) + 1)], href=[h for f in found for h in f])
 
-def parser_links(pages: DataFrame) -> DataFrame:
-    return pages.select("page_id", "url", "html").mapInPandas(_batches, _SCHEMA)
+    return pages.mapInPandas(batches, schema)

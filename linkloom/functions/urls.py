@@ -8,13 +8,18 @@ whole-stage code generation (higher-order functions only on the rare rows
 that contain dot segments).
 
 The functions work on a DataFrame and add columns with a caller-chosen
-prefix; intermediate columns are dropped at the end.  Consecutive
-``select`` steps are collapsed by Catalyst unless that would duplicate an
-expensive expression, so each regex is evaluated once per row.
+prefix.  The rules are a chain of projections, each of which refers to the one
+before by name: Catalyst merges two only where that copies no expensive expression, so
+each regex is evaluated once per row.  The last step of a parse is a one-element ``inline``, below
+which no filter of a consumer can be pushed (it would take a copy of the whole chain along).
+The steps' expressions depend on column names alone and are built once per session.
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,26 +121,43 @@ def remove_dot_segments(full: Column) -> Column:
         F.array_join(F.aggregate(segs, F.array().cast("array<string>"), step), "/"),
         F.when(F.element_at(segs, -1).isin(".", ".."), F.lit("/")).otherwise(F.lit("")),
     )
-    slow = F.when(joined.startswith("//"), F.substring(joined, 2, 1 << 30)).otherwise(joined)
+    slow = F.when(joined.startswith("//"), joined.substr(F.lit(2), F.length(joined))).otherwise(joined)
     fast = F.when(full.startswith("/"), full).otherwise(F.concat(F.lit("/"), full))
     return (F.when(full == "", F.lit(""))
             .when(full.rlike(RE_DOT_SEGMENT), slow)
             .otherwise(fast))
 
 
-def stage(df: DataFrame, **cols: Column) -> DataFrame:
-    """Evaluate ``cols`` once per row and expose them as plain columns.
+_BUILT: dict = {}
+
+
+def built_once(make):
+    """Keep what ``make`` builds from names for the rest of the session: a parse is some thousand calls
+    to the JVM otherwise, more than a small job takes."""
+    @wraps(make)
+    def get(*names):
+        sc = SparkContext._active_spark_context
+        key = (make.__name__, names, sc and sc.applicationId)
+        if key not in _BUILT:
+            _BUILT[key] = make(*names)
+        return _BUILT[key]
+    return get
+
+
+def _step(**cols: Column) -> list[Column]:
+    return [c.alias(n) for n, c in cols.items()]
 
-    The expressions sit inside a one-element ``inline`` so Catalyst cannot
-    substitute them into every consumer: the URL rules reference earlier
-    parts several times, and inlining chained steps multiplies expression
-    size (slow planning, generated methods over the JVM's 64 KB limit).
-    """
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
 
+def _through(df: DataFrame, steps: list[list[Column]], last: list[Column]) -> DataFrame:
+    """The rows with the columns of ``last``, by way of the steps' columns."""
+    given = [f"`{c}`" for c in df.columns]
+    for step in steps:
+        df = df.select("*", *step)
+    return df.select(*given, F.inline(F.array(F.struct(*last))))
 
-def _parse_steps(df: DataFrame, col: str, p: str) -> DataFrame:
-    """Split a URL reference into its parts (columns prefixed ``p``).
+
+def _parse_steps(col: str, p: str) -> list[list[Column]]:
+    """Steps that split a URL reference into its parts (columns prefixed ``p``).
 
     ``{p}has_scheme``, ``{p}scheme_raw``, ``{p}opaque``, ``{p}has_auth``,
     ``{p}userinfo``, ``{p}has_user``, ``{p}host``, ``{p}port``,
@@ -143,30 +165,31 @@ def _parse_steps(df: DataFrame, col: str, p: str) -> DataFrame:
     """
     u = F.col(col)
     c = lambda n: F.col(f"{p}{n}")
-    df = stage(df, **{
+    steps = [_step(**{
         f"{p}scheme_raw": F.regexp_extract(u, RE_SCHEME, 1),
         f"{p}pathq": F.regexp_extract(u, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?([^?#]*)", 1),
         f"{p}early_err": F.when(u.rlike(RE_CONTROL), F.lit(REJECT_CONTROL))
         .when(u.startswith(":"), F.lit(REJECT_MISSING_SCHEME))
         .when(has_bad_escape(F.regexp_extract(u, r"^[^#]*#(.*)$", 1)), F.lit(REJECT_ESCAPE)),
-    })
+    })]
     pq = c("pathq")
     hs = c("scheme_raw") != ""
     opaque = hs & ~pq.startswith("/")
     has_auth = pq.startswith("//") & (hs | ~pq.startswith("///"))
-    authority = F.when(has_auth, F.regexp_extract(pq, r"^//([^/]*)", 1)).otherwise(F.lit(""))
+    steps.append(_step(**{
+        f"{p}has_scheme": hs, f"{p}opaque": opaque, f"{p}has_auth": has_auth,
+        f"{p}authority": F.when(has_auth, F.regexp_extract(pq, r"^//([^/]*)", 1)).otherwise(F.lit("")),
+    }))
+    hs, opaque, has_auth, authority = c("has_scheme"), c("opaque"), c("has_auth"), c("authority")
     hostport = F.regexp_extract(authority, r"([^@]*)$", 1)
-    df = stage(df, **{
-        f"{p}has_scheme": hs,
-        f"{p}opaque": opaque,
-        f"{p}has_auth": has_auth,
+    steps.append(_step(**{
         f"{p}path_raw": F.when(has_auth, F.regexp_extract(pq, r"^//[^/]*(.*)$", 1))
         .when(opaque, F.lit("")).otherwise(pq),
         f"{p}colon_err": ~hs & ~pq.startswith("/") & F.regexp_extract(pq, r"^([^/]*)", 1).contains(":"),
         f"{p}has_user": authority.contains("@"),
         f"{p}userinfo": F.regexp_extract(authority, r"^(.*)@", 1),
         f"{p}hostport": hostport,
-    })
+    }))
     hp = c("hostport")
     bracket = hp.startswith("[")
     host = (F.when(bracket, F.regexp_extract(hp, r"^\[([^\]]*)\]", 1))
@@ -175,9 +198,9 @@ def _parse_steps(df: DataFrame, col: str, p: str) -> DataFrame:
     portpart = (F.when(bracket, F.regexp_extract(hp, r"^\[[^\]]*\](.*)$", 1))
                 .when(hp.contains(":"), F.regexp_extract(hp, r"(:[^:]*)$", 1))
                 .otherwise(F.lit("")))
-    df = stage(df, **{f"{p}host": host, f"{p}portpart": portpart})
+    steps.append(_step(**{f"{p}host": host, f"{p}portpart": portpart}))
     pp = c("portpart")
-    df = stage(df, **{
+    steps.append(_step(**{
         f"{p}port": F.regexp_extract(pp, r"^:(.*)$", 1),
         f"{p}perr": F.when(c("early_err").isNotNull(), c("early_err"))
         .when(c("colon_err"), F.lit(REJECT_COLON))
@@ -185,35 +208,31 @@ def _parse_steps(df: DataFrame, col: str, p: str) -> DataFrame:
         .when(~pp.rlike(r"^(:[0-9]*)?$"), F.lit(REJECT_BAD_PORT))
         .when(~c("host").rlike(RE_HOST_OK), F.lit(REJECT_HOST_CHAR))
         .when(has_bad_escape(c("path_raw")), F.lit(REJECT_ESCAPE)),
-    })
-    return df
-
-
-def _finish(df: DataFrame, p: str, out: str, scheme: Column, userinfo: Column,
-            has_user, host: Column, port: Column, escaped: Column,
-            perr: Column, opaque: Column) -> DataFrame:
-    """Apply the canonical rules to resolved parts and emit output columns."""
-    df = stage(df, **{
-        f"{p}f_scheme": F.lower(scheme),
-        f"{p}f_user": F.when(has_user, F.concat(userinfo, F.lit("@"))).otherwise(F.lit(""))
-        if has_user is not True else userinfo,
-        f"{p}f_host": host, f"{p}f_port": port, f"{p}f_esc": escaped, f"{p}f_perr": perr,
-        f"{p}f_opaque": opaque,
-    })
+    }))
+    return steps
+
+
+def _finish(p: str, out: str, scheme: Column, user: Column, host: Column, port: Column, escaped: Column,
+            perr: Column, opaque: Column) -> tuple[list[list[Column]], list[Column]]:
+    """Steps that apply the canonical rules to resolved parts, and the output columns.  ``user`` ends in
+    ``@`` or is empty."""
     c = lambda n: F.col(f"{p}f_{n}")
     sc, h, pt = c("scheme"), c("host"), c("port")
-    df = stage(df, **{
+    steps = [_step(**{
+        f"{p}f_scheme": F.lower(scheme), f"{p}f_user": user, f"{p}f_host": host, f"{p}f_port": port,
+        f"{p}f_esc": escaped, f"{p}f_perr": perr, f"{p}f_opaque": opaque,
+    }), _step(**{
         f"{p}f_dec": decode_path(c("esc")),
         f"{p}f_reason": F.when(c("perr").isNotNull(), c("perr"))
         .when(~sc.isin(*ALLOWED_SCHEMES), F.concat(F.lit(REJECT_SCHEME), sc))
         .when((pt != "") & ~pt.isin(*ALLOWED_PORTS), F.concat(F.lit(REJECT_PORT), pt))
         .when(h.rlike(RE_IPV4) | h.rlike(RE_IPV6), F.concat(F.lit(REJECT_IP), h))
         .when(c("opaque") | (h == ""), F.lit(REJECT_EMPTY_HOST)),
-    })
+    })]
     ok = c("reason").isNull()
     is_root = c("dec") == "/"
     esc = F.when(is_root, F.lit("")).otherwise(c("esc"))
-    df = stage(df, **{
+    return steps, _step(**{
         f"{out}url": F.when(ok, F.concat(sc, F.lit("://"), c("user"), escape_host(h), esc)),
         f"{out}scheme": F.when(ok, sc),
         f"{out}host": F.when(ok, h),
@@ -222,16 +241,31 @@ def _finish(df: DataFrame, p: str, out: str, scheme: Column, userinfo: Column,
         f"{out}path_escaped": F.when(ok, esc),
         f"{out}reject_reason": c("reason"),
     })
-    return df
 
 
-def _drop_prefixed(df: DataFrame, p: str) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith(p)])
+def _with_at(has_user: Column, userinfo: Column) -> Column:
+    return F.when(has_user, F.concat(userinfo, F.lit("@"))).otherwise(F.lit(""))
 
 
 OUT_FIELDS = ["url", "scheme", "host", "host_reversed", "path", "path_escaped", "reject_reason"]
 
 
+@built_once
+def _normalizing(col: str, out: str) -> tuple[list[list[Column]], list[Column]]:
+    p = "_nu_"
+    c = lambda n: F.col(f"{p}{n}")
+    bare = ~c("has_scheme") & ~c("has_auth")
+    steps = _parse_steps(col, p) + [_step(**{
+        f"{p}host2": F.when(bare, F.regexp_extract(c("path_raw"), r"^([^/]*)", 1)).otherwise(c("host")),
+        f"{p}raw2": F.when(bare, F.regexp_extract(c("path_raw"), r"^[^/]*(.*)$", 1))
+        .otherwise(c("path_raw")),
+    }), _step(**{f"{p}esc2": escaped_form(c("raw2"))})]
+    scheme = F.when(c("has_scheme"), c("scheme_raw")).otherwise(F.lit(DEFAULT_SCHEME))
+    more, last = _finish(p, out, scheme, _with_at(c("has_user"), c("userinfo")), c("host2"), c("port"),
+                         c("esc2"), c("perr"), c("opaque"))
+    return steps + more, last
+
+
 def normalize_urls(df: DataFrame, col: str, out: str = "") -> DataFrame:
     """Canonicalize a column of stand-alone URLs (B1, B2).
 
@@ -240,20 +274,7 @@ def normalize_urls(df: DataFrame, col: str, out: str = "") -> DataFrame:
     rejected row.  A URL without scheme and without ``//`` takes its first
     path segment as host (``example.org/x`` -> ``http://example.org/x``).
     """
-    p = "_nu_"
-    df = _parse_steps(df, col, p)
-    c = lambda n: F.col(f"{p}{n}")
-    bare = ~c("has_scheme") & ~c("has_auth")
-    df = stage(df, **{
-        f"{p}host2": F.when(bare, F.regexp_extract(c("path_raw"), r"^([^/]*)", 1)).otherwise(c("host")),
-        f"{p}raw2": F.when(bare, F.regexp_extract(c("path_raw"), r"^[^/]*(.*)$", 1))
-        .otherwise(c("path_raw")),
-    })
-    df = stage(df, **{f"{p}esc2": escaped_form(c("raw2"))})
-    scheme = F.when(c("has_scheme"), c("scheme_raw")).otherwise(F.lit(DEFAULT_SCHEME))
-    df = _finish(df, p, out, scheme, c("userinfo"), c("has_user"), c("host2"), c("port"),
-                 c("esc2"), c("perr"), c("opaque"))
-    return _drop_prefixed(df, p)
+    return _through(df, *_normalizing(col, out))
 
 
 def resolve_urls(df: DataFrame, base: str, ref: str, out: str = "") -> DataFrame:
@@ -264,42 +285,46 @@ def resolve_urls(df: DataFrame, base: str, ref: str, out: str = "") -> DataFrame
     :func:`resolve_against`, which parses only the reference.
     """
     b = "_rb_"
-    df = _parse_steps(df, base, b)
     bc = lambda n: F.col(f"{b}{n}")
-    df = stage(df, **{f"{b}esc": escaped_form(bc("path_raw")),
-                      f"{b}user": F.when(bc("has_user"), F.concat(bc("userinfo"), F.lit("@")))
-                      .otherwise(F.lit(""))})
+    last = _step(**{f"{b}{n}": bc(n) for n in ("scheme_raw", "host", "port", "perr")},
+                 **{f"{b}esc": escaped_form(bc("path_raw")), f"{b}user": _with_at(bc("has_user"), bc("userinfo"))})
+    df = _through(df, _parse_steps(base, b), last)
     df = resolve_against(df, ref, bc("scheme_raw"), bc("host"), bc("port"), bc("user"), bc("esc"),
                          out, base_err=bc("perr"))
-    return _drop_prefixed(df, b)
+    return df.drop(*[c for c in df.columns if c.startswith(b)])
 
 
-def resolve_against(df: DataFrame, ref: str, scheme: Column, host: Column, port: Column,
-                    user_prefix: Column, path_escaped: Column, out: str = "",
-                    base_err: Column | None = None) -> DataFrame:
-    """Resolve ``ref`` against a base given by its parts (scheme, host,
-    port, ``user@`` prefix, escaped path) and canonicalize (B7 + B8)."""
+@built_once
+def _resolving(ref: str, out: str, checked_base: bool) -> tuple[list[list[Column]], list[Column]]:
     p = "_ru_"
-    df = stage(df, **{f"{p}b_scheme": scheme, f"{p}b_host": host, f"{p}b_port": port,
-                      f"{p}b_user": user_prefix, f"{p}esc_base": path_escaped})
-    df = _parse_steps(df, ref, p)
     c = lambda n: F.col(f"{p}{n}")
-    df = stage(df, **{f"{p}esc_ref": escaped_form(c("path_raw"))})
-    er, eb = c("esc_ref"), c("esc_base")
+    er, eb = c("esc_ref"), c("b_esc")
     own_auth = c("has_scheme") | c("has_auth")
     full = (F.when(own_auth, er)
             .when(er == "", eb)
             .when(er.startswith("/"), er)
             .otherwise(F.concat(F.regexp_extract(eb, r"^(.*/)", 1), er)))
-    df = stage(df, **{f"{p}full": full})
-    df = stage(df, **{f"{p}resolved": remove_dot_segments(c("full"))})
-    ref_user = F.when(c("has_user"), F.concat(c("userinfo"), F.lit("@"))).otherwise(F.lit(""))
-    scheme_r = F.when(c("has_scheme"), c("scheme_raw")).otherwise(c("b_scheme"))
-    perr = c("perr") if base_err is None else F.coalesce(c("perr"), base_err)
-    df = _finish(df, p, out, scheme_r, F.when(own_auth, ref_user).otherwise(c("b_user")),
-                 True, F.when(own_auth, c("host")).otherwise(c("b_host")),
-                 F.when(own_auth, c("port")).otherwise(c("b_port")), c("resolved"), perr, c("opaque"))
-    return _drop_prefixed(df, p)
+    steps = _parse_steps(ref, p) + [_step(**{f"{p}esc_ref": escaped_form(c("path_raw"))}), _step(**{f"{p}full": full}),
+                                    _step(**{f"{p}resolved": remove_dot_segments(c("full"))})]
+    scheme = F.when(c("has_scheme"), c("scheme_raw")).otherwise(c("b_scheme"))
+    more, last = _finish(
+        p, out, scheme, F.when(own_auth, _with_at(c("has_user"), c("userinfo"))).otherwise(c("b_user")),
+        F.when(own_auth, c("host")).otherwise(c("b_host")), F.when(own_auth, c("port")).otherwise(c("b_port")),
+        c("resolved"), F.coalesce(c("perr"), c("b_err")) if checked_base else c("perr"), c("opaque"))
+    return steps + more, last
+
+
+def resolve_against(df: DataFrame, ref: str, scheme: Column, host: Column, port: Column,
+                    user_prefix: Column, path_escaped: Column, out: str = "",
+                    base_err: Column | None = None) -> DataFrame:
+    """Resolve ``ref`` against a base given by its parts (scheme, host,
+    port, ``user@`` prefix, escaped path) and canonicalize (B7 + B8)."""
+    p = "_ru_"
+    parts = {"b_scheme": scheme, "b_host": host, "b_port": port, "b_user": user_prefix, "b_esc": path_escaped}
+    if base_err is not None:
+        parts["b_err"] = base_err
+    steps, last = _resolving(ref, out, base_err is not None)
+    return _through(df, [_step(**{f"{p}{n}": v for n, v in parts.items()}), *steps], last)
 
 
 def page_url(scheme: Column, host_reversed: Column, path: Column) -> Column:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import href_value, raw_anchor_values
+from ..functions.html import decoded, raw_anchor_values, unquoted
 from ..functions.urls import normalize_urls, resolve_against
 
 
@@ -50,9 +50,10 @@ def page_hrefs(pages: DataFrame, extract: str = "regex") -> DataFrame:
         canon = canonical_pages(pages.select("page_id", "url", "html"), "url").select(
             "page_id", "url", "source", "scheme", "host", "path_escaped", "html",
             _user_prefix("source").alias("user_prefix"))
-    raw = extract_raw_links(canon.select("page_id", "url", "html"), extract)
-    return canon.drop("html").join(raw.drop("url"), "page_id") if extract == "parser" else \
-        _explode_hrefs(canon)
+    if extract == "parser":
+        from ..functions.html_parser import parser_links
+        return parser_links(canon).drop("url")
+    return _explode_hrefs(canon)
 
 
 def _explode_hrefs(canon: DataFrame) -> DataFrame:
@@ -61,7 +62,9 @@ def _explode_hrefs(canon: DataFrame) -> DataFrame:
     return (arr.select("page_id", "source", "scheme", "host", "path_escaped", "user_prefix",
                        F.posexplode("hrefs").alias("pos0", "raw"))
             .select("page_id", "source", "scheme", "host", "path_escaped", "user_prefix",
-                    (F.col("pos0") + 1).alias("pos"), href_value(F.col("raw")).alias("href")))
+                    (F.col("pos0") + 1).alias("pos"), unquoted("raw").alias("raw"))
+            .select("page_id", "source", "scheme", "host", "path_escaped", "user_prefix", "pos",
+                    decoded("raw").alias("href")))
 
 
 def _resolve(h: DataFrame) -> DataFrame:
@@ -78,11 +81,11 @@ def extract_raw_links(pages: DataFrame, extract: str = "regex") -> DataFrame:
     """
     if extract == "parser":
         from ..functions.html_parser import parser_links
-        return parser_links(pages)
+        return parser_links(pages.select("page_id", "url", "html"))
     arr = pages.select("page_id", "url", raw_anchor_values(F.col("html")).alias("hrefs"))
     return (arr.select("page_id", "url", F.posexplode("hrefs").alias("pos0", "raw"))
-            .select("page_id", "url", (F.col("pos0") + 1).alias("pos"),
-                    href_value(F.col("raw")).alias("href")))
+            .select("page_id", "url", (F.col("pos0") + 1).alias("pos"), unquoted("raw").alias("raw"))
+            .select("page_id", "url", "pos", decoded("raw").alias("href")))
 
 
 def resolve_links(pages: DataFrame, extract: str = "regex") -> DataFrame:
