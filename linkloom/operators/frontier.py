@@ -158,9 +158,8 @@ def frontier_next(frontier: DataFrame, seed: str, batch: int = BATCH_SIZE,
 
 
 def mark_visited(frontier: DataFrame, batch: DataFrame, as_of) -> DataFrame:
-    """New frontier snapshot with the batch stamped ``as_of``.
-    The batch is bounded by the batch size, so it is broadcast."""
-    b = F.broadcast(batch.select(F.col("id").alias("_bid")).distinct())
+    """New frontier snapshot with the batch, of any size, stamped ``as_of``."""
+    b = batch.select(F.col("id").alias("_bid")).distinct()
     j = frontier.join(b, frontier["id"] == b["_bid"], "left")
     stamp = F.lit(as_of).cast("timestamp_ntz")
     return j.select("id", "scheme", "host_reversed", "path",
@@ -208,17 +207,41 @@ def link_target_keys(links: DataFrame) -> DataFrame:
         F.col("k_host_reversed").alias("host_reversed"), F.col("k_path").alias("path"))
 
 
-def referring_hosts(links: DataFrame) -> DataFrame:
-    """Distinct referring hosts per page key, in two aggregation levels
-    (``(key, host)`` first) so a hot target is combined map-side.  Links
-    that already carry the target key (``host_reversed, path``, as from
-    ``link_keys``) are not parsed again."""
+REFERRERS = "host_reversed string, path string, src_host string"
+
+
+def referrer_keys(links: DataFrame) -> DataFrame:
+    """Distinct ``(host_reversed, path, src_host)``: the hosts that link to a page key.  Links
+    that already carry the target key (``host_reversed, path``, as from ``link_keys``) are not parsed again."""
     keyed = links if {"host_reversed", "path"} <= set(links.columns) else link_target_keys(links)
-    k = keyed.select(
+    return keyed.select(
         "host_reversed", "path",
-        F.regexp_extract("source", r"^[^:]+://(?:[^@/]*@)?([^/]*)", 1).alias("src_host"))
-    return (k.groupBy("host_reversed", "path", "src_host").agg(F.lit(1).alias("_one"))
-            .groupBy("host_reversed", "path").agg(F.count(F.lit(1)).alias("weight")))
+        F.regexp_extract("source", r"^[^:]+://(?:[^@/]*@)?([^/]*)", 1).alias("src_host")).distinct()
+
+
+def referrers_table(spark: SparkSession, buckets: int):
+    """An empty stored table of ``referrer_keys``, bucketed by the page key."""
+    from ..sources.segments import SegmentTable
+    return SegmentTable(spark, "referrers", REFERRERS, ["host_reversed", "path"], buckets)
+
+
+def add_referrers(table, new_links: DataFrame) -> int:
+    """Keep a referrers table up to date: add what a delta of links brings that it does not hold.  Only the delta
+    is shuffled; bodies are not read again."""
+    key = ["host_reversed", "path", "src_host"]
+    return table.append(referrer_keys(new_links).join(table.read(), key, "left_anti"))
+
+
+def weights(referrers: DataFrame) -> DataFrame:
+    """Number of referring hosts per page key."""
+    return referrers.groupBy("host_reversed", "path").agg(F.count(F.lit(1)).alias("weight"))
+
+
+def referring_hosts(links: DataFrame) -> DataFrame:
+    """Distinct referring hosts per page key, in two aggregation levels
+    (``(key, host)`` first) so a hot target is combined map-side.  ``links`` may be a referrers
+    table (``host_reversed, path, src_host``) as well, which is counted without another exchange."""
+    return weights(links if "src_host" in links.columns else referrer_keys(links))
 
 
 def frontier_ranked(frontier: DataFrame, links: DataFrame, per_host: int) -> DataFrame:

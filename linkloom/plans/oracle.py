@@ -57,6 +57,11 @@ ORACLE["backlinks_of"] = (
     f"WHERE target IN (SELECT source FROM ({Q.canonical_pages(graph_pages_sql())}))")
 
 
+ORACLE["backlink_lookup"] = (
+    f"WITH e AS MATERIALIZED ({graph_edges_sql()}) SELECT source, target FROM e WHERE target IN "
+    f"(SELECT source FROM e GROUP BY s_node, source ORDER BY s_node LIMIT 20)")
+
+
 # what each kind of markup links to, by hand; {n} is the page's number
 _CASE_LINKS = [
     ["", ""], ["/y{n}"], ["/it's{n}"], ["/café{n}"], ["/a&lt;b{n}"], ["/AA\ufffd\u20ac{n}"], ["/k{n}"], ["/e{n}"],

@@ -94,14 +94,37 @@ def backlink_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.backlink_counts(L.page_links(read_pages(spark, sf_dir)))
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the shared checkpoint folder."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:10]}"
+
+
+def _links_by_target(spark: SparkSession, links: DataFrame) -> str:
+    from ..sources.tables import write_links_by_target
+    path = _folder(spark, "links-by-target")
+    write_links_by_target(links, path)
+    return path
+
+
 @query
 def backlinks_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Backlinks of every known page of the link graph G1, looked up by
-    target from the extracted edge table."""
+    """Backlinks of every known page of the link graph G1, looked up in the copy of the
+    extracted edge table that is stored by target."""
+    from ..sources.tables import lookup_many
     gp = D.graph_pages(spark, sf_dir)
-    links = L.page_links(gp)
     known = L.canonical_pages(gp.select("url")).select(F.col("source").alias("target"))
-    return L.backlinks_of(links, known)
+    return lookup_many(spark, _links_by_target(spark, L.page_links(gp)), known, "target")
+
+
+@query
+def backlink_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request for the 20 first pages of G1: only their buckets of the copy stored by target are opened."""
+    from ..sources.tables import lookup_links
+    path = _links_by_target(spark, D.graph_edges(spark, sf_dir).select("source", "target"))
+    asked = D.graph_edges(spark, sf_dir).select("s_node", "source").distinct().orderBy("s_node").limit(20)
+    return lookup_links(spark, path, "target", [r.source for r in asked.collect()])
 
 
 # --- A/B: robots and responses ---------------------------------------------
@@ -122,12 +145,14 @@ def robots_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def hosts_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored hosts table, written in the shared folder and read back."""
-    import uuid
-    from ..session import ensure_checkpoint_dir
+    return _stored_hosts(spark, _robots_texts(spark, sf_dir)).select("host_reversed", "robot")
+
+
+def _stored_hosts(spark, texts):
     from ..sources.tables import write_hosts
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/hosts-{uuid.uuid4().hex[:10]}"
-    write_hosts(_robots_texts(spark, sf_dir), path)
-    return spark.read.parquet(path).select("host_reversed", "robot")
+    path = _folder(spark, "hosts")
+    write_hosts(texts, path)
+    return spark.read.parquet(path)
 
 
 @query
@@ -136,10 +161,15 @@ def robots_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules(_robots_texts(spark, sf_dir))
 
 
-def _allowed(spark, sf_dir):
-    from ..operators.robots import fold_rules, robots_allowed, robots_rules as rules
-    pages = L.canonical_pages(read_pages(spark, sf_dir).select("page_id", "url"))
-    return robots_allowed(pages, fold_rules(rules(_robots_texts(spark, sf_dir, pages))))
+def _allowed(spark, sf_dir, pages=None):
+    """Pages with ``allowed``, through the stored hosts table and the rules compiled from it, which are stored once by
+    host: the join moves the pages only."""
+    from ..operators.robots import compiled_rules, robots_allowed
+    from ..session import cut_lineage
+    if pages is None:
+        pages = cut_lineage(L.canonical_pages(read_pages(spark, sf_dir).select("page_id", "url")))
+    hosts = _stored_hosts(spark, _robots_texts(spark, sf_dir, pages))
+    return robots_allowed(pages, compiled_rules(hosts).read())
 
 
 @query
@@ -184,17 +214,32 @@ def _seed_frontier(spark, sf_dir):
     return FR.seed_frontier(FR.empty_frontier(spark), seeds)
 
 
-def _crawl_frontier(spark, sf_dir):
+def _keyed_links(spark, sf_dir):
+    """The archive's links with their targets' keys, from one scan of the bodies."""
+    from ..session import cut_lineage
+    return cut_lineage(L.link_keys(read_pages(spark, sf_dir)))
+
+
+def _crawl_frontier(spark, sf_dir, keys=None):
     """Seeds plus every link target of the archive."""
     from ..operators import frontier as FR
     sf = _seed_frontier(spark, sf_dir)
-    keys = L.link_keys(read_pages(spark, sf_dir))
+    keys = L.link_keys(read_pages(spark, sf_dir)) if keys is None else keys
     return sf.unionByName(FR.insert_pages(sf, keys, ["page_id", "pos"]))
 
 
-def _visited_frontier(spark, sf_dir):
+def _referrers(spark, keys):
+    """The stored referrers table after one delta: all of the archive's links."""
+    from ..operators import frontier as FR
+    from .crawl import _parts
+    table = FR.referrers_table(spark, _parts(keys))
+    FR.add_referrers(table, keys)
+    return table.read()
+
+
+def _visited_frontier(spark, sf_dir, keys=None):
     """Crawl frontier with visit times derived from the key lengths."""
-    f = _crawl_frontier(spark, sf_dir)
+    f = _crawl_frontier(spark, sf_dir, keys)
     h = F.length("path") * 7 + F.length("host_reversed")
     lv = (F.when(h % 3 == 0, F.lit(None).cast("timestamp_ntz"))
           .otherwise(F.lit(AS_OF).cast("timestamp_ntz") - F.make_dt_interval(h % 60)))
@@ -231,8 +276,9 @@ def frontier_next(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def mark_visited(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators import frontier as FR
-    f = _crawl_frontier(spark, sf_dir)
-    return FR.mark_visited(f, FR.frontier_next(f, SAMPLE_SEED), AS_OF)
+    from ..session import cut_lineage
+    f = cut_lineage(_crawl_frontier(spark, sf_dir))
+    return FR.mark_visited(f, cut_lineage(FR.frontier_next(f, SAMPLE_SEED)), AS_OF)
 
 
 @query
@@ -250,22 +296,23 @@ def refresh_due(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def frontier_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators import frontier as FR
-    keyed = L.link_keys(read_pages(spark, sf_dir)).select("source", "target", "host_reversed", "path")
-    return FR.frontier_ranked(_crawl_frontier(spark, sf_dir), keyed, per_host=FR.BATCH_SIZE)
+    keys = _keyed_links(spark, sf_dir)
+    return FR.frontier_ranked(_crawl_frontier(spark, sf_dir, keys), _referrers(spark, keys), per_host=FR.BATCH_SIZE)
 
 
 @query
 def frontier_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 128 most useful unvisited pages of all hosts (a top-k report)."""
     from ..operators import frontier as FR
-    keyed = L.link_keys(read_pages(spark, sf_dir)).select("source", "target", "host_reversed", "path")
-    return FR.frontier_top(_crawl_frontier(spark, sf_dir), keyed, k=FR.BATCH_SIZE)
+    keys = _keyed_links(spark, sf_dir)
+    return FR.frontier_top(_crawl_frontier(spark, sf_dir, keys), _referrers(spark, keys), k=FR.BATCH_SIZE)
 
 
 @query
 def host_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators import frontier as FR
-    return FR.host_stats(_visited_frontier(spark, sf_dir), L.page_links(read_pages(spark, sf_dir)))
+    keys = _keyed_links(spark, sf_dir)
+    return FR.host_stats(_visited_frontier(spark, sf_dir, keys), keys.select("source", "target").distinct())
 
 
 # --- D5/D6: crawl over the link graph G1 --------------------------------------
@@ -427,9 +474,13 @@ def archive_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replace_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Link refresh: every third of the archive's pages is read again and now
     shows the links of the G1 graph page with the same node number; their old
-    links go, the new ones come in, and the other pages' links stay."""
-    old = L.page_links(read_pages(spark, sf_dir))
+    links go, the new ones come in, and the other pages' links stay.  Read from the table stored by source, of which
+    only the re-read pages' buckets were written anew."""
+    from ..sources.tables import replace_stored_links, write_links_by_source
+    path = _folder(spark, "links-by-source")
+    write_links_by_source(L.page_links(read_pages(spark, sf_dir)), path)
     pages = L.canonical_pages(read_pages(spark, sf_dir).select("page_id", "url")).select("page_id", "source")
     g = D.graph_edges(spark, sf_dir).select(F.col("s_node").alias("page_id"), F.col("target").alias("g_target"))
     re_read = pages.where(F.col("page_id") % 3 == 0).join(g, "page_id", "left").select("source", F.col("g_target").alias("target"))
-    return L.replace_links(old, re_read)
+    replace_stored_links(spark, path, re_read)
+    return spark.read.parquet(path).select("source", "target")

@@ -162,3 +162,91 @@ def test_crawl_depth_levels_shuffle_the_level_only(spark):
             at = max(i for i in range(at) if depth[i] < depth[at])
     edges.drop()
     found.drop()
+
+
+def _files(path):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+
+
+def _leaf_metric(df, name):
+    df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return leaf.metrics().apply(name).value()
+
+
+def test_backlink_lookup_opens_its_buckets_only(spark):
+    d = _scratch(spark)
+    links = spark.range(4000).select(F.concat(F.lit("http://s/"), F.col("id")).alias("source"),
+                                     F.concat(F.lit("http://t/"), F.col("id") % 500).alias("target"))
+    T.write_links_by_target(links, d + "/t", 16)
+    assert T.stored_buckets(spark, d + "/t") == 16
+    hit = T.lookup_links(spark, d + "/t", "target", ["http://t/7", "http://t/499"])
+    assert sorted(r.source for r in hit.collect()) == sorted(f"http://s/{i}" for i in range(4000) if i % 500 in (7, 499))
+    plan = hit._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "In(target, [" in plan
+    files = len(_files(d + "/t"))
+    assert _leaf_metric(hit, "numFiles") <= 2 < 8 < files
+    # an unknown target between known ones: its bucket's row groups are skipped
+    absent = T.lookup_links(spark, d + "/t", "target", ["http://t/250x"])
+    assert absent.count() == 0 and _leaf_metric(absent, "numOutputRows") == 0
+    many = T.lookup_many(spark, d + "/t", spark.createDataFrame([("http://t/7",), ("http://t/7",), ("x",)], "target string"), "target")
+    assert many.count() == 8
+    T.write_links_by_target(links.limit(0), d + "/none", 4)
+
+
+def test_link_refresh_leaves_other_buckets_alone(spark):
+    d = _scratch(spark) + "/s"
+    rows = [(f"s{i % 60}", f"t{i}") for i in range(600)]
+    links = spark.createDataFrame(rows, "source string, target string")
+    T.write_links_by_source(links, d, 8)
+    before = _files(d)
+    # s1 gets one link, s2 none; every page of one bucket loses its links
+    bucket = {r.source: r.b for r in links.select("source", T.bucket_of("source", 8).alias("b")).distinct().collect()}
+    gone = [s for s, b in bucket.items() if b == bucket["s2"]]
+    re_read = spark.createDataFrame([("s1", "new"), ("s1", "new")] + [(s, None) for s in gone], "source string, target string")
+    want = sorted({(s, t) for s, t in rows if s != "s1" and s not in gone} | ({("s1", "new")} if "s1" not in gone else set()))
+    touched = T.replace_stored_links(spark, d, re_read)
+    assert set(touched) == {bucket["s1"], bucket["s2"]}
+    assert sorted((r.source, r.target) for r in spark.read.parquet(d).collect()) == want
+    after = _files(d)
+    old = {f: m for f, m in before.items() if not any(f"bucket={b}/" in f for b in touched)}
+    assert old and all(after.get(f) == m for f, m in old.items())
+    assert not any(f in after for f in before if f not in old)
+
+
+def test_rules_are_stored_by_host(spark):
+    from linkloom.operators import robots as R
+    hosts = spark.createDataFrame([("com.a", "User-agent: *\nDisallow: /x"), ("com.b", "")], "host_reversed string, robot string")
+    rules = R.compiled_rules(hosts, 4)
+    pages = spark.createDataFrame([(1, "a.com", "/x/1"), (2, "a.com", "/y"), (3, "b.com", "/x"), (4, "c.com", "")],
+                                  "page_id int, host string, path_escaped string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = R.robots_allowed(pages, rules.read())
+        assert {r.page_id: r.allowed for r in got.collect()} == {1: False, 2: True, 3: True, 4: True}
+        plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    rules.drop()
+
+
+def test_referrers_grow_by_deltas(spark):
+    table = FR.referrers_table(spark, 4)
+    first = spark.createDataFrame([("http://a.com/1", "http://x.com/p"), ("http://a.com/2", "http://x.com/p"),
+                                   ("http://b.com/", "http://x.com/q")], "source string, target string")
+    assert FR.add_referrers(table, first) == 2
+    assert FR.add_referrers(table, first) == 0
+    assert FR.add_referrers(table, spark.createDataFrame([("https://c.com/", "http://x.com/p")], "source string, target string")) == 1
+    got = {(r.path, r.weight) for r in FR.referring_hosts(table.read()).collect()}
+    assert got == {("/p", 2), ("/q", 1)}
+    table.drop()
+
+
+def test_ranking_scans_bodies_once(spark):
+    from linkloom.plans.queries import REGISTRY
+    for name in ("frontier_ranked", "frontier_top", "host_stats"):
+        plan = REGISTRY[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "html" not in plan, name  # links come from the table made of the one scan
