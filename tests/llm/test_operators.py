@@ -306,6 +306,34 @@ def plain_fingerprint(text):
     return sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in h) > len(h))
 
 
+def test_html_reads_faulty_markup():
+    def text(page):
+        return html_extract.article_text(html_extract.blocks(page))
+    cases = {
+        '<article><a class="z"">one</a> two</article>': "one two",
+        "<!--><article>seen</article>": "seen", "<!---><article>a<!-- b --!>c</article>": "ac",
+        '<article title="a>b" =x data-t="<p>no</p>">yes</ <b>>no</article>': "yes>no",
+        "<article><math><mi>x</mi><mo>+</mo></math><p role=\"note\">n</p></article>": "x+ n",
+        '<article>kept</article><p title="never closed><p>gone</p>': "kept",
+        "<article>a<br/>b<p>c<p>d<ul><li>e<li>f</ul></article>": "a b c d e f",
+    }
+    for page, want in cases.items():
+        assert text(page) == want, page
+
+
+def test_html_is_read_in_linear_time():
+    import time
+
+    def seconds(page):
+        began = time.process_time()
+        html_extract.blocks(page)
+        return time.process_time() - began
+    for make in (lambda n: "<a" + ' b="c"' * n + ' "' + "<p>x</p>" * 10, lambda n: "<div>" * n + "<p>x<td>y" * n,
+                 lambda n: "<ul><li>" * n + "<dd></i>" * n, lambda n: "<article>" + "<a b='" * n):
+        small, large = seconds(make(4_000)), seconds(make(32_000))
+        assert large < 2 and large < 30 * max(small, 0.02), (small, large)
+
+
 def test_simhash(both):
     df, rows = both
     rows = rows + [(7, "zz yy xx ww vv uu"), (None, "zz yy xx ww vv uu"), (None, "aa bb"), (8, "aa bb"), (7, "qq")]
