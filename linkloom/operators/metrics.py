@@ -105,13 +105,34 @@ def throughput(log: DataFrame, bucket: str = "1 day") -> DataFrame:
                       F.when(F.col("seconds") > 0, F.col("requests") / F.col("seconds")).alias("rate"))
 
 
-def progress_report(log: DataFrame, bucket: str = "1 day") -> DataFrame:
-    """Cumulative processed / errors / warnings per time bucket (F1).  The
-    global running window runs on the bucketed rows only."""
-    lv = F.col("level")
-    per = log.groupBy(F.window("ts", bucket).alias("w")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(lv == "ERROR").alias("e"), F.count_if(lv == "WARN").alias("wn"))
+def progress_report(log: DataFrame, frontier: DataFrame | None = None, links: DataFrame | None = None,
+                    bucket: str = "1 day") -> DataFrame:
+    """Cumulative processed / errors / warnings per time bucket of the log (F1).
+
+    With a ``frontier`` also ``queue``, its pages not visited by the end of the bucket, and with ``links``
+    (``host_reversed, path`` of the source, one row per pair) ``links``, the pairs whose source
+    was visited by then.  Everything is counted per bucket first; the global running window runs on these
+    rows only."""
+    def by_bucket(df: DataFrame, ts: str, *counts) -> DataFrame:
+        per = df.where(F.col(ts).isNotNull()).groupBy(F.window(ts, bucket).alias("w")).agg(*counts)
+        return per.withColumn("bucket", F.col("w.start").cast("timestamp_ntz")).drop("w")
+
+    lv, one = F.col("level"), F.count(F.lit(1))
+    rows = by_bucket(log, "ts", one.alias("n"), F.count_if(lv == "ERROR").alias("e"), F.count_if(lv == "WARN").alias("wn"))
+    totals = {"processed": "n", "errors": "e", "warnings": "wn"}
+    if frontier is not None:
+        rows = rows.unionByName(by_bucket(frontier, "latest_visit", one.alias("visited")), allowMissingColumns=True)
+        totals["visited"] = "visited"
+    if links is not None:
+        when = frontier.select("host_reversed", "path", "latest_visit")
+        rows = rows.unionByName(by_bucket(links.join(when, ["host_reversed", "path"]), "latest_visit", one.alias("found")),
+                                allowMissingColumns=True)
+        totals["links"] = "found"
+    counts = list(totals.values())
+    rows = rows.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in counts])
     w = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    return per.select(F.col("w.start").cast("timestamp_ntz").alias("bucket"), "n", "e", "wn").select(
-        "bucket", F.col("n").alias("requests"), F.sum("n").over(w).alias("processed"),
-        F.sum("e").over(w).alias("errors"), F.sum("wn").over(w).alias("warnings"))
+    out = rows.select("bucket", "n", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(t) for t, c in totals.items()])
+    out = out.where(F.col("n").isNotNull()).withColumnRenamed("n", "requests")
+    if frontier is None:
+        return out
+    return out.withColumn("queue", frontier.agg(one).scalar() - F.col("visited")).drop("visited")

@@ -415,16 +415,30 @@ ORACLE["throughput"] = (
     f"SELECT NULL, count(*), (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 FROM l) "
     f"SELECT bucket, requests, seconds, CASE WHEN seconds > 0 THEN requests / seconds END AS rate FROM per")
 ORACLE["progress_report"] = (
-    f"SELECT bucket, n AS requests, sum(n) OVER w AS processed, sum(e) OVER w AS errors, "
-    f"sum(wn) OVER w AS warnings FROM (SELECT date_trunc('day', ts) AS bucket, count(*) AS n, "
+    f"WITH f AS MATERIALIZED ({visited_frontier_sql()}), d AS (SELECT date_trunc('day', ts) AS bucket, count(*) AS n, "
     f"count(*) FILTER (WHERE level = 'ERROR') AS e, count(*) FILTER (WHERE level = 'WARN') AS wn "
-    f"FROM ({REQUEST_LOG}) GROUP BY 1) WINDOW w AS (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING "
-    f"AND CURRENT ROW)")
+    f"FROM ({REQUEST_LOG}) GROUP BY 1), p AS MATERIALIZED (SELECT source, min(host_reversed) AS h, min(path) AS path "
+    f"FROM ({Q.canonical_pages('SELECT page_id, url FROM pages')}) GROUP BY 1), "
+    f"l AS MATERIALIZED (SELECT f.latest_visit AS seen FROM ({Q.page_links(PAGES)}) k JOIN p USING (source) "
+    f"JOIN f ON f.host_reversed = p.h AND f.path = p.path) "
+    f"SELECT bucket, n AS requests, sum(n) OVER w AS processed, sum(e) OVER w AS errors, sum(wn) OVER w AS warnings, "
+    f"(SELECT count(*) FROM l WHERE seen < bucket + INTERVAL 1 DAY) AS links, "
+    f"(SELECT count(*) FROM f WHERE latest_visit IS NULL OR latest_visit >= bucket + INTERVAL 1 DAY) AS queue "
+    f"FROM d WINDOW w AS (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
 
 
 # --- streaming and remaining ---------------------------------------------------------
 
 ORACLE["stream_ingest"] = Q.page_links(PAGES)
+ORACLE["stream_progress"] = (
+    f"WITH k AS MATERIALIZED ({Q.link_keys(PAGES)}), b AS (SELECT page_id % 4 AS b, count(*) AS pages FROM pages GROUP BY 1), "
+    f"s AS (SELECT page_id % 4 AS b, count(*) AS seen FROM k GROUP BY 1), "
+    f"l AS (SELECT b, count(*) AS added FROM (SELECT min(page_id % 4) AS b FROM k GROUP BY source, target) GROUP BY 1), "
+    f"p AS (SELECT b, count(*) AS added FROM (SELECT min(page_id % 4) AS b FROM k GROUP BY host_reversed, path) GROUP BY 1), "
+    f"j AS (SELECT b, pages, coalesce(seen, 0) AS links_seen, coalesce(l.added, 0) AS links_added, "
+    f"coalesce(p.added, 0) AS pages_added FROM b LEFT JOIN s USING (b) LEFT JOIN l USING (b) LEFT JOIN p USING (b)) "
+    f"SELECT b AS batch_id, pages, links_seen, links_added, pages_added, sum(pages) OVER w AS processed, "
+    f"sum(links_added) OVER w AS link_pairs, sum(pages_added) OVER w AS queue_size FROM j WINDOW w AS (ORDER BY b)")
 ORACLE["archive_fetch"] = (
     f"WITH cf AS MATERIALIZED ({crawl_frontier_sql()}), a AS ("
     f"SELECT scheme AS a_scheme, host_reversed, path, page_id, status, content_type, x_robots_tag "

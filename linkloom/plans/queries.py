@@ -417,7 +417,11 @@ def throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.metrics import progress_report as progress
-    return progress(D.request_log(spark, sf_dir))
+    keys = _keyed_links(spark, sf_dir)
+    pages = L.canonical_pages(read_pages(spark, sf_dir).select("page_id", "url"))
+    links = (keys.select("page_id", "source", "target").join(pages.select("page_id", "host_reversed", "path"), "page_id")
+             .groupBy("source", "target").agg(F.min("host_reversed").alias("host_reversed"), F.min("path").alias("path")))
+    return progress(D.request_log(spark, sf_dir), _visited_frontier(spark, sf_dir, keys), links)
 
 
 # --- I: streaming ingest ------------------------------------------------------
@@ -448,9 +452,16 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per micro-batch counters observed by the stream."""
-    from ..streaming.ingest import read_metrics
-    return read_metrics(spark, _stream_run(spark, sf_dir, runs=1))
+    """Counters and running totals of four micro-batches, each the pages of one remainder of the page number: what
+    arrives between two runs of one stream is one batch."""
+    from ..streaming.ingest import read_progress, start_ingest
+    base = _folder(spark, "stream")
+    for part in range(4):
+        (read_pages(spark, sf_dir).where(F.pmod("page_id", F.lit(4)) == part)
+         .write.mode("append").parquet(f"{base}/source"))
+        start_ingest(spark, f"{base}/source", f"{base}/tables", f"{base}/checkpoint",
+                     files_per_trigger=2**31 - 1).awaitTermination()
+    return read_progress(spark, f"{base}/tables").drop("run_id")
 
 
 @query

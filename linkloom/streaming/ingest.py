@@ -14,15 +14,16 @@ key against the table, never with unbounded streaming state.
 Inside a batch folder rows are partitioned by ``bucket`` = hash of the
 host (of the link source, of the page), so the anti-join reads only the
 buckets the micro-batch touches; crawl batches are host-clustered, so
-that is a small share of the table.  Per-batch counters are collected
-with ``observe`` and appended to a metrics table.
+that is a small share of the table.  A batch's counters are counted from what it wrote and
+overwrite the batch's own metrics folder, so a replay writes them again; the queue size and the
+number of link pairs are running totals over these rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import frontier as FR
@@ -69,6 +70,15 @@ def _write(df: DataFrame, path: str, run_id: str, batch_id: int) -> None:
      .parquet(f"{path}/run_id={run_id}/batch_id={batch_id}"))
 
 
+METRICS = "pages long, links_seen long, links_added long, pages_added long"
+
+
+def _rows(spark: SparkSession, path: str) -> int:
+    """Rows written to a folder, from the Parquet footers."""
+    t = _read_if_exists(spark, path)
+    return 0 if t is None else t.count()
+
+
 def ingest_batch(batch: DataFrame, batch_id: int, table_dir: str, run_id: str) -> None:
     """One micro-batch: links and pages of the batch, upserted by key."""
     spark = batch.sparkSession
@@ -87,8 +97,6 @@ def ingest_batch(batch: DataFrame, batch_id: int, table_dir: str, run_id: str) -
             old_links = spark.createDataFrame([], "bucket int, source string, target string")
         new_links = (keys.select(F.col("src_bucket").alias("bucket"), "source", "target").distinct()
                      .join(old_links, ["bucket", "source", "target"], "left_anti"))
-        obs = Observation(f"ingest_{run_id}_{batch_id}")
-        new_links = new_links.observe(obs, F.count(F.lit(1)).alias("links_added"))
         _write(new_links, links_dir, run_id, batch_id)
         old_pages = _existing(spark, pages_dir, ["host_reversed", "path"], run_id, batch_id, page_b)
         if old_pages is None:
@@ -96,9 +104,9 @@ def ingest_batch(batch: DataFrame, batch_id: int, table_dir: str, run_id: str) -
         new_pages = FR.insert_pages(old_pages.drop("bucket"), keys, ["page_id", "pos"])
         _write(new_pages.select("*", host_bucket(F.col("host_reversed")).alias("bucket")),
                pages_dir, run_id, batch_id)
-        added = obs.get.get("links_added", 0)
-        spark.createDataFrame([(int(added),)], "links_added long").write.mode("overwrite").parquet(
-            f"{table_dir}/metrics/run_id={run_id}/batch_id={batch_id}")
+        folder = f"run_id={run_id}/batch_id={batch_id}"
+        counts = (batch.count(), keys.count(), _rows(spark, f"{links_dir}/{folder}"), _rows(spark, f"{pages_dir}/{folder}"))
+        spark.createDataFrame([counts], METRICS).write.mode("overwrite").parquet(f"{table_dir}/metrics/{folder}")
     finally:
         keys.unpersist()
 
@@ -123,5 +131,15 @@ def read_links(spark: SparkSession, table_dir: str) -> DataFrame:
 
 
 def read_metrics(spark: SparkSession, table_dir: str) -> DataFrame:
-    return (spark.read.schema("links_added long, run_id string, batch_id long")
-            .parquet(f"{table_dir}/metrics").select("run_id", "batch_id", "links_added"))
+    """Counters of each micro-batch: pages read, links seen, links and pages added."""
+    return (spark.read.schema(f"{METRICS}, run_id string, batch_id long").parquet(f"{table_dir}/metrics")
+            .select("run_id", "batch_id", "pages", "links_seen", "links_added", "pages_added"))
+
+
+def read_progress(spark: SparkSession, table_dir: str) -> DataFrame:
+    """``read_metrics`` of one run after another with running totals: ``processed`` pages, ``link_pairs`` in the edge
+    table and ``queue_size``, the pages found and not yet visited.  One row per micro-batch, so the window is small."""
+    w = Window.orderBy("run_id", "batch_id").rowsBetween(Window.unboundedPreceding, 0)
+    return read_metrics(spark, table_dir).select(
+        "*", F.sum("pages").over(w).alias("processed"), F.sum("links_added").over(w).alias("link_pairs"),
+        F.sum("pages_added").over(w).alias("queue_size"))
