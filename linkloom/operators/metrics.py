@@ -2,8 +2,8 @@
 
 Counters are global aggregates (one output row, partial aggregation on
 every task).  Histograms bucket each value with an array expression and
-aggregate per (label, bucket); the cumulative ``le`` counts are a window
-over that small result, never over raw rows.  Time series first aggregate
+aggregate per (label, bucket) in one scan; the cumulative ``le`` counts are taken
+from that small result, never from raw rows.  Time series first aggregate
 per time bucket; running totals then run on the bucketed rows.
 """
 
@@ -61,15 +61,15 @@ def histogram(df: DataFrame, label: str, value: str, buckets: list[float] = DEFA
     df = df.where(F.col(value).isNotNull())  # what was not measured is in no bucket
     bounds = F.array(*[F.lit(b) for b in buckets])
     idx = F.size(F.filter(bounds, lambda b: b < F.col(value)))  # first bound >= value
-    per = df.groupBy(F.col(label).alias("label"), idx.alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    tot = df.groupBy(F.col(label).alias("label")).agg(F.sum(value).alias("sum"),
-                                                     F.count(F.lit(1)).alias("count"))
+    per = df.groupBy(F.col(label).alias("label"), idx.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("s"))
+    # one row per label, from the one scan; it holds as many entries as there are buckets
+    tot = per.groupBy("label").agg(F.map_from_entries(F.collect_list(F.struct("b", "n"))).alias("by"),
+                                   F.sum("s").alias("sum"), F.sum("n").alias("count"))
     names = F.array(*[F.lit(x) for x in _labels(buckets)])
-    grid = tot.select("label", "sum", "count", F.posexplode(names).alias("b", "le"))
-    w = Window.partitionBy("label").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    return (grid.join(per, ["label", "b"], "left")
-            .select("label", "le", F.sum(F.coalesce("n", F.lit(0))).over(w).alias("cum_count"),
-                    "sum", "count"))
+    cum = F.aggregate(F.sequence(F.lit(0), F.col("b")), F.lit(0).cast("long"),
+                      lambda acc, b: acc + F.coalesce(F.element_at("by", b), F.lit(0)))
+    return (tot.select("label", "by", "sum", "count", F.posexplode(names).alias("b", "le"))
+            .select("label", "le", cum.alias("cum_count"), "sum", "count"))
 
 
 def in_flight(log: DataFrame, bucket: str = "hour") -> DataFrame:
