@@ -1,17 +1,25 @@
 """DuckDB SQL builders for the oracle queries.
 
-These write the same URL and HTML rules as ``linkloom.functions`` in plain
-SQL (RE2 regexes, ``url_encode``/``url_decode``, ``list_reduce``), so the
-Spark results can be checked against an independent engine on the same
-Parquet tables.  Each builder wraps a source query and adds columns;
-temporary columns are removed with ``EXCLUDE``.
+These write the URL and HTML rules anew, in other means than ``linkloom.functions`` and without
+any pattern of theirs: strings are cut at the first or last of a sign, sets of
+characters are tested by deleting them.  So the Spark results are checked against an
+independent reading of the rules on the same Parquet tables.  Each builder wraps a source query
+and adds columns; temporary columns are removed at the end.
 """
 
 from __future__ import annotations
 
 import html.entities
 
-from ..functions import urls as U
+_DIGITS, _LETTERS = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+_NAME = _LETTERS + _LETTERS.upper() + _DIGITS + "-._~"
+# --- fixed values: the texts of refusals ---------------------------------------
+NOT_HTTP, BAD_PORT, IS_IP = "url scheme is not http or https: ", "port is not 80 or 443: ", "hostname is an ip adress: "
+CONTROL, NO_SCHEME = "invalid control character in URL", "missing protocol scheme"
+COLON, PORT_SYNTAX = "first path segment in URL cannot contain colon", "invalid port after host"
+BRACKET, HOST_SYNTAX = "missing ']' in host", "invalid character in host name"
+ESCAPE, NO_HOST = "invalid URL escape", "empty host"
+# ---------------------------------------------------------------------------------
 
 
 def lit(s: str) -> str:
@@ -26,8 +34,23 @@ def ext(col: str, pattern: str, g: int = 1) -> str:
     return f"regexp_extract({col}, {lit(pattern)}, {g})"
 
 
+def only(col: str, characters: str) -> str:
+    """Whether a string is made of these characters."""
+    return f"(translate({col}, {lit(characters)}, '') = '')"
+
+
 def bad_escape(col: str) -> str:
-    return f"contains(regexp_replace({col}, '%[0-9A-Fa-f]{{2}}', '', 'g'), '%')"
+    """Whether a ``%`` is not followed by two hexadecimal digits."""
+    return (f"(len(list_filter(string_split({col}, '%')[2:], "
+            f"lambda t: length(t) < 2 OR NOT {only('lower(left(t, 2))', _DIGITS + 'abcdef')})) > 0)")
+
+
+def after_last(col: str, sign: str) -> str:
+    return f"string_split({col}, {lit(sign)})[-1]"
+
+
+def before_last(col: str, sign: str) -> str:
+    return f"left({col}, greatest(length({col}) - length({after_last(col, sign)}) - 1, 0))"
 
 
 def reverse_host(col: str) -> str:
@@ -51,9 +74,13 @@ def escape_host(col: str) -> str:
     return f"(CASE WHEN regexp_matches({col}, '[^\x00-\x7f]') THEN {e} ELSE {col} END)"
 
 
+#: Signs that a path may hold as they are.
+_PATH_SIGNS = "!$&'()*+,;=:@[]/"
+
+
 def escaped_form(col: str) -> str:
-    return (f"CASE WHEN {rx(col, U.RE_VALID_ENCODED_PATH)} THEN {col} "
-            f"ELSE {escape_path(f'url_decode({col})')} END")
+    kept = f"(NOT {bad_escape(col)} AND {only(col, _NAME + '%' + _PATH_SIGNS)})"
+    return f"CASE WHEN {kept} THEN {col} ELSE {escape_path(f'url_decode({col})')} END"
 
 
 def remove_dots(col: str) -> str:
@@ -66,46 +93,56 @@ def remove_dots(col: str) -> str:
               f"CASE WHEN {segs}[-1] IN ('.', '..') THEN '/' ELSE '' END)")
     slow = f"(CASE WHEN starts_with({joined}, '//') THEN substr({joined}, 2) ELSE {joined} END)"
     fast = f"(CASE WHEN starts_with({col}, '/') THEN {col} ELSE '/' || {col} END)"
-    return (f"CASE WHEN {col} = '' THEN '' WHEN {rx(col, U.RE_DOT_SEGMENT)} THEN {slow} "
+    return (f"CASE WHEN {col} = '' THEN '' WHEN list_has_any({segs}, ['.', '..']) THEN {slow} "
             f"ELSE {fast} END")
 
 
 def parse(src: str, col: str, p: str) -> str:
-    """Add parse columns ``{p}...`` (same meaning as the Spark side)."""
-    a = (f"SELECT *, {ext(col, U.RE_SCHEME)} AS {p}scheme_raw, "
-         f"{ext(col, r'^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?([^?#]*)')} AS {p}pathq, "
-         f"CASE WHEN {rx(col, U.RE_CONTROL)} THEN {lit(U.REJECT_CONTROL)} "
-         f"WHEN starts_with({col}, ':') THEN {lit(U.REJECT_MISSING_SCHEME)} "
-         f"WHEN {bad_escape(ext(col, r'^[^#]*#(.*)$'))} THEN {lit(U.REJECT_ESCAPE)} END AS {p}early_err "
-         f"FROM ({src})")
+    """Add the parts of a URL reference as columns ``{p}...``."""
+    head = f"split_part({col}, ':', 1)"
+    has_scheme = (f"(contains({col}, ':') AND contains({lit(_LETTERS)}, lower(left({head}, 1))) AND {head} <> '' "
+                  f"AND {only(f'lower({head})', _LETTERS + _DIGITS + '+-.')})")
+    s = f"SELECT *, {has_scheme} AS {p}has_scheme, CASE WHEN {has_scheme} THEN {head} ELSE '' END AS {p}scheme_raw FROM ({src})"
+    rest = f"CASE WHEN {p}has_scheme THEN substr({col}, length({p}scheme_raw) + 2) ELSE {col} END"
+    fragment = f"substr({col}, strpos({col}, '#') + 1)"
+    s = (f"SELECT *, split_part(split_part({rest}, '#', 1), '?', 1) AS {p}pathq, "
+         f"CASE WHEN regexp_matches({col}, '[[:cntrl:]]') THEN {lit(CONTROL)} WHEN left({col}, 1) = ':' THEN {lit(NO_SCHEME)} "
+         f"WHEN contains({col}, '#') AND {bad_escape(fragment)} THEN {lit(ESCAPE)} END AS {p}early_err FROM ({s})")
     pq = f"{p}pathq"
-    hs = f"({p}scheme_raw <> '')"
-    opaque = f"({hs} AND NOT starts_with({pq}, '/'))"
-    has_auth = f"(starts_with({pq}, '//') AND ({hs} OR NOT starts_with({pq}, '///')))"
-    authority = f"(CASE WHEN {has_auth} THEN {ext(pq, '^//([^/]*)')} ELSE '' END)"
-    b = (f"SELECT *, {hs} AS {p}has_scheme, {opaque} AS {p}opaque, {has_auth} AS {p}has_auth, "
-         f"CASE WHEN {has_auth} THEN {ext(pq, '^//[^/]*(.*)$')} WHEN {opaque} THEN '' ELSE {pq} END "
-         f"AS {p}path_raw, "
-         f"(NOT {hs} AND NOT starts_with({pq}, '/') AND contains({ext(pq, '^([^/]*)')}, ':')) "
-         f"AS {p}colon_err, "
-         f"contains({authority}, '@') AS {p}has_user, {ext(authority, '^(.*)@')} AS {p}userinfo, "
-         f"{ext(authority, '([^@]*)$')} AS {p}hostport FROM ({a})")
+    s = (f"SELECT *, {p}has_scheme AND left({pq}, 1) <> '/' AS {p}opaque, "
+         f"left({pq}, 2) = '//' AND ({p}has_scheme OR left({pq}, 3) <> '///') AS {p}has_auth, "
+         f"NOT {p}has_scheme AND left({pq}, 1) <> '/' AND contains(split_part({pq}, '/', 1), ':') AS {p}colon_err FROM ({s})")
+    s = (f"SELECT *, CASE WHEN {p}has_auth THEN split_part(substr({pq}, 3), '/', 1) ELSE '' END AS {p}authority FROM ({s})")
+    au = f"{p}authority"
+    s = (f"SELECT *, CASE WHEN {p}has_auth THEN substr({pq}, 3 + length({au})) WHEN {p}opaque THEN '' ELSE {pq} END AS {p}path_raw, "
+         f"contains({au}, '@') AS {p}has_user, {before_last(au, '@')} AS {p}userinfo, {after_last(au, '@')} AS {p}hostport FROM ({s})")
     hp = f"{p}hostport"
-    c = (f"SELECT *, CASE WHEN starts_with({hp}, '[') THEN {ext(hp, r'^\[([^\]]*)\]')} "
-         f"WHEN contains({hp}, ':') THEN {ext(hp, '^(.*):[^:]*$')} ELSE {hp} END AS {p}host, "
-         f"CASE WHEN starts_with({hp}, '[') THEN {ext(hp, r'^\[[^\]]*\](.*)$')} "
-         f"WHEN contains({hp}, ':') THEN {ext(hp, '(:[^:]*)$')} ELSE '' END AS {p}portpart "
-         f"FROM ({b})")
+    close = f"strpos({hp}, ']')"
+    s = (f"SELECT *, CASE WHEN left({hp}, 1) <> '[' THEN (CASE WHEN contains({hp}, ':') THEN {before_last(hp, ':')} ELSE {hp} END) "
+         f"WHEN {close} > 0 THEN substr({hp}, 2, {close} - 2) ELSE '' END AS {p}host, "
+         f"CASE WHEN left({hp}, 1) <> '[' THEN (CASE WHEN contains({hp}, ':') THEN ':' || {after_last(hp, ':')} ELSE '' END) "
+         f"WHEN {close} > 0 THEN substr({hp}, {close} + 1) ELSE '' END AS {p}portpart FROM ({s})")
     pp = f"{p}portpart"
-    d = (f"SELECT *, {ext(pp, '^:(.*)$')} AS {p}port, "
-         f"CASE WHEN {p}early_err IS NOT NULL THEN {p}early_err "
-         f"WHEN {p}colon_err THEN {lit(U.REJECT_COLON)} "
-         f"WHEN starts_with({hp}, '[') AND NOT {rx(hp, r'^\[[^\]]*\]')} THEN {lit(U.REJECT_BRACKET)} "
-         f"WHEN NOT {rx(pp, '^(:[0-9]*)?$')} THEN {lit(U.REJECT_BAD_PORT)} "
-         f"WHEN NOT {rx(p + 'host', U.RE_HOST_OK)} THEN {lit(U.REJECT_HOST_CHAR)} "
-         f"WHEN {bad_escape(p + 'path_raw')} THEN {lit(U.REJECT_ESCAPE)} END AS {p}perr "
-         f"FROM ({c})")
-    return d
+    plain = f"regexp_replace({p}host, '[^[:ascii:]]', '', 'g')"
+    return (f"SELECT *, CASE WHEN left({pp}, 1) = ':' THEN substr({pp}, 2) ELSE '' END AS {p}port, "
+            f"CASE WHEN {p}early_err IS NOT NULL THEN {p}early_err WHEN {p}colon_err THEN {lit(COLON)} "
+            f"WHEN left({hp}, 1) = '[' AND {close} = 0 THEN {lit(BRACKET)} "
+            f"WHEN {pp} <> '' AND NOT (left({pp}, 1) = ':' AND {only(f'substr({pp}, 2)', _DIGITS)}) THEN {lit(PORT_SYNTAX)} "
+            f"WHEN NOT {only(plain, _NAME + _HOST_SIGNS)} THEN {lit(HOST_SYNTAX)} "
+            f"WHEN {bad_escape(p + 'path_raw')} THEN {lit(ESCAPE)} END AS {p}perr FROM ({s})")
+
+
+#: Signs that a host may hold besides letters, digits and ``-._~``; and what is beyond ASCII.
+_HOST_SIGNS = """!$&'()*+,;=:[]<>\""""
+
+
+def is_address(h: str) -> str:
+    """Whether a host is four numbers up to 255 without leading zeros, or hexadecimal groups with colons."""
+    four = f"string_split({h}, '.')"
+    number = (f"t <> '' AND {only('t', _DIGITS)} AND length(t) <= 3 AND (length(t) = 1 OR left(t, 1) <> '0') "
+              f"AND coalesce(TRY_CAST(t AS INTEGER), 256) <= 255")
+    return (f"((len({four}) = 4 AND len(list_filter({four}, lambda t: {number})) = 4) "
+            f"OR (contains({h}, ':') AND {only(f'lower({h})', _DIGITS + 'abcdef:.')}))")
 
 
 def finish(src: str, p: str, out: str, scheme: str, user: str, host: str, port: str,
@@ -114,14 +151,12 @@ def finish(src: str, p: str, out: str, scheme: str, user: str, host: str, port:
          f"{port} AS {p}f_port, {esc} AS {p}f_esc, {perr} AS {p}f_perr, {opaque} AS {p}f_opaque "
          f"FROM ({src})")
     sc, h, pt = f"{p}f_scheme", f"{p}f_host", f"{p}f_port"
-    allowed = ", ".join(lit(s) for s in U.ALLOWED_SCHEMES)
-    ports = ", ".join(lit(s) for s in U.ALLOWED_PORTS)
     b = (f"SELECT *, url_decode({p}f_esc) AS {p}f_dec, "
          f"CASE WHEN {p}f_perr IS NOT NULL THEN {p}f_perr "
-         f"WHEN {sc} NOT IN ({allowed}) THEN {lit(U.REJECT_SCHEME)} || {sc} "
-         f"WHEN {pt} <> '' AND {pt} NOT IN ({ports}) THEN {lit(U.REJECT_PORT)} || {pt} "
-         f"WHEN {rx(h, U.RE_IPV4)} OR {rx(h, U.RE_IPV6)} THEN {lit(U.REJECT_IP)} || {h} "
-         f"WHEN {p}f_opaque OR {h} = '' THEN {lit(U.REJECT_EMPTY_HOST)} END AS {p}f_reason "
+         f"WHEN {sc} NOT IN ('http', 'https') THEN {lit(NOT_HTTP)} || {sc} "
+         f"WHEN {pt} NOT IN ('', '80', '443') THEN {lit(BAD_PORT)} || {pt} "
+         f"WHEN {is_address(h)} THEN {lit(IS_IP)} || {h} "
+         f"WHEN {p}f_opaque OR {h} = '' THEN {lit(NO_HOST)} END AS {p}f_reason "
          f"FROM ({a})")
     ok = f"({p}f_reason IS NULL)"
     root = f"({p}f_dec = '/')"
@@ -145,11 +180,11 @@ def normalize(src: str, col: str, out: str = "") -> str:
     p = "_nu_"
     s = parse(src, col, p)
     bare = f"(NOT {p}has_scheme AND NOT {p}has_auth)"
-    s = (f"SELECT *, CASE WHEN {bare} THEN {ext(p + 'path_raw', '^([^/]*)')} ELSE {p}host END AS {p}host2, "
-         f"CASE WHEN {bare} THEN {ext(p + 'path_raw', '^[^/]*(.*)$')} ELSE {p}path_raw END AS {p}raw2 "
-         f"FROM ({s})")
+    first = f"split_part({p}path_raw, '/', 1)"
+    s = (f"SELECT *, CASE WHEN {bare} THEN {first} ELSE {p}host END AS {p}host2, "
+         f"CASE WHEN {bare} THEN substr({p}path_raw, length({first}) + 1) ELSE {p}path_raw END AS {p}raw2 FROM ({s})")
     s = f"SELECT *, {escaped_form(p + 'raw2')} AS {p}esc2 FROM ({s})"
-    scheme = f"(CASE WHEN {p}has_scheme THEN {p}scheme_raw ELSE {lit(U.DEFAULT_SCHEME)} END)"
+    scheme = f"(CASE WHEN {p}has_scheme THEN {p}scheme_raw ELSE 'http' END)"
     user = f"(CASE WHEN {p}has_user THEN {p}userinfo || '@' ELSE '' END)"
     s = finish(s, p, out, scheme, user, f"{p}host2", f"{p}port", f"{p}esc2", f"{p}perr", f"{p}opaque")
     return drop(s, p)
@@ -164,7 +199,8 @@ def resolve(src: str, base: str, ref: str, out: str = "") -> str:
     own = f"({p}has_scheme OR {p}has_auth)"
     er, eb = f"{p}esc_ref", f"{p}esc_base"
     s = (f"SELECT *, CASE WHEN {own} THEN {er} WHEN {er} = '' THEN {eb} "
-         f"WHEN starts_with({er}, '/') THEN {er} ELSE {ext(eb, '^(.*/)')} || {er} END AS {p}full "
+         f"WHEN starts_with({er}, '/') THEN {er} "
+         f"ELSE left({eb}, length({eb}) - length({after_last(eb, '/')})) || {er} END AS {p}full "
          f"FROM ({s})")
     s = f"SELECT *, {remove_dots(p + 'full')} AS {p}resolved FROM ({s})"
 

@@ -120,11 +120,13 @@ def robots_rules_sql(agent: str | None = None) -> str:
     kv = (f"SELECT host, line_no, lower({strip(f'CASE WHEN contains(b, {Q.lit(':')}) THEN ' + Q.ext('b', '^([^:]*):') + ' ELSE ' + Q.ext('b', r'^(\S+)[ \t]+\S+$') + ' END')}) AS key, "
           f"{strip(f'CASE WHEN contains(b, {Q.lit(':')}) THEN ' + Q.ext('b', '^[^:]*:(.*)$') + ' ELSE ' + Q.ext('b', r'^\S+[ \t]+(\S+)$') + ' END')} AS value "
           f"FROM (SELECT host, line_no, {body} AS b FROM ({lines}))")
+    # fixed values: the spellings that a line's key may begin with
+    begins = lambda names: "(" + " OR ".join(f"starts_with(key, {Q.lit(n)})" for n in names) + ")"
     kinds = (f"SELECT *, kind = 'agent' AND regexp_matches(value, '^\\*(\\s|$)') AS is_global, "
              f"kind = 'agent' AND lower({Q.ext('value', '^([A-Za-z_-]*)')}) = {Q.lit(agent.lower())} AS is_specific "
-             f"FROM (SELECT *, CASE WHEN regexp_matches(key, '^user[- ]?agent') THEN 'agent' "
+             f"FROM (SELECT *, CASE WHEN {begins(['user-agent', 'useragent', 'user agent'])} THEN 'agent' "
              f"WHEN starts_with(key, 'allow') THEN 'allow' "
-             f"WHEN regexp_matches(key, '^(dis+al+ow|dissalow|disallaw|diasllow)') THEN 'disallow' END AS kind FROM ({kv})) WHERE kind IS NOT NULL")
+             f"WHEN {begins(['disallow', 'dissallow', 'dissalow', 'disalow', 'diasllow', 'disallaw'])} THEN 'disallow' END AS kind FROM ({kv})) WHERE kind IS NOT NULL")
     starts = (f"SELECT *, CAST(kind = 'agent' AND coalesce(lag(kind) OVER (PARTITION BY host ORDER BY line_no) "
               f"<> 'agent', true) AS INTEGER) AS starts FROM ({kinds})")
     grp = (f"SELECT *, sum(starts) OVER (PARTITION BY host ORDER BY line_no ROWS BETWEEN UNBOUNDED "
