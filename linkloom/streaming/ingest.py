@@ -130,16 +130,20 @@ def read_links(spark: SparkSession, table_dir: str) -> DataFrame:
     return spark.read.parquet(f"{table_dir}/links").select("source", "target")
 
 
-def read_metrics(spark: SparkSession, table_dir: str) -> DataFrame:
+def read_counters(spark: SparkSession, table_dir: str) -> DataFrame:
     """Counters of each micro-batch: pages read, links seen, links and pages added."""
     return (spark.read.schema(f"{METRICS}, run_id string, batch_id long").parquet(f"{table_dir}/metrics")
             .select("run_id", "batch_id", "pages", "links_seen", "links_added", "pages_added"))
 
 
+def read_metrics(spark: SparkSession, table_dir: str) -> DataFrame:
+    return read_counters(spark, table_dir).select("run_id", "batch_id", "links_added")
+
+
 def read_progress(spark: SparkSession, table_dir: str) -> DataFrame:
-    """``read_metrics`` of one run after another with running totals: ``processed`` pages, ``link_pairs`` in the edge
+    """``read_counters`` of one run after another with running totals: ``processed`` pages, ``link_pairs`` in the edge
     table and ``queue_size``, the pages found and not yet visited.  One row per micro-batch, so the window is small."""
     w = Window.orderBy("run_id", "batch_id").rowsBetween(Window.unboundedPreceding, 0)
-    return read_metrics(spark, table_dir).select(
+    return read_counters(spark, table_dir).select(
         "*", F.sum("pages").over(w).alias("processed"), F.sum("links_added").over(w).alias("link_pairs"),
         F.sum("pages_added").over(w).alias("queue_size"))

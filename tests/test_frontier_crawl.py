@@ -251,6 +251,11 @@ def test_stream_batch_replay_is_idempotent(spark):
     ingest_batch(first, 0, table, "r1")   # replay
     assert sorted(map(tuple, read_links(spark, table).collect())) == once
     assert len(once) == len(set(once)) == 279
+    from linkloom.streaming.ingest import read_progress
+    rows = read_progress(spark, table).orderBy("batch_id").collect()
+    assert [r.pages for r in rows] == [25, second.count()] and rows[-1].processed == pages.count()
+    assert rows[-1].link_pairs == 279 == sum(r.links_added for r in rows)
+    assert rows[-1].queue_size == spark.read.parquet(table + "/frontier").count()
     fr = spark.read.parquet(table + "/frontier")
     assert fr.count() == fr.select("host_reversed", "path").distinct().count()
 
