@@ -514,7 +514,10 @@ def test_queries_have_the_contracted_columns(spark):
         "op7_substring_dedup": "doc_id n_words n_removed kept_sha256",
         "op8_lm_scoring": "doc_id held_out n_tokens n_known train_tokens base_score score",
         "op9_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
-        "op10_simhash_near_dedup": "doc_id fingerprint component_id"}
+        "op10_simhash_near_dedup": "doc_id fingerprint component_id",
+        "op11_periodic_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+        "op12_token_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
+        "op13_quality_classifier": "doc_id held_out score predicted"}
     assert set(queries.REGISTRY) == set(want)
     for name, columns in want.items():
         assert queries.REGISTRY[name](spark, SF).columns[:len(columns.split())] == columns.split(), name
