@@ -4,18 +4,16 @@
 ``foreachBatch``: extract and resolve links (B5-B10), add edges absent
 from the edge table (A6) and pages absent from the frontier (A5).
 
-Exactly-once by construction: each micro-batch writes into its own folder
-``run_id=<r>/batch_id=<b>`` with overwrite, and the anti-join that decides
-what is new reads the table *without* that folder.  A batch replayed after
+Exactly-once by construction: the edge table and the frontier are keyed logs (``sources/keyed_log.py``), in
+which each micro-batch overwrites a segment of its own, and the anti-join that decides
+what is new reads the log *without* that segment.  A batch replayed after
 a failure therefore rewrites the same rows, and a second run over the same
 input (new checkpoint, new ``run_id``) adds nothing.  De-duplication is by
-key against the table, never with unbounded streaming state.
+key against the log, never with unbounded streaming state.
 
-Inside a batch folder rows are partitioned by ``bucket`` = hash of the
-host (of the link source, of the page), so the anti-join reads only the
-buckets the micro-batch touches; crawl batches are host-clustered, so
-that is a small share of the table.  A batch's counters are counted from what it wrote and
-overwrite the batch's own metrics folder, so a replay writes them again; the queue size and the
+A micro-batch writes one file for each million rows of a table and reads the buckets its hosts (of a hot
+host: its pages) fall in, by path; older segments are merged level by level.  A batch's counters are counted from what
+it wrote and overwrite the batch's own metrics folder, so a replay writes them again; the queue size and the
 number of link pairs are running totals over these rows.
 """
 
@@ -30,83 +28,39 @@ from ..operators import frontier as FR
 from ..operators import links as L
 from ..operators.responses import crawlable_reason
 from ..schemas import PAGES, RESPONSES
+from ..sources.keyed_log import KeyedLog
 
+METRICS = "pages long, links_seen long, links_added long, pages_added long"
 
-BUCKETS = 256
-
-
-def host_bucket(host_col, buckets: int = BUCKETS):
-    return F.pmod(F.xxhash64(host_col), F.lit(buckets)).cast("int")
-
-
-def _existing(spark: SparkSession, path: str, cols: list[str], run_id: str, batch_id: int,
-              buckets: list[int]):
-    """Rows of a ``run_id=/batch_id=/bucket=`` partitioned table in the given
-    buckets, minus the folder the current batch is about to (re)write.
-    The bucket list is bounded by the bucket count; the filter prunes
-    partitions at planning time."""
-    t = _read_if_exists(spark, path)
-    if t is None:
-        return None
-    return (t.where(F.col("bucket").isin(buckets))
-            .where(~((F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)))
-            .select("bucket", *cols))
-
-
-def _read_if_exists(spark: SparkSession, path: str):
-    """The table at ``path``, or None before the first batch wrote it
-    (works on any Hadoop file system, not only local paths)."""
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-
-
-def _write(df: DataFrame, path: str, run_id: str, batch_id: int) -> None:
-    (df.write.mode("overwrite").partitionBy("bucket")
-     .parquet(f"{path}/run_id={run_id}/batch_id={batch_id}"))
 
+def links_log(spark: SparkSession, table_dir: str, **size) -> KeyedLog:
+    return KeyedLog(spark, f"{table_dir}/links", "source string, target string", L.host_of("source"), ["source"], **size)
 
-METRICS = "pages long, links_seen long, links_added long, pages_added long"
 
+def pages_log(spark: SparkSession, table_dir: str, **size) -> KeyedLog:
+    return KeyedLog(spark, f"{table_dir}/frontier",
+                    "id string, scheme string, host_reversed string, path string, latest_visit timestamp_ntz",
+                    F.col("host_reversed"), ["host_reversed", "path"], **size)
 
-def _rows(spark: SparkSession, path: str) -> int:
-    """Rows written to a folder, from the Parquet footers."""
-    t = _read_if_exists(spark, path)
-    return 0 if t is None else t.count()
 
-
-def ingest_batch(batch: DataFrame, batch_id: int, table_dir: str, run_id: str) -> None:
-    """One micro-batch: links and pages of the batch, upserted by key."""
+def ingest_batch(batch: DataFrame, batch_id: int, table_dir: str, run_id: str, **size) -> None:
+    """One micro-batch: links and pages of the batch, upserted by key.  ``size``: ``rows`` and ``fan_in`` of the logs."""
     spark = batch.sparkSession
+    links, pages = links_log(spark, table_dir, **size), pages_log(spark, table_dir, **size)
+    if links.merged(run_id, batch_id):  # complete long since
+        return
     if "status" in batch.columns:
         batch = batch.where(crawlable_reason().isNull())
-    keys = L.link_keys(batch.select("page_id", "url", "html"))
-    keys = keys.select("*", host_bucket(L.host_of("source")).alias("src_bucket"),
-                       host_bucket(F.col("host_reversed")).alias("page_bucket")).persist()
+    keys = L.link_keys(batch.select("page_id", "url", "html")).persist()
     try:
-        links_dir, pages_dir = f"{table_dir}/links", f"{table_dir}/frontier"
-        # bounded: at most BUCKETS small integers
-        src_b = [r[0] for r in keys.select("src_bucket").distinct().collect()]
-        page_b = [r[0] for r in keys.select("page_bucket").distinct().collect()]
-        old_links = _existing(spark, links_dir, ["source", "target"], run_id, batch_id, src_b)
-        if old_links is None:
-            old_links = spark.createDataFrame([], "bucket int, source string, target string")
-        new_links = (keys.select(F.col("src_bucket").alias("bucket"), "source", "target").distinct()
-                     .join(old_links, ["bucket", "source", "target"], "left_anti"))
-        _write(new_links, links_dir, run_id, batch_id)
-        old_pages = _existing(spark, pages_dir, ["host_reversed", "path"], run_id, batch_id, page_b)
-        if old_pages is None:
-            old_pages = spark.createDataFrame([], "bucket int, host_reversed string, path string")
-        new_pages = FR.insert_pages(old_pages.drop("bucket"), keys, ["page_id", "pos"])
-        _write(new_pages.select("*", host_bucket(F.col("host_reversed")).alias("bucket")),
-               pages_dir, run_id, batch_id)
-        folder = f"run_id={run_id}/batch_id={batch_id}"
-        counts = (batch.count(), keys.count(), _rows(spark, f"{links_dir}/{folder}"), _rows(spark, f"{pages_dir}/{folder}"))
-        spark.createDataFrame([counts], METRICS).write.mode("overwrite").parquet(f"{table_dir}/metrics/{folder}")
+        found = keys.select("source", "target").distinct()
+        new_links = found.join(links.holding(keys, run_id, batch_id), ["source", "target"], "left_anti")
+        n_links = links.append(new_links, run_id, batch_id)
+        new_pages = FR.insert_pages(pages.holding(keys, run_id, batch_id), keys, ["page_id", "pos"])
+        n_pages = pages.append(new_pages, run_id, batch_id)
+        counts = (batch.count(), keys.count(), n_links, n_pages)
+        (spark.createDataFrame([counts], METRICS).write.mode("overwrite")
+         .parquet(f"{table_dir}/metrics/run_id={run_id}/batch_id={batch_id}"))
     finally:
         keys.unpersist()
 
@@ -127,7 +81,11 @@ def start_ingest(spark: SparkSession, source_dir: str, table_dir: str, checkpoin
 
 
 def read_links(spark: SparkSession, table_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{table_dir}/links").select("source", "target")
+    return links_log(spark, table_dir).read()
+
+
+def read_frontier(spark: SparkSession, table_dir: str) -> DataFrame:
+    return pages_log(spark, table_dir).read()
 
 
 def read_counters(spark: SparkSession, table_dir: str) -> DataFrame:
