@@ -7,11 +7,12 @@ a hashed table, how often a zero and a one followed this context and the byte's
 bits so far; the tables count all training texts.  A mixer adds the
 predictors' logits with weights from a set that is gated by the bit's place
 and by how much the two longest contexts have seen, and a final map refines its
-probability by the byte's bits so far.  Mixer and map learn online from places spread
-evenly over every training text, however long, whose own bits are taken out of the counts; there are
-``LEARN`` times the square root of the training bytes of them, so they grow with the corpus.  The places are dealt into
-groups, each group's mixer learns in a task of its own, and the mixers are averaged by the places they saw.  A byte's probability depends on the four bytes before it alone,
-so each distinct group of five bytes is scored once per slice of text.
+probability by the byte's bits so far.  Mixer and map learn online from every place of every training text, whose own
+bits are taken out of the counts.  A byte's probability depends on the four bytes before it alone, so each distinct
+group of five bytes is scored once per slice of text, and places with the same five bytes are learned together: the
+corpus is counted by these codes, and a code that is more frequent than the mean is learned in several portions, which
+makes at most twice as many portions as codes.  The portions are dealt into groups, each group's mixer learns in a task
+of its own, and the mixers are averaged by the places they saw.
 
 For the unigram word model chunks ask the corpus about their distinct words.  Its
 exact counts also have a fixed share in the score: a word's probability is
@@ -39,10 +40,10 @@ BITS = (16, 19, 20, 22)
 SHARD = 1 << 17
 #: Shards of counts added up in one task.
 FAN_IN = 64
-#: Places the mixers learn from: so many times the square root of the training places.
-LEARN = 200
-#: Places of one group, so of one mixer.
+#: Portions of places of one group, so of one mixer.
 GROUP = 1 << 20
+#: Training places whose codes one task adds up, and distinct codes that a scan task holds.
+PLACES, HELD = 32 << 20, 4 << 20
 #: Share of whole-word frequencies in a word's probability.
 SHARE = 0.25
 #: Bytes of text in a chunk, and positions scored at once.
@@ -85,7 +86,8 @@ def code_at(buffer: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def spread_places(buffer: np.ndarray, begin: np.ndarray, ids: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
     """Places at even distances in every text, ``rate`` of its scored places on average, and a number drawn for
-    each.  They depend on the text and its id alone, not on the texts beside it."""
+    each.  They depend on the text and its id alone, not on the texts beside it.  For trials: the model learns from all
+    places and does not use it."""
     stop = np.append(begin[1:], len(buffer)) - 3
     crc = np.array([zlib.crc32(buffer[b:e]) for b, e in zip(begin, stop)], np.uint64)
     seed = mix(crc + mix(ids.astype(np.uint64)))
@@ -200,9 +202,80 @@ def word_logs(mixer: Mixer, counts: np.ndarray, texts: list[str | None], sizes:
     return out
 
 
-def _tables(rows: DataFrame) -> np.ndarray:
-    """Counts of all training texts of ``rows (id, text)``, added up in rounds of
+def _added(code: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order, and how often each occurs."""
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))[:len(code)]
+    return code[first], np.add.reduceat(times[order], first) if len(first) else times
+
+
+def _places(rows: DataFrame, places: int) -> DataFrame:
+    """All training places of ``rows (id, text)``, of which there are about so many, by their codes: ``bucket, code,
+    times, n`` with ``n`` distinct codes of the whole corpus and how often each occurs."""
+    buckets = max(1, -(-places // PLACES))
+    schema = "bucket int, code binary, times binary, n int"
+
+    def packets(code: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+        bucket = bucket_of(mix(code), buckets)
+        order = np.argsort(bucket, kind="stable")
+        edges = edges_of(bucket[order], buckets)
+        full = np.flatnonzero(np.diff(edges))
+        cut = [order[edges[x]:edges[x + 1]] for x in full]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(full, pa.int32()), pa.array([squeeze(code[c].astype(np.int64)) for c in cut], pa.binary()),
+             pa.array([squeeze(times[c]) for c in cut], pa.binary()), pa.array([len(c) for c in cut], pa.int32())],
+            names=["bucket", "code", "times", "n"])
+
+    def count(batches):
+        held: list = []
+
+        def drained():
+            code, times = _added(*(np.concatenate(x) for x in zip(*held)))
+            held.clear()
+            return code, times
+
+        for batch in batches:
+            learn = ~held_out(ids_of(batch.column(0)))
+            buffer, begin = layout(batch.column(1).filter(pa.array(learn)).to_pylist())
+            for first in range(4, len(buffer), SLICE):
+                _, code = codes(buffer, begin, first, min(first + SLICE, len(buffer)))
+                if len(code):
+                    each, index = distinct(code)
+                    held.append((each, np.bincount(index)))
+                if sum(len(c) for c, _ in held) > HELD:
+                    held.append(drained())
+                    if len(held[0][0]) > HELD // 2:
+                        yield packets(*drained())
+        if held:
+            yield packets(*drained())
+
+    def add(table: pa.Table) -> pa.Table:
+        n = table["n"].to_pylist()
+        code, times = _added(*(np.concatenate([unsqueeze(x, k) for x, k in zip(table[c].to_pylist(), n)])
+                               for c in ("code", "times")))
+        return pa.table({"bucket": table["bucket"][:1], "code": pa.array([squeeze(code)], pa.binary()),
+                         "times": pa.array([squeeze(times)], pa.binary()), "n": pa.array([len(code)], pa.int32())})
+
+    return cut_lineage(rows.mapInArrow(count, schema).groupBy("bucket").applyInArrow(add, schema))
+
+
+def _codes_of(batch) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Codes and times of each row of ``_places``."""
+    return [(unsqueeze(c, n).astype(np.uint64), unsqueeze(t, n)) for c, t, n in
+            zip(*(batch.column(x).to_pylist() for x in (1, 2, 3)))]
+
+
+def _training_places(rows: DataFrame) -> int:
+    """Bytes of the training texts of ``rows (id, text)``, and an end each."""
+    learning = F.coalesce(F.crc32(F.col("id").cast("string")) % 7 != 2, F.lit(True))
+    return rows.where(learning).agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(1))).first()[0] or 0
+
+
+def _tables(rows: DataFrame, placed: DataFrame | None = None) -> np.ndarray:
+    """Counts of all training texts of ``rows (id, text)``, or of their ``_places``, added up in rounds of
     ``FAN_IN`` tasks; their size is fixed by ``BITS``."""
+    placed = _places(rows, _training_places(rows)) if placed is None else placed
     schema = "part long, shard int, slot binary, zero binary, one binary, n int"
 
     def rows_of(part: int, counts: np.ndarray) -> pa.Table:
@@ -213,20 +286,16 @@ def _tables(rows: DataFrame) -> np.ndarray:
         return pa.table({
             "part": pa.array([part] * len(full), pa.int64()), "shard": pa.array(full, pa.int32()),
             "slot": pa.array([squeeze(c) for c in cut], pa.binary()),
-            "zero": pa.array([squeeze(counts[0][c].astype(np.int64)) for c in cut], pa.binary()),
-            "one": pa.array([squeeze(counts[1][c].astype(np.int64)) for c in cut], pa.binary()),
+            "zero": pa.array([squeeze(counts[0][c]) for c in cut], pa.binary()),
+            "one": pa.array([squeeze(counts[1][c]) for c in cut], pa.binary()),
             "n": pa.array([len(c) for c in cut], pa.int32())})
 
     def gather(batches):
-        counts = np.zeros((2, _SLOTS), np.uint32)
+        counts = np.zeros((2, _SLOTS), np.int64)
         for batch in batches:
-            learn = ~held_out(ids_of(batch.column(0)))
-            buffer, begin = layout(batch.column(1).filter(pa.array(learn)).to_pylist())
-            for first in range(4, len(buffer), SLICE):
-                _, code = codes(buffer, begin, first, min(first + SLICE, len(buffer)))
-                if len(code):
-                    each, index = distinct(code)
-                    count_bits(each, np.bincount(index).astype(np.uint32), counts)
+            for code, times in _codes_of(batch):
+                for first in range(0, len(code), SLICE):
+                    count_bits(code[first:first + SLICE], times[first:first + SLICE], counts)
         yield from rows_of(TaskContext.get().partitionId(), counts).to_batches()
 
     def add(table: pa.Table) -> pa.Table:
@@ -242,7 +311,7 @@ def _tables(rows: DataFrame) -> np.ndarray:
             "zero": pa.array([squeeze(counts[0][at])], pa.binary()),
             "one": pa.array([squeeze(counts[1][at])], pa.binary()), "n": pa.array([len(at)], pa.int32())})
 
-    made, parts = rows.mapInArrow(gather, schema), rows.rdd.getNumPartitions()
+    made, parts = placed.mapInArrow(gather, schema), placed.rdd.getNumPartitions()
     while parts > 1:
         made = (made.withColumn("group", F.floor(F.col("part") / FAN_IN))
                 .groupBy("shard", "group").applyInArrow(add, schema))
@@ -257,34 +326,32 @@ def _tables(rows: DataFrame) -> np.ndarray:
     return (-(-counts // scale)).astype(np.uint16)
 
 
-def _fitted(rows: DataFrame, counts, places: int) -> dict:
-    """The mixer learned from ``rows (id, text)``, which have so many training places; ``counts`` is a broadcast."""
-    rate = min(1.0, LEARN / max(places, 1) ** 0.5)
-    groups = max(1, -(-int(rate * places) // GROUP))
+def _fitted(rows: DataFrame, counts, places: int, placed: DataFrame | None = None) -> dict:
+    """The mixer learned from every training place of ``rows (id, text)``, of which there are about so many, or of their
+    ``_places``; ``counts`` is a broadcast."""
+    placed = _places(rows, places) if placed is None else placed
+    n_codes = placed.agg(F.sum("n")).first()[0] or 0
+    portion = max(1, places // max(n_codes, 1))
+    groups = max(1, -(-2 * n_codes // GROUP))
     blank = Mixer().state()
 
-    def pick(batches):
+    def deal(batches):
         for batch in batches:
-            ids = ids_of(batch.column(0))
-            learn = ~held_out(ids)
-            buffer, begin = layout(batch.column(1).filter(pa.array(learn)).to_pylist())
-            if not len(begin):
-                continue
-            at, drawn = spread_places(buffer, begin, ids[learn], rate)
-            group = (drawn % np.uint64(groups)).astype(np.int64)
-            code = code_at(buffer, at)
-            # equal places of a batch go as one
-            order = np.lexsort((code, group))
-            group, code = group[order], code[order]
-            new = np.flatnonzero(np.append(True, (group[1:] != group[:-1]) | (code[1:] != code[:-1])))[:len(code)]
-            times = np.diff(np.append(new, len(code)))
-            group, code = group[new], code[new]
-            first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))[:len(code)]
-            last = np.append(first[1:], len(code))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(group[first]), pa.array([code[x:y].tobytes() for x, y in zip(first, last)], pa.binary()),
-                 pa.array([times[x:y].tobytes() for x, y in zip(first, last)], pa.binary())],
-                names=["part", "code", "times"])
+            for code, times in _codes_of(batch):
+                parts = -(-times // portion)
+                of = np.repeat(np.arange(len(code)), parts)
+                nth = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
+                share = times[of] // parts[of] + (nth < times[of] % parts[of])
+                drawn = mix(mix(code[of]) + nth.astype(np.uint64))
+                group = (drawn % np.uint64(groups)).astype(np.int64)
+                order = np.argsort(group, kind="stable")
+                edges = np.searchsorted(group[order], np.arange(groups + 1))
+                full = np.flatnonzero(np.diff(edges))
+                cut = [order[edges[g]:edges[g + 1]] for g in full]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(full, pa.int64()), *(pa.array([x[c].tobytes() for c in cut], pa.binary())
+                                                   for x in (code[of], share, drawn))],
+                    names=["part", "code", "times", "drawn"])
 
     schema = "part long, n long, weights binary, map binary"
 
@@ -293,9 +360,9 @@ def _fitted(rows: DataFrame, counts, places: int) -> dict:
                          **{k: pa.array([v.tobytes()], pa.binary()) for k, v in state.items()}})
 
     def fit(table: pa.Table) -> pa.Table:
-        code, index = distinct(np.frombuffer(b"".join(table["code"].to_pylist()), np.uint64))
-        times = np.bincount(index, weights=np.frombuffer(b"".join(table["times"].to_pylist()), np.int64))
-        order = np.argsort(mix(code))  # the order of learning does not depend on how rows arrive
+        code, times, drawn = (np.frombuffer(b"".join(table[c].to_pylist()), kind) for c, kind in
+                              (("code", np.uint64), ("times", np.int64), ("drawn", np.uint64)))
+        order = np.lexsort((code, drawn))  # the order of learning does not depend on how rows arrive
         mixer = Mixer()
         mixer.learn(counts.value, code[order], times[order])
         return row(table["part"][0].as_py(), int(times.sum()), mixer.state())
@@ -307,7 +374,7 @@ def _fitted(rows: DataFrame, counts, places: int) -> dict:
                  for k, v in blank.items()}
         return row(table["part"][0].as_py() // FAN_IN, int(n.sum()), state)
 
-    made = rows.mapInArrow(pick, "part long, code binary, times binary").groupBy("part").applyInArrow(fit, schema)
+    made = placed.mapInArrow(deal, "part long, code binary, times binary, drawn binary").groupBy("part").applyInArrow(fit, schema)
     while groups > 1:
         made = made.groupBy(F.floor(F.col("part") / FAN_IN).alias("group")).applyInArrow(average, schema)
         groups = -(-groups // FAN_IN)
@@ -387,9 +454,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     tokens, words = tokens + ends, words + (ends > 0)
     end_share = min(max(ends / max(tokens - ends, 1), 1e-9), 0.5)
 
-    counts = spark.sparkContext.broadcast(_tables(flat))
+    placed = _places(flat, size or 0)
+    counts = spark.sparkContext.broadcast(_tables(flat, placed))
 
-    shared = spark.sparkContext.broadcast(_fitted(flat, counts, size or 0))
+    shared = spark.sparkContext.broadcast(_fitted(flat, counts, size or 0, placed))
 
     def finish(table: pa.Table, said: pa.Table) -> pa.Table:
         ids, texts = received(table)

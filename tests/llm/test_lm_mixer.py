@@ -105,3 +105,35 @@ def test_no_training_row_leaves_the_first_mixer(spark):
     held = next(i for i in range(100) if _is_held_out(i))
     df = spark.createDataFrame([(held, "some words"), (held, None)], "doc_id long, text string")
     assert all(r.score < 0 and r.base_score == 0 for r in lm_score.score(df).collect())
+
+
+def test_the_mixer_learns_from_every_place(spark, monkeypatch):
+    rows = [(i, f"word{i % 5} and  Some words{i} " * (40 * i)) for i in range(12)]
+    flat = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    want = Counter()
+    for i, t in rows:
+        if not _is_held_out(i):
+            data = b"\0" * 4 + b" ".join(t.encode().lower().split()) + b"\0"
+            want.update(int.from_bytes(data[k - 4:k + 1], "big") for k in range(4, len(data)))
+    for held, size in ((1 << 22, 1 << 25), (8, 3000)):
+        monkeypatch.setattr(lm_score, "HELD", held)
+        monkeypatch.setattr(lm_score, "PLACES", size)
+        placed = lm_score._places(flat, sum(want.values()))
+        found = [(r.code, r.times, r.n) for r in placed.collect()]
+        got = {int(c): int(t) for code, times, n in found
+               for c, t in zip(lm_score.unsqueeze(code, n), lm_score.unsqueeze(times, n))}
+        assert got == dict(want) and sum(n for *_, n in found) == len(want)
+    counts = spark.sparkContext.broadcast(lm_score._tables(flat))
+    # the texts of some rows beyond a sample's reach change what is learned
+    fitted = lm_score._fitted(flat, counts, sum(want.values()), placed)
+    code, times = np.array(list(want), np.uint64), np.array(list(want.values()))
+    portion = sum(want.values()) // len(want)
+    parts = -(-times // portion)
+    of = np.repeat(np.arange(len(code)), parts)
+    nth = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
+    share = times[of] // parts[of] + (nth < times[of] % parts[of])
+    assert share.sum() == sum(want.values()) and share.max() <= portion and len(share) <= 2 * len(want)
+    order = np.argsort(lm_score.mix(lm_score.mix(code[of]) + nth.astype(np.uint64)))
+    plain = lm_score.Mixer()
+    plain.learn(counts.value, code[of][order], share[order])
+    assert np.allclose(plain.weights, fitted["weights"]) and np.allclose(plain.map, fitted["map"])
