@@ -98,3 +98,20 @@ def test_a_usual_batch_is_one_file_a_table(spark, tmp_path):
         ingest_batch(pages.where(F.col("page_id") % 2 == batch), batch, str(tmp_path), "r")
     assert len(_files(tmp_path / "links")) == len(_files(tmp_path / "frontier")) == 2
     assert links_log(spark, str(tmp_path)).read().count() == pages_log(spark, str(tmp_path)).read().count() == 400
+
+
+def test_a_batch_of_one_row_group_is_read_by_all_cores(spark, tmp_path, monkeypatch):
+    from linkloom.streaming import ingest
+    d = str(tmp_path)
+    rows = [(i, f"http://h{i % 7}.com/p{i}", f'<a href="/q{i}">x</a>') for i in range(400)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(d + "/in")
+    busy, link_keys = [], ingest.L.link_keys
+
+    def seen(pages):
+        busy.append(pages.groupBy(F.spark_partition_id()).count().count())
+        return link_keys(pages)
+
+    monkeypatch.setattr(ingest.L, "link_keys", seen)
+    ingest.ingest_batch(spark.read.parquet(d + "/in"), 0, d + "/t", "r")
+    assert busy == [spark.sparkContext.defaultParallelism]
+    assert ingest.read_links(spark, d + "/t").count() == 400
