@@ -184,3 +184,24 @@ def test_non_ascii_host_is_escaped_in_url_only(spark):
     r = _norm(spark, ["http://bücher.de/x"])[0]
     assert r.url == "http://b%C3%BCcher.de/x"
     assert r.host == "bücher.de" and r.host_reversed == "de.bücher"
+
+
+def test_plain_urls_are_what_the_whole_parse_makes_of_them(spark, monkeypatch):
+    """A URL that is canonical as it stands is not taken apart; the result is the same as if it were."""
+    from linkloom.functions import urls
+    hosts = ["a.com", "A.b.Com", "1.2.3.4", "1.2.3.4a", "4.1.2.3", "a.1a", "a..b", "x_y.com", "localhost", "1", "é.de", "a.com:80", "u@a.com", ""]
+    paths = ["", "/", "//", "/a", "/a/", "/a//b", "/./a", "/a/..", "/..a", "/a.b", "/a..", "/a~_-", "/%41", "/a+b", "/a?x", "/a#%zz", "/a\n", "/é"]
+    made = [f"{s}{h}{p}" for s in ("http://", "https://", "HTTP://", "ftp://", "//", "") for h in hosts for p in paths]
+    df = spark.createDataFrame(list(enumerate([*made, None])), "i int, u string")
+    base = [F.lit(x) for x in ("https", "Base.org", "", "me@", "/d/e")]
+
+    def parsed():
+        monkeypatch.setattr(urls, "_BUILT", {})
+        for err in (None, F.when(F.col("i") % 3 == 0, "bad base")):
+            yield sorted(map(repr, urls.resolve_against(df, "u", *base, "t_", err).collect()))
+        yield sorted(map(repr, urls.normalize_urls(df, "u").collect()))
+
+    got = list(parsed())
+    assert df.where(F.col("u").rlike(urls.RE_PLAIN_URL)).count() > 20
+    monkeypatch.setattr(urls, "RE_PLAIN_URL", r"^(?!)(())()\z")
+    assert got == list(parsed())
