@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -485,6 +486,53 @@ def test_suffix_ranks_match_brute_force():
         assert dict(zip(places.tolist(), other.tolist())) == want
 
 
+def test_suffix_array_matches_brute_force():
+    """Whole suffixes in order, by host, and the lengths that neighbours have in common, copies of pages included."""
+    import pyarrow as pa
+    rng = np.random.default_rng(6)
+    texts = [" ".join(rng.choice(list("ab"), rng.integers(0, 40))) for _ in range(20)]
+    texts += texts[:5] + [" ".join(f"w{i}" for i in range(300))] * 3 + ["", "a"]
+    list_, starts = common.split_words(pa.array(texts))
+    host = rng.integers(0, 2, len(texts))
+    suffixes, depth = html_extract.suffix_array(list_, starts, host)
+    tokens, page = list_.to_pylist(), common.owner(starts)
+
+    def suffix(p):
+        return tokens[p:starts[page[p] + 1]]
+
+    assert sorted(suffixes.tolist()) == list(range(len(tokens)))
+    seen = defaultdict(list)
+    for at, (p, d) in enumerate(zip(suffixes.tolist(), depth.tolist())):
+        before = suffixes[at - 1]
+        equal = 0
+        if at and host[page[before]] == host[page[p]]:
+            equal = len(os.path.commonprefix([suffix(before), suffix(p)]))
+        assert d == equal
+        seen[host[page[p]]].append(suffix(p))
+    for h, found in seen.items():  # a shared prefix is one stretch of the array, whatever its length
+        for length in (1, 2, 7, 100):
+            heads = [tuple(x[:length]) for x in found if len(x) >= length]
+            assert sum(a != b for a, b in zip(heads, heads[1:])) == max(len(set(heads)) - 1, 0)
+
+
+@pytest.mark.parametrize("most", [1, 2_000, 1 << 22])
+def test_html_rows_come_through_the_host_arrays(spark, monkeypatch, most):
+    """Pages with an article too: the array finds what the host repeats around it, in one shard or in many."""
+    monkeypatch.setattr(html_extract, "HOST_BYTES", most)
+    menu, licence = "Home News Sport Weather Travel Money now", "This story may be shared under the terms of our licence"
+    pages = [(i, f"http://h{i % 2}.com/{i}", f"<nav>{menu}</nav><article><p>Story {i} of {i * 7}</p><p>{licence}</p></article>"
+              f"<p>open {i}</p>") for i in range(30)]
+    pages += [(100 + i, f"http://h{i % 2}.com/open/{i}", f"<div>{menu}</div><p>Open story {i} of {i * 9}</p>") for i in range(30)]
+    pages += [(200, "http://solo.com/", pages[0][2]), (201, None, None), (202, "http://solo.com/e", "")]
+    got = {r.page_id: (r.text, r.n_tokens, r.n_repeated) for r in html_extract.extract(
+        spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    # runs go on over the ends of blocks: the menu and "open" or "Open story"
+    want = {i: (f"Story {i} of {i * 7} {licence}", 9, 8) for i in range(30)}
+    want |= {100 + i: (f"Open story {i} of {i * 9}", 12, 9) for i in range(30)}
+    want |= {200: (f"Story 0 of 0 {licence}", 9, 0), 201: ("", 0, 0), 202: ("", 0, 0)}
+    assert got == want
+
+
 def test_empty_tables(spark, odd):
     empty, model = odd.limit(0), {"langs": ["en"], "words": {"a": [1]}}
     items = spark.createDataFrame([], "item_id long, text string")
