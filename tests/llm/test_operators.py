@@ -533,6 +533,45 @@ def test_html_rows_come_through_the_host_arrays(spark, monkeypatch, most):
     assert got == want
 
 
+@pytest.mark.parametrize("most, share", [(1, 0.5), (700, 0.5), (1 << 22, 0.5), (1, 0.3), (1 << 22, 0.3)])
+def test_html_articles_are_in_the_host_arrays(spark, monkeypatch, most, share):
+    """Whole pages against brute force: what articles say is evidence as well, in one shard or in many."""
+    monkeypatch.setattr(html_extract, "HOST_BYTES", most)
+    rng = np.random.default_rng(8)
+    licence = "This story may be shared under the terms of our licence"
+    pages = [(i, f"http://h{i % 2}.com/{i}", f"<article><p>Story {i} of {i * 7}</p><p>{licence}</p></article>") for i in range(30)]
+    pages += [(100 + i, f"http://h{i % 2}.com/o{i}", f"<p>{licence}</p><p>Open story {i} of {i * 9} alone</p>") for i in range(4)]
+    lines = [" ".join(rng.choice(list("abc"), 9)) for _ in range(12)]
+    for i in range(60):
+        picked = [f"<{tag}>{lines[j]}</{tag}>" for tag, j in zip(rng.choice(["div", "nav", "p", "article"][:3 + i % 2], 4),
+                                                                   rng.choice(12, 4, p=[0.3] + [0.7 / 11] * 11))]
+        pages.append((200 + i, f"http://g{i % 2}.com/{i}", "".join(picked)))
+    pages += [(300 + i, f"http://g{i % 2}.com/copy{i}", pages[-1 - i % 2][2]) for i in range(20)]
+    pages += pages[:3] + [(None, "http://g0.com/n", "<p>a b c a b c a b</p>"), (400, "http://h0.com/e", None)]
+
+    rows = [(u.split("/")[2], tuple((k, t) for k, t in html_extract.blocks(h))) for _, u, h in pages]
+    streams = {(host, " ".join(t for _, t in found)) for host, found in rows}
+    seen = defaultdict(set)
+    for host, text in streams:
+        words = text.split()
+        for p in range(len(words) - 5):
+            seen[host, tuple(words[p:p + 6])].add(text)
+    want = Counter()
+    for (i, u, _), (host, found) in zip(pages, rows):
+        words = [w for _, t in found for w in t.split(" ")]
+        outside = [k != html_extract.ARTICLE for k, t in found for _ in t.split(" ")]
+        unique = np.ones(len(words), bool)
+        least = max(3, share * sum(h == host for h, _ in streams))
+        for p in range(len(words) - 5):
+            unique[p:p + 6] &= len(seen[host, tuple(words[p:p + 6])]) < least
+        want[i, u, html_extract.kept_of(list(found), unique), sum(outside),
+             sum(o and not x for o, x in zip(outside, unique))] += 1
+    got = Counter((r.page_id, r.url, r.text, r.n_tokens, r.n_repeated) for r in html_extract.extract(
+        spark.createDataFrame(pages, "page_id long, url string, html string").repartition(5), min_share=share).collect())
+    assert got == want
+    assert {r[2] for r in got if r[0] in range(100, 104)} == {f"Open story {i} of {i * 9} alone" for i in range(4)}
+
+
 def test_empty_tables(spark, odd):
     empty, model = odd.limit(0), {"langs": ["en"], "words": {"a": [1]}}
     items = spark.createDataFrame([], "item_id long, text string")
