@@ -128,6 +128,104 @@ def test_crawl_rounds_write_what_they_add(spark):
     assert len(_tables_left(spark) - before) == 3
 
 
+def test_crawl_rounds_match_a_simulation(spark):
+    """Frontier, links and report of a crawl page by page: both schemes, several responses of a page, robots, refusals."""
+    import random
+    from linkloom.operators.robots import fold_rules, robots_rules, robots_text
+    from linkloom.plans.crawl import crawl_rounds
+    rng = random.Random(4)
+    urls = [f"{s}://h{h}.com/{'x' if i % 4 == 0 else 'p'}{i}" for h in range(3) for i in range(14) for s in ("http", "https")]
+    archive = []
+    for i, url in enumerate(rng.choices(urls, k=120)):  # some pages several times, some never
+        targets = rng.sample(urls, 5)
+        archive.append((i, url, rng.choice([200, 200, 200, 404]), "text/html", rng.choice([None, None, "nofollow"]),
+                        "".join(f'<a href="{t}">x</a>' for t in targets + targets[:1]), targets))
+    hosts = spark.createDataFrame([("h0.com",), ("h1.com",), ("h2.com",)], "host string")
+    files = spark.createDataFrame([("h1.com", 200, "text/plain", "User-agent: *\nDisallow: /x\n")],
+                                  "host string, status int, content_type string, body string")
+    folded = fold_rules(robots_rules(robots_text(hosts, files)))
+    resp = spark.createDataFrame([a[:6] for a in archive],
+                                 "page_id long, url string, status int, content_type string, x_robots_tag string, html string")
+    first = urls[1::9]
+    seeds = spark.createDataFrame(list(enumerate(first)), "line_no long, value string")
+
+    def key(url):
+        scheme, rest = url.split("://")
+        host, path = rest.split("/", 1)
+        return scheme, (".".join(reversed(host.split("."))), "/" + path)
+
+    queue, visited, links, report = {}, {}, set(), []
+    for url in first:
+        queue.setdefault(key(url)[1], key(url)[0])
+    while True:
+        batch = []
+        for host in {h for h, _ in queue}:
+            batch += sorted(k for k in queue if k[0] == host and k not in visited)[:3]
+        if not batch:
+            break
+        before = len(links), len(queue)
+        arrivals = []
+        for k in batch:
+            visited[k] = len(report) + 1
+            here = [a for a in archive if key(a[1])[1] == k]
+            if not here or (k[0] == "com.h1" and k[1].startswith("/x")):
+                continue
+            best = min(here, key=lambda a: (key(a[1])[0] != queue[k], a[0]))
+            if best[2] == 200 and best[4] is None:
+                source = f"{queue[k]}://{'.'.join(reversed(k[0].split('.')))}{k[1]}"
+                arrivals += [(best[0], pos, source, t) for pos, t in enumerate(best[6])]
+        for _, _, source, t in sorted(arrivals):
+            links.add((source, t))
+            queue.setdefault(key(t)[1], key(t)[0])
+        report.append((len(report) + 1, len(batch), len(queue) - before[1], len(links) - before[0]))
+    assert len(report) > 4 and len(links) > 60
+    frontier, got, rows = crawl_rounds(seeds, resp, folded, per_host=3)
+    assert sorted((r.source, r.target) for r in got.collect()) == sorted(links)
+    assert {(r.host_reversed, r.path): (r.scheme, r.latest_visit.second) for r in frontier.collect()} == \
+        {k: (s, visited[k]) for k, s in queue.items()}
+    assert [(r.round, r.batch, r.pages, r.links) for r in rows.orderBy("round").collect()] == report
+
+
+def test_crawl_rounds_move_the_round_only(spark):
+    """A round's joins shuffle no archive table, and links are compared within the round: no earlier page has its URL."""
+    from linkloom.functions.urls import page_url
+    from linkloom.plans import crawl
+    from linkloom.sources.segments import table_of
+    keys = table_of(spark.createDataFrame([("com.a", "/", "http", 1, True, True)],
+                    "host_reversed string, path string, a_scheme string, page_id long, crawlable boolean, allowed boolean"),
+                    "archive_keys", ["host_reversed", "path"], 8)
+    archived = table_of(spark.createDataFrame([("com.a", "/", 1, [(1, "http://b.com", "http", "com.b", "")])],
+                        "host_reversed string, path string, page_id long, links array<struct<pos:int,target:string,"
+                        "t_scheme:string,t_host_reversed:string,t_path:string>>"),
+                        "archive_links", ["host_reversed", "path", "page_id"], 8)
+    req = spark.createDataFrame([("i", "https", "com.a", "/", "https://a.com/")],
+                                "id string, scheme string, host_reversed string, path string, url string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = crawl.fetched_links(req, keys.read(), archived.read())
+        assert [r.target for r in plan.collect()] == ["http://b.com"]
+        text = plan._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert text.count("Exchange hashpartitioning") == 3, text  # the requests by key, by id, and by key and response
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    keys.drop(), archived.drop()
+    paths = ["", "/", "/a b", "/a+b", "/a%20b", "/a%2520b", "/a*b", "/a%2Ab", "/~", "/%7E", "/ü", "/%C3%BC", "/u\u0308", "/?", "/%3F"]
+    df = spark.createDataFrame([(h, p) for h in ("com.a", "com.b.a", "com.\u00fc") for p in paths], "host_reversed string, path string")
+    assert df.select(page_url(F.lit("http"), F.col("host_reversed"), F.col("path"))).distinct().count() == 3 * len(paths)
+
+
+def test_table_read_once_is_rewritten_when_it_doubles(spark):
+    from linkloom.sources import segments
+    t = segments.SegmentTable(spark, "t", "k int", ["k"], 2, read_once=True)
+    n = segments.COMPACT_EVERY
+    for _ in range(2 * n - 1):
+        t.append(spark.createDataFrame([(1,), (2,)], "k int"))
+    assert (t.rows, t.written, t.segments) == (4 * n - 2, 6 * n - 2, n)
+    t.append(spark.createDataFrame([(1,), (2,)], "k int"))
+    assert (t.rows, t.written, t.segments, t.read().count()) == (4 * n, 10 * n, 1, 4 * n)
+    t.drop()
+
+
 def test_crawl_depth_splits_hubs(spark):
     from linkloom.plans import crawl
     edges = [("hub", f"n{i}") for i in range(90)] + [(f"n{i}", f"m{i % 5}") for i in range(90)] + [("m1", "hub"), ("x", "y")]
